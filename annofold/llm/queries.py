@@ -31,9 +31,158 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_first_quality(_table(spark, sf_dir, "documents"))
 
 
+def op7_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from annofold.llm.line_spread import remove_spread_lines
+
+    out = remove_spread_lines(_table(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id",
+        "n_lines",
+        "n_removed",
+        F.coalesce(F.length("clean_text"), F.lit(0)).cast("long").alias("n_chars"),
+        F.md5(F.coalesce("clean_text", F.lit(""))).alias("text_md5"),
+    )
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from annofold.llm.decontaminate import contamination
+
+    return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))[0]
+
+
+def op10_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from annofold.llm.parity_join import similarity_components
+
+    return similarity_components(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_quality_rules": op2_quality_rules,
+    "op7_line_spread": op7_line_spread,
+    "op9_decontamination": op9_decontamination,
+    "op10_parity_join": op10_parity_join,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_BLANK = "chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '"
+
+_OP2 = rf"""
+WITH w AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), at AS (
+  SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM w WHERE len(w) >= 3)
+), twice AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM at) WHERE c > 1
+), repeats AS (
+  SELECT doc_id, count(DISTINCT i + k) AS r FROM twice, (VALUES (0), (1), (2)) AS o(k) GROUP BY doc_id
+), lines AS (
+  SELECT doc_id, line, row_number() OVER (PARTITION BY doc_id, line) AS seen,
+    trim(line, {_BLANK}) AS bare
+  FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM w)
+), judged AS (
+  SELECT doc_id, seen,
+    length(regexp_replace(bare, '[\x20\x09-\x0D]', '', 'g')) AS size,
+    (len(regexp_extract_all(bare, '[|]')) > 2
+     OR (NOT regexp_matches(bare, '[.!?:;"'')…”’»]$') AND NOT regexp_matches(bare, '[.!?] '))
+     OR 4 * len(regexp_extract_all(bare, '[#*$%&|<>]')) > len(regexp_extract_all(bare, '[^\x20\x09-\x0D]+'))
+     OR len(regexp_extract_all(bare, '[A-Z]')) > len(regexp_extract_all(bare, '[a-z]'))
+     OR regexp_matches(bare, '(?i)(all rights reserved|cookie policy|enable javascript|licensed under|lorem ipsum|privacy policy|spdx-license-identifier|terms of service|terms of use)')
+    ) AS bad
+  FROM lines WHERE bare <> ''
+), per_doc AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE seen > 1) AS dups,
+    count(*) FILTER (WHERE bad) AS bad_lines, sum(size) AS whole, coalesce(sum(size) FILTER (WHERE bad), 0) AS lost
+  FROM judged GROUP BY doc_id
+), counted AS (
+  SELECT w.doc_id, len(w.w) AS n_words,
+    length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+    len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols,
+    coalesce(dups, 0) AS n_dup_lines, coalesce(r, 0) AS n_repeat_words,
+    coalesce(n_lines, 0) AS n_lines, coalesce(bad_lines, 0) AS n_bad_lines, coalesce(whole, 0) AS whole, coalesce(lost, 0) AS lost
+  FROM w LEFT JOIN repeats USING (doc_id) LEFT JOIN per_doc USING (doc_id)
+)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+  n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words,
+  (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 100 * lost <= 50 * whole AS kept,
+  n_lines::BIGINT AS n_lines, n_bad_lines::BIGINT AS n_bad_lines
+FROM counted
+"""
+
+_OP7 = """
+WITH lines AS (
+  SELECT doc_id, source, line, i, trim(line, chr(9) || chr(13) || ' ') AS bare
+  FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
+          generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)
+), spread AS (
+  SELECT bare, min((doc_id, i)) AS first FROM lines WHERE bare <> ''
+  GROUP BY bare HAVING count(DISTINCT source) >= 8
+), marked AS (
+  SELECT l.doc_id, l.i, l.line, l.bare, s.bare IS NOT NULL AND (l.doc_id, l.i) <> s.first AS gone
+  FROM lines l LEFT JOIN spread s ON l.bare = s.bare
+), cleaned AS (
+  SELECT doc_id, count(*) FILTER (WHERE bare <> '') AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
+    coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '') AS t
+  FROM marked GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed,
+  length(coalesce(t, ''))::BIGINT AS n_chars, md5(coalesce(t, '')) AS text_md5
+FROM documents d LEFT JOIN cleaned USING (doc_id)
+"""
+
+_OP9 = rf"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS g
+  FROM (SELECT item_id, w, least(len(w), 10) AS k, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM b WHERE len(w) > 0)
+), places AS (
+  SELECT doc_id, i, k, array_to_string(w[i:i + k - 1], ' ') AS g
+  FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM windows) WHERE len(w) >= k)
+), found AS (SELECT doc_id, i, places.k, item_id FROM places JOIN windows USING (g)),
+hit AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT DISTINCT doc_id, unnest(range(i, i + k)) AS p FROM (SELECT DISTINCT doc_id, i, k FROM found)) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id
+)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+_OP10 = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM w WHERE len(w) > 0)
+), n AS (SELECT doc_id, count(*) AS n, list_sort(list(g)) AS gs FROM s GROUP BY doc_id),
+class AS (SELECT doc_id, n, min(doc_id) OVER (PARTITION BY gs) AS class_id FROM n),
+p AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL
+), l AS (
+  SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 75 * (nx.n + ny.n - c)
+), e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r(node, low) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT e.y, r.low FROM r JOIN e ON r.node = e.x
+)
+SELECT d.doc_id, coalesce(class.n, 0)::BIGINT AS n_shingles, coalesce(class.class_id, d.doc_id) AS class_id, c.component_id
+FROM documents d LEFT JOIN class USING (doc_id)
+JOIN (SELECT node, min(low) AS component_id FROM r GROUP BY node) c ON c.node = d.doc_id
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_quality_rules": _OP2,
+    "op7_line_spread": _OP7,
+    "op9_decontamination": _OP9,
+    "op10_parity_join": _OP10,
+}
