@@ -45,7 +45,6 @@ SMALL = 32
 #: A shingle is common when at least this share of the texts has it.
 COMMON = 0.0005
 _MASK = (1 << 64) - 1
-_STEPS = np.array([(0x9E3779B97F4A7C15 * (2 * k + 1)) & _MASK for k in range(WORDS + 1)], np.uint64)
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -55,6 +54,10 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+#: Odd factors without linear relations: one for each place in a shingle, one for its length.
+_STEPS = _mix(np.arange(1, WORDS + 2, dtype=np.uint64)) | np.uint64(1)
+
+
 def shingle_set(text: bytes | None) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the shingles; a shorter text is one shingle."""
     words = (text or b"").lower().split()
