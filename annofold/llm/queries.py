@@ -31,6 +31,12 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_first_quality(_table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from annofold.llm.toxicity import score_toxicity
+
+    return score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 #: Rules of the contract: host and path, verdict.
 URL_RULES = (
     ("com/", "allow"),
@@ -55,6 +61,12 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from annofold.llm.line_crf import score_quality
+
+    return score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op7_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     from annofold.llm.line_spread import remove_spread_lines
 
@@ -94,8 +106,10 @@ def op10_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_quality_rules": op2_quality_rules,
+    "op3_toxicity": op3_toxicity,
     "op4_url_filter": op4_url_filter,
     "op5_sharding": op5_sharding,
+    "op6_line_crf": op6_line_crf,
     "op7_line_spread": op7_line_spread,
     "op8_chat_format": op8_chat_format,
     "op9_decontamination": op9_decontamination,
