@@ -13,6 +13,8 @@ that lose lines get their flags.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -63,10 +65,12 @@ def spread_lines(lines: DataFrame, min_sites: int = MIN_SITES, margin: float = M
     return spread.select("h1", "h2", F.col("first.doc_id").alias("first_doc"), F.col("first.at").alias("first_at"))
 
 
-def remove_spread_lines(docs: DataFrame, min_sites: int = MIN_SITES, margin: float = MARGIN) -> DataFrame:
-    """(doc_id, n_lines, n_removed, clean_text, row) for each row of ``docs`` (doc_id, source, text).
+def remove_spread_lines(
+    docs: DataFrame, min_sites: int = MIN_SITES, margin: float = MARGIN, carry: Sequence[str] = ()
+) -> DataFrame:
+    """(doc_id, n_lines, n_removed, clean_text, carried) for each row of ``docs`` (doc_id, source, text).
 
-    ``row`` is the hash of the old text. A null text stays null and has no lines; blank lines
+    ``carried`` is a struct of the columns named in ``carry``. A null text stays null and has no lines; blank lines
     are never removed or counted; a null source counts as no site; equal rows are treated
     alike (the first occurrence stays in each of them); a text that loses all lines becomes
     empty; an empty table gives none. Further columns are not read.
@@ -83,7 +87,9 @@ def remove_spread_lines(docs: DataFrame, min_sites: int = MIN_SITES, margin: flo
         .filter("any_gone")
         .select(F.col("doc_id").alias("f_doc"), F.col("row").alias("f_row"), F.col("flags.gone").alias("gone"))
     )
-    texts = docs.select(F.col("doc_id").alias("doc_id"), F.col("text").cast("string").alias("t")).withColumn("row", F.xxhash64("t"))
+    carried = F.struct(*carry) if carry else F.lit(None).cast("string")
+    texts = docs.select(F.col("doc_id").alias("doc_id"), F.col("text").cast("string").alias("t"), carried.alias("carried"))
+    texts = texts.withColumn("row", F.xxhash64("t"))
     both = texts.join(flags, F.col("doc_id").eqNullSafe(F.col("f_doc")) & (F.col("row") == F.col("f_row")), "left")
     split = F.split("t", "\n")
     clean = F.array_join(F.filter(split, lambda line, i: ~F.get("gone", i)), "\n")
@@ -94,5 +100,5 @@ def remove_spread_lines(docs: DataFrame, min_sites: int = MIN_SITES, margin: flo
         F.when(F.col("t").isNull(), 0).otherwise(worded).cast("long").alias("n_lines"),
         F.when(F.col("gone").isNull(), 0).otherwise(removed).cast("long").alias("n_removed"),
         F.when(F.col("gone").isNull(), F.col("t")).otherwise(clean).alias("clean_text"),
-        "row",
+        "carried",
     )

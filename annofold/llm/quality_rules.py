@@ -180,3 +180,28 @@ def line_first_quality(docs: DataFrame, rules: LineRules = LineRules(), with_tex
         + (["clean_text string"] if with_text else [])
     )
     return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, ddl)
+
+
+def keep_clean(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, all columns, without their failed lines.
+
+    text loses its failed lines and n_chars, where present, counts what is left (code points);
+    a row without failed lines is unchanged. Judged row by row, like ``line_first_quality``.
+    """
+    names = docs.columns
+    at = names.index("text")
+    size_at = names.index("n_chars") if "n_chars" in names else None
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            rows = [judge(t, rules) for t in utf8_column(batch, at)]
+            kept = [k for k, r in enumerate(rows) if r[6]]
+            some = batch.take(pa.array(kept, pa.int64()))
+            texts = [rows[k][9] for k in kept]
+            columns = list(some.columns)
+            columns[at] = pa.array(texts, pa.binary()).cast(pa.string())
+            if size_at is not None:
+                columns[size_at] = pa.array([_points(t) for t in texts], columns[size_at].type)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return docs.mapInArrow(run, docs.schema)

@@ -1,17 +1,77 @@
-"""The corpus pipeline: five operators of the ``llm`` subpackage in a row."""
+"""The corpus pipeline: five operators of the ``llm`` subpackage in a row.
+
+Each stage takes the whole output of the one before, written as Parquet and read again, and
+returns the columns of ``documents``; the last returns packed pieces.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from annofold.llm._shared import durable
+from annofold.llm.decontaminate import contamination
+from annofold.llm.line_spread import remove_spread_lines
+from annofold.llm.packing import pack_documents
+from annofold.llm.parity_join import similarity_components
+from annofold.llm.quality_rules import keep_clean
+from annofold.llm.queries import tokenizer_path
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Failed lines go, and documents that are rejected."""
+    return keep_clean(docs)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines found on many sites go, but for the first occurrence; every document stays."""
+    others = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
+    clean = remove_spread_lines(docs, carry=others)
+    columns = {
+        "doc_id": F.col("doc_id"),
+        "text": F.col("clean_text"),
+        "n_chars": F.length("clean_text").cast("long"),
+        **{c: F.col("carried").getField(c) for c in others},
+    }
+    return clean.select(*(columns[c].alias(c) for c in docs.columns))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of similar texts stays: the one with the smallest doc_id."""
+    others = similarity_components(docs).filter("doc_id != component_id").select("doc_id").distinct()
+    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go."""
+    spans = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))[1]
+    hit = spans.select(F.col("doc_id").alias("hit_doc"), F.col("row").alias("hit_row")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("hit_doc")) & (F.xxhash64(F.col("text").cast("string")) == F.col("hit_row"))
+    return docs.join(hit, same, "left_anti").select(*docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of at most 2048 tokens."""
+    return pack_documents(docs, tokenizer_path())
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("packing", packing),
+]
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+#: SQL has no tokenizer; tests/llm holds the stages against brute force instead.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packed pieces of the documents that all stages keep."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = durable(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
