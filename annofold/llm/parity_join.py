@@ -13,6 +13,9 @@ and b shingles is at most T = (a + b) * (100 - PERCENT) // (100 + PERCENT).
   before empty ones, blocks with some uncommon shingle first, and those with most shingles
   before others, so that what is shared is rarely shared by chance. Common shingles are found by
   local counts over all texts; they touch only the order, never the result.
+* Position: when the first common block stands at place p of the order, p blocks differ; so
+  a meeting counts only at places up to T of the two sizes, and a set writes no block beyond
+  the T of its size and the largest partner it can have.
 * A pair is joined in the band of its smaller set; a set that may be the larger one also
   writes blocks for the band below. Sets of under ``SMALL`` shingles have a block for each.
 * Equal sets are one class, joined once. In a block's group every member is paired with the
@@ -93,19 +96,29 @@ class Bands:
         own = bisect_right(self._lows, n) - 1
         return [own, own - 1] if own and self.at_least(n) < self._lows[own] else [own]
 
-    def blocks(self, band: int) -> tuple[int, int]:
-        """(blocks, blocks that may differ) of a band above the first."""
-        self._grow(self._lows[band] if band < len(self._lows) else 0)
+    def blocks(self, band: int) -> int:
+        """Blocks of a band above the first: enough that few sets have to write empty ones."""
+        self._grow(max(self._lows[band : band + 1], default=self._lows[-1]))
         while len(self._lows) <= band + 1:
-            self._lows.append(-(-self._lows[-1] * 100 // self.percent))
-        a = self._lows[band + 1] - 1
-        b = a * 100 // self.percent
-        differ = (a + b) * (100 - self.percent) // (100 + self.percent)
-        return (3 * (differ + 1)) // 2 + 24, differ
+            self._grow(self._lows[-1])
+        return (3 * (self.differ(self._lows[band + 1] - 1, None) + 1)) // 2 + 24
+
+    def differ(self, n: int, most: int | None) -> int:
+        """The most by which a set of size n differs from a similar one of at most ``most``."""
+        partner = n * 100 // self.percent
+        if most is not None:
+            partner = min(partner, most)
+        return (n + partner) * (100 - self.percent) // (100 + self.percent)
+
+    def written(self, n: int, band: int) -> int:
+        """Blocks that a set of size n writes in a band above the first."""
+        own = bisect_right(self._lows, n) - 1
+        return self.differ(n, None if band == own else self._lows[own] - 1) + 1
 
 
-def block_keys(shingles: np.ndarray, common: np.ndarray, bands: Bands) -> np.ndarray:
-    """Keys of the blocks by which this set meets every set that may be similar."""
+def block_keys(shingles: np.ndarray, common: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the blocks by which this set meets every set that may be similar, and their
+    places in the order (0 for all in the first band)."""
     n = len(shingles)
     if common.size:
         at = np.searchsorted(common, shingles)
@@ -113,7 +126,7 @@ def block_keys(shingles: np.ndarray, common: np.ndarray, bands: Bands) -> np.nda
     else:
         frequent = np.zeros(n, bool)
     positions = _mix(shingles ^ np.uint64(0x5851F42D4C957F2D))
-    out = []
+    out, places = [], []
     for band in bands.of(n):
         salt = np.uint64((band + 1) * 0xD6E8FEB86659FD93 & _MASK)
         if band == 0:
@@ -121,8 +134,7 @@ def block_keys(shingles: np.ndarray, common: np.ndarray, bands: Bands) -> np.nda
             rank = (keys >> np.uint64(24)) + (frequent.astype(np.uint64) << np.uint64(42))
             need = n - bands.at_least(n) + 1
         else:
-            parts, differ = bands.blocks(band)
-            need = differ + 1
+            parts, need = bands.blocks(band), bands.written(n, band)
             block = ((shingles >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
             first = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1])))
             size = np.diff(np.append(first, n))
@@ -137,8 +149,10 @@ def block_keys(shingles: np.ndarray, common: np.ndarray, bands: Bands) -> np.nda
                 more = _mix(_mix(empty * np.uint64(2) + salt) ^ np.uint64(0xA5A5A5A5A5A5A5A5))
                 rank = np.concatenate((rank, (more >> np.uint64(31)) + np.uint64(1 << 44)))
                 keys = np.concatenate((keys, more))
-        out.append(keys[np.argpartition(rank, need - 1)[:need]] if need < len(keys) else keys)
-    return np.concatenate(out).view(np.int64)
+        chosen = np.argsort(rank, kind="stable")[:need]
+        out.append(keys[chosen])
+        places.append(np.arange(len(chosen), dtype=np.int32) if band else np.zeros(len(chosen), np.int32))
+    return np.concatenate(out).view(np.int64), np.concatenate(places)
 
 
 def _features(docs: DataFrame) -> DataFrame:
@@ -169,7 +183,7 @@ def _features(docs: DataFrame) -> DataFrame:
 
 
 def _keys(texts: DataFrame, common: np.ndarray, percent: int) -> DataFrame:
-    """(key, doc, n) of all blocks that the sets of ``texts`` (doc, text) write."""
+    """(key, doc, n, place) of all blocks that the sets of ``texts`` (doc, text) write."""
     held = texts.sparkSession.sparkContext.broadcast(common)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,43 +192,48 @@ def _keys(texts: DataFrame, common: np.ndarray, percent: int) -> DataFrame:
             for at in range(0, batch.num_rows, 200):
                 some = batch.slice(at, 200)
                 sets = [shingle_set(t) for t in utf8_column(some, 1)]
-                keys = [block_keys(s, held.value, bands) for s in sets]
-                times = [len(k) for k in keys]
+                made = [block_keys(s, held.value, bands) for s in sets]
+                times = [len(k) for k, _ in made]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.concatenate(keys)),
+                        pa.array(np.concatenate([k for k, _ in made])),
                         pa.array(np.repeat(some.column(0).to_numpy(), times)),
                         pa.array(np.repeat(np.array([len(s) for s in sets], np.int32), times)),
+                        pa.array(np.concatenate([p for _, p in made])),
                     ],
-                    ["key", "doc", "n"],
+                    ["key", "doc", "n", "place"],
                 )
 
-    return texts.mapInArrow(run, "key long, doc long, n int")
+    return texts.mapInArrow(run, "key long, doc long, n int, place int")
 
 
 def _met(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From rows sorted by (key, doc): each later row of a key with the key's first document."""
-    last = None
+    last: list[np.ndarray] | None = None
     for batch in it:
-        key, doc, n = (batch.column(k).to_numpy() for k in range(3))
+        rows = [batch.column(k).to_numpy() for k in range(4)]
+        key = rows[0]
         if not len(key):
             continue
-        new = np.concatenate(([last is None or key[0] != last[0]], key[1:] != key[:-1]))
-        group = np.cumsum(new) - 1
-        first_doc, first_n = doc[new], n[new]
+        new = np.concatenate(([last is None or key[0] != last[0][-1]], key[1:] != key[:-1]))
+        group = np.cumsum(new) - new[0]
+        firsts = [column[new] for column in rows]
         if not new[0]:
-            group += 1
-            first_doc, first_n = np.append(last[1], first_doc), np.append(last[2], first_n)
-        out = ~new
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(x) for x in (key[out], doc[out], n[out], first_doc[group[out]], first_n[group[out]])],
-            ["key", "doc", "n", "pivot", "pivot_n"],
-        )
-        last = key[-1], first_doc[-1], first_n[-1]
+            firsts = [np.append(old[-1:], column) for old, column in zip(last, firsts, strict=True)]
+        later = ~new
+        out = [column[later] for column in rows] + [column[group[later]] for column in firsts[1:]]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], ["key", "doc", "n", "place", "pivot", "pivot_n", "pivot_place"])
+        last = [column[-1:] for column in firsts]
 
 
-def _may_link(a: Column, b: Column, percent: int) -> Column:
-    return F.greatest(a, b) * percent <= F.least(a, b) * 100
+def _differ(a: Column, b: Column, percent: int) -> Column:
+    return F.floor((a + b) * (100 - percent) / (100 + percent))
+
+
+def _may_link(a: Column, b: Column, place_a: Column, place_b: Column, percent: int) -> Column:
+    """Sizes are near enough, and the meeting is early enough in the order."""
+    near = F.greatest(a, b) * percent <= F.least(a, b) * 100
+    return near & (F.greatest(place_a, place_b) <= _differ(a, b, percent))
 
 
 def _shared_count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,18 +290,23 @@ def similarity_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     common = np.sort(common.view(np.uint64))
 
     own = classes.select(F.col("doc").alias("c_doc"), F.col("row").alias("c_row"))
-    firsts = texts.join(own, (F.col("doc_id") == F.col("c_doc")) & (F.col("row") == F.col("c_row")), "left_semi")
-    firsts = firsts.select(F.col("doc_id").alias("doc"), "text")
+    is_own = (F.col("doc_id") == F.col("c_doc")) & (F.col("row") == F.col("c_row"))
+    firsts = texts.join(own, is_own, "left_semi").select(F.col("doc_id").alias("doc"), "text")
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     keys = _keys(firsts, common, percent).repartition(parts, "key").sortWithinPartitions("key", "doc")
-    met = durable(keys.mapInArrow(_met, "key long, doc long, n int, pivot long, pivot_n int").filter("doc != pivot"))
+    met_type = "key long, doc long, n int, place int, pivot long, pivot_n int, pivot_place int"
+    met = durable(keys.mapInArrow(_met, met_type).filter("doc != pivot"))
 
     # First round: each document with the pivot it meets most often.
-    stars = met.filter(_may_link(F.col("n"), F.col("pivot_n"), percent)).groupBy("doc", "pivot").agg(F.count(F.lit(1)).alias("times"))
+    may = _may_link(F.col("n"), F.col("pivot_n"), F.col("place"), F.col("pivot_place"), percent)
+    stars = met.filter(may).groupBy("doc", "pivot").agg(F.count(F.lit(1)).alias("times"))
     best = stars.groupBy("doc").agg(F.max_by("pivot", F.struct("times", -F.col("pivot"))).alias("pivot"))
     inside = met.select("doc").union(met.select("pivot")).distinct()
+    own_inside = own.join(inside, F.col("c_doc") == F.col("doc"), "left_semi")
     sets = durable(
-        firsts.join(inside, "doc", "left_semi").mapInArrow(
+        texts.join(own_inside, is_own, "left_semi")
+        .select(F.col("doc_id").alias("doc"), "text")
+        .mapInArrow(
             lambda it: (
                 pa.RecordBatch.from_arrays(
                     [b.column(0), pa.array([shingle_set(t).tobytes() for t in utf8_column(b, 1)], pa.binary())], ["doc", "h"]
@@ -302,7 +326,8 @@ def similarity_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     near = components(edges)
 
     # Second round: groups that still hold several components.
-    members = met.select("key", "doc", "n").union(met.select("key", F.col("pivot").alias("doc"), F.col("pivot_n").alias("n"))).distinct()
+    pivots = met.select("key", F.col("pivot").alias("doc"), F.col("pivot_n").alias("n"), F.col("pivot_place").alias("place"))
+    members = met.select("key", "doc", "n", "place").union(pivots.distinct())
     placed = (
         members.join(near, members.doc == near.node, "left")
         .join(family.select(F.col("doc").alias("f_doc"), "centre", "radius"), F.col("doc") == F.col("f_doc"), "left")
@@ -310,6 +335,7 @@ def similarity_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
             "key",
             "doc",
             "n",
+            "place",
             F.coalesce("component", "doc").alias("component"),
             F.coalesce("centre", "doc").alias("centre"),
             F.coalesce("radius", F.lit(0)).alias("radius"),
@@ -318,18 +344,21 @@ def similarity_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi")
     open_groups = durable(placed.join(mixed.select("key"), "key", "left_semi"))
     by_family = open_groups.groupBy("key", "component", "centre").agg(
-        F.max("radius").alias("radius"), F.min("n").alias("least"), F.max("n").alias("most"), F.count(F.lit(1)).alias("members")
+        F.max("radius").alias("radius"), F.min("n").alias("least"), F.max("n").alias("most"), F.min("place").alias("place")
     )
     one, two = by_family.alias("one"), by_family.alias("two")
+    most_apart = _differ(F.col("one.most"), F.col("two.most"), percent)
+    can_meet = (
+        (F.col("one.key") == F.col("two.key"))
+        & (F.col("one.centre") < F.col("two.centre"))
+        & (F.col("one.component") != F.col("two.component"))
+        & (F.greatest("one.least", "two.least") * percent <= F.least("one.most", "two.most") * 100)
+        & (F.greatest("one.place", "two.place") <= most_apart)
+    )
     wide = (
-        one.join(two, (F.col("one.key") == F.col("two.key")) & (F.col("one.centre") < F.col("two.centre")))
-        .filter("one.component != two.component")
-        .filter(F.greatest("one.least", "two.least") * percent <= F.least("one.most", "two.most") * 100)
+        one.join(two, can_meet)
         .groupBy(F.col("one.centre").alias("x"), F.col("two.centre").alias("y"))
-        .agg(
-            F.max(F.col("one.radius") + F.col("two.radius")).alias("radii"),
-            F.max(F.floor((F.col("one.most") + F.col("two.most")) * (100 - percent) / (100 + percent))).alias("differ"),
-        )
+        .agg(F.max(F.col("one.radius") + F.col("two.radius")).alias("radii"), F.max(most_apart).alias("differ"))
     )
     wide = durable(wide)
     centres = durable(_measured(wide.select("x", "y"), sets))
@@ -337,13 +366,15 @@ def similarity_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     close = (
         wide.join(centres.withColumn("apart", apart), ["x", "y"])
         .filter((F.col("apart") <= F.col("radii") + F.col("differ")) & ~_linked(percent) & (F.col("radii") > 0))
-        .select(F.col("x").alias("cx"), F.col("y").alias("cy"))
+        .select(F.col("x").alias("cx"), F.col("y").alias("cy"), "apart")
     )
     p, q = open_groups.alias("p"), open_groups.alias("q")
+    # Triangle: |x - y| is at least |cx - cy| - |x - cx| - |y - cy|.
+    within = F.col("apart") <= F.col("p.radius") + F.col("q.radius") + _differ(F.col("p.n"), F.col("q.n"), percent)
+    meet = _may_link(F.col("p.n"), F.col("q.n"), F.col("p.place"), F.col("q.place"), percent)
     member_pairs = (
         p.join(close, F.col("p.centre") == F.col("cx"))
-        .join(q, (F.col("p.key") == F.col("q.key")) & (F.col("q.centre") == F.col("cy")))
-        .filter(_may_link(F.col("p.n"), F.col("q.n"), percent))
+        .join(q, (F.col("p.key") == F.col("q.key")) & (F.col("q.centre") == F.col("cy")) & within & meet)
         .select(F.col("p.doc").alias("x"), F.col("q.doc").alias("y"))
         .distinct()
     )
