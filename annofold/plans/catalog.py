@@ -1,10 +1,375 @@
-"""Registered queries of the library's own operators and their DuckDB SQL."""
+"""Registered queries of the library's own operators and their DuckDB SQL.
+
+A key starts with the id of the operator that it applies. Doubles are rounded to nine places on
+both sides, since sums come in any order.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from annofold.functions import length_bin, stable_hash
+from annofold.operators import embeddings as emb
+from annofold.operators import features as feat
+from annofold.operators import folds as fold_ops
+from annofold.operators import hits as hit_ops
+from annofold.operators import metrics
+from annofold.operators import models as ml
+from annofold.operators import ontology as onto
+from annofold.operators import predictions as pred
+from annofold.operators import submission as sub
+from annofold.operators.tables import label_frequency, sequence_summary
+from annofold.plans import adapters as ad
+from annofold.plans.oracle import ORACLE_SQL
+from annofold.sources.fasta import parsed_header
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+PLACES = 9
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
+
+
+def query(f: Query) -> Query:
+    QUERIES[f.__name__] = f
+    return f
+
+
+def rounded(df: DataFrame, *columns: str) -> DataFrame:
+    for c in columns:
+        df = df.withColumn(c, F.round(c, PLACES))
+    return df
+
+
+def _ontology(spark: SparkSession, sf_dir: str) -> onto.OntologyTables:
+    return onto.build_ontology(ad.stanzas(spark, sf_dir), ad.raw_edges(spark, sf_dir), validate=False)
+
+
+def _terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return onto.active_terms(onto.term_table(ad.stanzas(spark, sf_dir)))
+
+
+# Sources and scalar functions
+
+
+@query
+def src01_parse_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = ad.headers(spark, sf_dir).select("header", parsed_header(F.col("header")).alias("h"))
+    return parsed.select("header", "h.entry_id", "h.database", "h.uniprot_name", "h.taxon_id")
+
+
+@query
+def prj09_length_bin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bins = ad.sequences(spark, sf_dir).select(length_bin(F.col("length")).alias("length_bin"))
+    return bins.groupBy("length_bin").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def prj10_stable_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ad.sequences(spark, sf_dir).select("entry_id", stable_hash(F.col("entry_id"), 42).alias("hash"))
+
+
+@query
+def src04_terms_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hit_ops.prepare_labels(ad.truth(spark, sf_dir))
+
+
+@query
+def agg01_label_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return label_frequency(ad.truth(spark, sf_dir))
+
+
+@query
+def agg02_sequence_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(sequence_summary(ad.sequences(spark, sf_dir)), "mean_length", "median_length")
+
+
+# Hits
+
+
+@query
+def prj02_normalize_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(hit_ops.normalize_hits(ad.hits(spark, sf_dir)), "evalue", "qcov", "tcov")
+
+
+def _weights(df: DataFrame) -> DataFrame:
+    out = hit_ops.add_hit_weights(df).select("query_id", "target_id", "hit_weight")
+    return rounded(out, "hit_weight")
+
+
+@query
+def dom01_hit_weights_bitscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _weights(ad.hits(spark, sf_dir))
+
+
+@query
+def dom01_hit_weights_pident(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _weights(ad.hits(spark, sf_dir).drop("bits"))
+
+
+@query
+def dom01_hit_weights_evalue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _weights(ad.hits(spark, sf_dir).drop("bits", "pident"))
+
+
+@query
+def dom01_hit_weights_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _weights(ad.hits(spark, sf_dir).withColumn("score", F.when(F.col("pident") > 20, F.col("pident") / 100)))
+
+
+@query
+def dom02_oof_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = hit_ops.filter_oof_hits(ad.hits(spark, sf_dir), ad.folds_of_orders(spark, sf_dir))
+    return rounded(kept.select("query_id", "target_id", "query_fold", "target_fold", "hit_weight"), "hit_weight")
+
+
+@query
+def dom03_test_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = hit_ops.filter_test_hits(ad.hits(spark, sf_dir), ad.truth(spark, sf_dir))
+    return rounded(kept.select("query_id", "target_id", "hit_weight"), "hit_weight")
+
+
+@query
+def win01_top_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    best = hit_ops.limit_hits(hit_ops.add_hit_weights(ad.hits(spark, sf_dir)), 2)
+    return rounded(best.select("query_id", "target_id", "bitscore", "hit_weight"), "hit_weight")
+
+
+@query
+def agg03_noisy_or(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = hit_ops.filter_oof_hits(ad.hits(spark, sf_dir), ad.folds_of_orders(spark, sf_dir))
+    return rounded(hit_ops.aggregate_hit_labels(kept, ad.truth(spark, sf_dir)), "score", "best_hit_weight")
+
+
+@query
+def agg05_homology_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flagship: out-of-fold label transfer, the best three labels per entry and branch."""
+    kept = hit_ops.filter_oof_hits(ad.hits(spark, sf_dir), ad.folds_of_orders(spark, sf_dir))
+    best = hit_ops.transfer_top_k(kept, ad.truth(spark, sf_dir), max_predictions=3)
+    return rounded(best.select("entry_id", "term", "branch", "score", "n_hits"), "score")
+
+
+@query
+def agg16_transfer_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits, predictions = hit_ops.test_transfer(ad.hits(spark, sf_dir), ad.truth(spark, sf_dir))
+    return rounded(hit_ops.transfer_summary(hits, predictions), "min_score", "max_score")
+
+
+# Ontology
+
+
+@query
+def prj13_edge_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return onto.edge_drop_counts(onto.classify_edges(ad.raw_edges(spark, sf_dir), _terms(spark, sf_dir)))
+
+
+@query
+def rec01_ancestors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ontology(spark, sf_dir).ancestors
+
+
+@query
+def dom06_label_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = _ontology(spark, sf_dir)
+    return onto.close_labels(ad.raw_labels(spark, sf_dir), o.terms, o.ancestors, o.alt_ids)
+
+
+@query
+def agg22_label_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    terms = _terms(spark, sf_dir)
+    all_terms = onto.term_table(ad.stanzas(spark, sf_dir))
+    return onto.label_issues(ad.raw_labels(spark, sf_dir), terms, onto.alt_id_table(terms, validate=False), all_terms)
+
+
+# Folds
+
+
+@query
+def seq01_folds_singleton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fold_ops.make_folds(ad.sequences(spark, sf_dir)).select("entry_id", "fold", "length_bin", "stratification_key")
+
+
+@query
+def seq01_folds_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folds = fold_ops.make_folds(ad.sequences(spark, sf_dir), ad.clusters(spark, sf_dir))
+    return folds.select("entry_id", "fold", "cluster_id", "cluster_source")
+
+
+@query
+def agg14_fold_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folds = ad.folds_of_orders(spark, sf_dir).withColumn("cluster_id", F.substring("entry_id", 1, 3))
+    return fold_ops.validate_folds(folds)
+
+
+@query
+def agg15_fold_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fold_ops.fold_label_report(ad.folds_of_orders(spark, sf_dir), ad.truth(spark, sf_dir))
+
+
+# Predictions
+
+
+@query
+def agg06_collapse_max(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(pred.collapse_scores(ad.supervised(spark, sf_dir)), "score")
+
+
+@query
+def agg12_branch_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(pred.branch_stats(ad.predictions(spark, sf_dir)), "raw_score_min", "raw_score_max", "raw_score_mean")
+
+
+@query
+def win02_prune_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(pred.prune_top_k(pred.collapse_scores(ad.predictions(spark, sf_dir)), 2), "score")
+
+
+@query
+def win05_branch_max_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    halved = pred.collapse_scores(ad.predictions(spark, sf_dir)).withColumn("score", F.col("score") / 2)
+    return rounded(pred.normalize_by_branch(halved), "score")
+
+
+@query
+def dom07_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stated = ad.predictions(spark, sf_dir).drop("branch")
+    return rounded(pred.canonical_predictions(stated, _terms(spark, sf_dir)), "score")
+
+
+@query
+def dom08_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = _ontology(spark, sf_dir)
+    return rounded(pred.repair_hierarchy(ad.predictions(spark, sf_dir), o.ancestors, o.terms), "score")
+
+
+@query
+def dom09_repair_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = _ontology(spark, sf_dir)
+    return rounded(pred.repair_by_branch(ad.predictions(spark, sf_dir), o.ancestors, o.terms, 3), "score")
+
+
+@query
+def dom10_blend_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    frames = [ad.predictions(spark, sf_dir), ad.supervised(spark, sf_dir)]
+    return rounded(pred.blend_mean(frames, _terms(spark, sf_dir), [3.0, 1.0]), "score")
+
+
+@query
+def dom11_blend_max(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(pred.blend_max(ad.predictions(spark, sf_dir), ad.supervised(spark, sf_dir), 0.5, 0.8, 1), "score")
+
+
+@query
+def dom12_calibrate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    halved = ad.predictions(spark, sf_dir).withColumn("score", F.col("score") / 2)
+    calibration = pred.fit_calibration(halved, ad.truth(spark, sf_dir))
+    return rounded(pred.collapse_scores(pred.apply_calibration(halved, calibration, validate=False)), "score")
+
+
+# Metrics
+
+
+_SCORE_COLUMNS = ("fmax", "threshold", "precision", "recall", "mean_fmax")
+
+
+@query
+def dom16_fmax_macro(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = metrics.score_branches(ad.truth(spark, sf_dir), ad.predictions(spark, sf_dir), validate=False)
+    return rounded(scores, *_SCORE_COLUMNS)
+
+
+@query
+def dom16_fmax_micro(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = metrics.score_branches(ad.truth(spark, sf_dir), ad.predictions(spark, sf_dir), average="micro", validate=False)
+    return rounded(scores, *_SCORE_COLUMNS)
+
+
+@query
+def agg13_fit_calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fitted = pred.fit_calibration(ad.predictions(spark, sf_dir), ad.truth(spark, sf_dir), average="micro")
+    out = fitted.select("branch", "fmax", "raw_score_min", "raw_score_max", "raw_score_mean", "prediction_rows", "method", "scale")
+    return rounded(out, "fmax", "raw_score_min", "raw_score_max", "raw_score_mean", "scale")
+
+
+# Submission
+
+
+def _submission_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _terms(spark, sf_dir).filter("term != 'T00001'")
+
+
+@query
+def dom17_submission(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entries = ad.folds_of_orders(spark, sf_dir).filter("fold = 0")
+    given = pred.collapse_scores(ad.predictions(spark, sf_dir))
+    return rounded(sub.shape_submission(given, entries, _submission_terms(spark, sf_dir), 2, 3), "score")
+
+
+@query
+def agg18_submission_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entries = ad.folds_of_orders(spark, sf_dir).filter("fold != 4")
+    return sub.validate_submission(ad.supervised(spark, sf_dir), entries, _submission_terms(spark, sf_dir))
+
+
+# Embeddings and heads
+
+
+@query
+def dom18_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    config = emb.BatchConfig("train", "artifacts/embeddings/train", 64)
+    return emb.create_manifest(emb.normalize_sequences(ad.sequences(spark, sf_dir)), config)
+
+
+@query
+def agg17_manifest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    config = emb.BatchConfig("train", "artifacts/embeddings/train", 64)
+    manifest = emb.create_manifest(emb.normalize_sequences(ad.sequences(spark, sf_dir)), config)
+    done = manifest.filter("batch_id < 'batch_00003'").select("shard_path")
+    return emb.manifest_summary(emb.with_shard_status(manifest, done)).select(
+        "n_sequences", "n_batches", "n_complete", "n_pending", "n_pending_batches"
+    )
+
+
+@query
+def agg10_select_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feat.select_terms(ad.truth(spark, sf_dir), 5, {"MF": 15, "BP": 25, "CC": 10})
+
+
+def _vector_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ad.vectors(spark, sf_dir).select("entry_id", F.col("label").alias("term"), F.lit("MF").alias("branch"))
+
+
+def _vector_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entries = ad.vectors(spark, sf_dir)
+    return entries.select("entry_id", F.pmod(F.col("entry_id").cast("long"), F.lit(3)).cast("int").alias("fold"))
+
+
+@query
+def agg11_trainable_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = _vector_labels(spark, sf_dir)
+    selected = feat.select_terms(labels, 2)
+    return feat.trainable_terms(feat.label_pairs(labels, labels, selected), _vector_folds(spark, sf_dir), 2)
+
+
+@query
+def win07_topk_from_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = ad.vectors(spark, sf_dir).select("entry_id", F.col("embedding").alias("scores"))
+    best = feat.top_k_of_vectors(scores, [f"L{k:02d}" for k in range(64)], "MF", 5, 0.05)
+    return best.withColumn("score", F.round("score", 6))
+
+
+@query
+def ml03_linear_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coef = [((k * 7) % 11 - 5) / 5 for k in range(64)]
+    return ml.linear_scores(ad.vectors(spark, sf_dir), coef, 0.25).withColumn("score", F.round("score", 6))
+
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+@query
+def ml06_cv_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Out-of-fold predictions of cross-validated heads (held to invariants by tests)."""
+    vectors, folds, labels = ad.vectors(spark, sf_dir), _vector_folds(spark, sf_dir), _vector_labels(spark, sf_dir)
+    pairs = feat.label_pairs(vectors, labels, feat.select_terms(labels, 2))
+    return ml.cross_validate(vectors, folds, pairs, feat.trainable_terms(pairs, folds), top_k=3, alpha=0.01, steps=12)[0]
