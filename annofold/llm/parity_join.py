@@ -25,6 +25,9 @@ and b shingles is at most T = (a + b) * (100 - PERCENT) // (100 + PERCENT).
   the triangle inequality only those near enough are opened into pairs of members, verified
   exactly. So copies are never expanded into all pairs and no link between different texts
   is lost.
+* In a group of more than ``LARGE`` families, and among the opened members, each side carries a
+  short parity sketch of all its shingles: a pair whose sketches differ in more bits than the
+  sets may is dropped inside the join, before it is a row.
 * Verification intersects the shingle hashes.
 """
 
@@ -32,6 +35,7 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +51,10 @@ PERCENT = 75
 SMALL = 32
 #: A shingle is common when at least this share of the texts has it.
 COMMON = 0.0005
+#: 64-bit words of the short parity sketch that documents of large groups carry.
+SKETCH_WORDS = 8
+#: Families in a block's group above which they carry it.
+LARGE = 16
 _MASK = (1 << 64) - 1
 
 
@@ -75,6 +83,13 @@ def shingle_set(text: bytes | None) -> np.ndarray:
     return np.unique(_mix(total))
 
 
+def parity_sketch(shingles: np.ndarray) -> np.ndarray:
+    """``SKETCH_WORDS`` words; a shingle flips one bit, so sketches differ in at most as many bits as sets."""
+    bits = SKETCH_WORDS * 64
+    flips = np.bincount((_mix(shingles ^ np.uint64(0x2545F4914F6CDD1D)) % np.uint64(bits)).astype(np.int64), minlength=bits) % 2
+    return np.packbits(flips.astype(np.uint8)).view(np.int64)
+
+
 class Bands:
     """Size bands with a ratio of 1 / similarity: a partner is in the same band or a neighbour."""
 
@@ -226,6 +241,26 @@ def _met(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = [column[-1:] for column in firsts]
 
 
+_SKETCH = [f"s{k}" for k in range(SKETCH_WORDS)]
+
+
+def _set_batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc, h, s0, s1, ...) from (doc, text): shingle hashes and sketch."""
+    for batch in it:
+        sets = [shingle_set(t) for t in utf8_column(batch, 1)]
+        words = np.array([parity_sketch(s) for s in sets], np.int64).reshape(len(sets), SKETCH_WORDS)
+        hashes = pa.array([s.tobytes() for s in sets], pa.binary())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), hashes, *(pa.array(words[:, k]) for k in range(SKETCH_WORDS))], ["doc", "h", *_SKETCH]
+        )
+
+
+def _sketches_within(one: str, two: str, most: Column) -> Column:
+    """The sketches of two sides differ in at most ``most`` bits."""
+    bits = [F.bit_count(F.col(f"{one}.{s}").bitwiseXOR(F.col(f"{two}.{s}"))) for s in _SKETCH]
+    return reduce(lambda a, b: a + b, bits) <= most
+
+
 def _differ(a: Column, b: Column, percent: int) -> Column:
     return F.floor((a + b) * (100 - percent) / (100 + percent))
 
@@ -306,15 +341,7 @@ def similarity_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     sets = durable(
         texts.join(own_inside, is_own, "left_semi")
         .select(F.col("doc_id").alias("doc"), "text")
-        .mapInArrow(
-            lambda it: (
-                pa.RecordBatch.from_arrays(
-                    [b.column(0), pa.array([shingle_set(t).tobytes() for t in utf8_column(b, 1)], pa.binary())], ["doc", "h"]
-                )
-                for b in it
-            ),
-            "doc long, h binary",
-        )
+        .mapInArrow(_set_batches, ", ".join(["doc long, h binary", *(f"{s} long" for s in _SKETCH)]))
     )
     apart = F.col("a") + F.col("b") - 2 * F.col("shared")
     family = durable(
@@ -346,7 +373,10 @@ def similarity_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     by_family = open_groups.groupBy("key", "component", "centre").agg(
         F.max("radius").alias("radius"), F.min("n").alias("least"), F.max("n").alias("most"), F.min("place").alias("place")
     )
-    one, two = by_family.alias("one"), by_family.alias("two")
+    large_keys = durable(by_family.groupBy("key").agg(F.count(F.lit(1)).alias("families")).filter(F.col("families") > LARGE).select("key"))
+    sketches = sets.select("doc", *_SKETCH)
+    small = by_family.join(large_keys, "key", "left_anti")
+    large = by_family.join(large_keys, "key", "left_semi").join(sketches, F.col("centre") == F.col("doc")).drop("doc")
     most_apart = _differ(F.col("one.most"), F.col("two.most"), percent)
     can_meet = (
         (F.col("one.key") == F.col("two.key"))
@@ -355,26 +385,51 @@ def similarity_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         & (F.greatest("one.least", "two.least") * percent <= F.least("one.most", "two.most") * 100)
         & (F.greatest("one.place", "two.place") <= most_apart)
     )
-    wide = (
-        one.join(two, can_meet)
-        .groupBy(F.col("one.centre").alias("x"), F.col("two.centre").alias("y"))
-        .agg(F.max(F.col("one.radius") + F.col("two.radius")).alias("radii"), F.max(most_apart).alias("differ"))
-    )
+    # Triangle: centres differ by at most the radii and what their members may differ by.
+    sketched = can_meet & _sketches_within("one", "two", F.col("one.radius") + F.col("two.radius") + most_apart)
+    found = [
+        side.alias("one")
+        .join(side.alias("two"), condition)
+        .select(
+            F.col("one.centre").alias("x"),
+            F.col("two.centre").alias("y"),
+            F.col("one.radius").alias("rx"),
+            F.col("two.radius").alias("ry"),
+            F.col("one.most").alias("mx"),
+            F.col("two.most").alias("my"),
+        )
+        for side, condition in ((small, can_meet), (durable(large), sketched))
+    ]
+    wide = found[0].union(found[1]).groupBy("x", "y").agg(*(F.max(c).alias(c) for c in ("rx", "ry", "mx", "my")))
     wide = durable(wide)
     centres = durable(_measured(wide.select("x", "y"), sets))
     linked_centres = centres.filter(_linked(percent)).select(F.col("x").alias("u"), F.col("y").alias("v"))
-    close = (
-        wide.join(centres.withColumn("apart", apart), ["x", "y"])
-        .filter((F.col("apart") <= F.col("radii") + F.col("differ")) & ~_linked(percent) & (F.col("radii") > 0))
-        .select(F.col("x").alias("cx"), F.col("y").alias("cy"), "apart")
+    far = F.col("apart") > F.col("rx") + F.col("ry") + _differ(F.col("mx"), F.col("my"), percent)
+    unlinked = wide.join(centres.withColumn("apart", apart), ["x", "y"]).filter(~far & ~_linked(percent) & (F.col("rx") + F.col("ry") > 0))
+    close = durable(
+        unlinked.join(sketches, F.col("y") == F.col("doc")).select(
+            F.col("x").alias("cx"), F.col("y").alias("cy"), "apart", "ry", "my", *_SKETCH
+        )
+    )
+    # Members of two near families are compared inside the joins: first those of one with the
+    # centre of the other, then with its members. By the triangle inequality x and a member of
+    # the other family differ by at least |x - cy| - ry.
+    alone = close.select(F.col("cx").alias("doc")).union(close.select("cy")).distinct()
+    own_family = family.select("doc", "centre", "radius").union(alone.select("doc", F.col("doc").alias("centre"), F.lit(0).cast("long")))
+    members = durable(own_family.join(sets.select("doc", (F.octet_length("h") / 8).cast("long").alias("n"), *_SKETCH), "doc"))
+    p, q, c = members.alias("p"), members.alias("q"), close.alias("c")
+    reach = F.col("c.ry") + _differ(F.col("p.n"), F.greatest("p.n", "c.my"), percent)
+    near_centre = (
+        (F.col("p.centre") == F.col("c.cx")) & (F.col("c.apart") <= F.col("p.radius") + reach) & _sketches_within("p", "c", reach)
     )
-    p, q = open_groups.alias("p"), open_groups.alias("q")
-    # Triangle: |x - y| is at least |cx - cy| - |x - cx| - |y - cy|.
-    within = F.col("apart") <= F.col("p.radius") + F.col("q.radius") + _differ(F.col("p.n"), F.col("q.n"), percent)
-    meet = _may_link(F.col("p.n"), F.col("q.n"), F.col("p.place"), F.col("q.place"), percent)
+    may_differ = _differ(F.col("p.n"), F.col("q.n"), percent)
+    sizes = F.greatest("p.n", "q.n") * percent <= F.least("p.n", "q.n") * 100
+    within = F.col("apart") <= F.col("p.radius") + F.col("q.radius") + may_differ
     member_pairs = (
-        p.join(close, F.col("p.centre") == F.col("cx"))
-        .join(q, (F.col("p.key") == F.col("q.key")) & (F.col("q.centre") == F.col("cy")) & within & meet)
+        p.join(c, near_centre)
+        .select(*(F.col(f"p.{k}").alias(k) for k in ("doc", "n", "radius", *_SKETCH)), "cy", "apart")
+        .alias("p")
+        .join(q, (F.col("p.cy") == F.col("q.centre")) & sizes & within & _sketches_within("p", "q", may_differ))
         .select(F.col("p.doc").alias("x"), F.col("q.doc").alias("y"))
         .distinct()
     )
