@@ -41,7 +41,7 @@ def obo(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     read = spark.read.option("lineSep", "\n[").text(path)
     rows = read.select(F.split(F.regexp_replace("value", r"\r\n?", "\n"), "\n").alias("raw"))
     head = F.regexp_replace(F.trim(F.get("raw", F.lit(0))), r"^\[", "")
-    lines = rows.filter(head == "Term]").select(F.transform("raw", F.trim).alias("lines"))
+    lines = rows.filter(head == "Term]").select(F.transform("raw", lambda x: F.trim(x)).alias("lines"))
     term = _last(_values("id"))
     told = F.raise_error(F.lit("a term without an id")).cast("string")
     part_of = F.filter(_values("relationship"), lambda x: x.startswith("part_of "))
