@@ -9,7 +9,7 @@ from annofold.sources.annotations import (
     typed_table,
 )
 from annofold.sources.fasta import fasta, parsed_header
-from annofold.sources.manifests import manifest_csv, shard_vectors
+from annofold.sources.manifests import manifest_csv, shard_list, shard_vectors
 from annofold.sources.obo import obo
 from annofold.sources.raw_files import copy_required_files, raw_file_report, raw_file_summary
 
@@ -23,6 +23,7 @@ __all__ = [
     "parsed_header",
     "raw_file_report",
     "raw_file_summary",
+    "shard_list",
     "shard_vectors",
     "string_table",
     "taxon_list_tsv",

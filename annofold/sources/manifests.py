@@ -16,7 +16,7 @@ from annofold.schemas import MANIFEST_COLUMNS, require_columns
 
 def shard_list(spark: SparkSession, folder: str, pattern: str = "*.npy") -> DataFrame:
     """(shard_path) of the shard files in a folder, as a scan that reads no content."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(folder)
     return files.select(F.regexp_replace("path", "^file:/+", "/").alias("shard_path"))
 
 
@@ -58,6 +58,6 @@ def shard_vectors(spark: SparkSession, folder: str, pattern: str = "*.npy") -> D
                     raise ValueError(f"a shard must hold a matrix: {path}")
                 yield pd.DataFrame({"shard_path": path, "position": np.arange(len(x), dtype=np.int32), "embedding": list(x)})
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).select("path", "content")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(folder).select("path", "content")
     read = files.mapInPandas(run, "shard_path string, position int, embedding array<float>")
     return read.withColumn("shard_path", F.regexp_replace("shard_path", "^file:/+", "/"))
