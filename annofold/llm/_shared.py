@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+#: Rows of a batch that a Python stage handles at once.
+SLICE = 2000
+
 _own_folder: dict[str, str] = {}
 
 
@@ -67,6 +72,25 @@ def dense_rank_in(
     )
 
 
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], rows: int = SLICE) -> Callable:
+    """``run`` over slices of its batches of at most ``rows`` rows; freed memory goes back to the system at the end.
+
+    Python workers serve one stage after another, so what a stage leaves in their allocators
+    would add to the next one's memory.
+    """
+
+    def over(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slices = (batch.slice(at, rows) for batch in it for at in range(0, batch.num_rows, rows))
+        try:
+            yield from run(slices)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if sys.platform == "linux":
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return over
+
+
 def utf8_column(batch: pa.RecordBatch, at: int) -> list[bytes | None]:
     """A string column of an Arrow batch as UTF-8 bytes, None where null."""
     return batch.column(at).cast(pa.binary()).to_pylist()

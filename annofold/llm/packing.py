@@ -24,11 +24,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annofold.llm._shared import batches, dense_rank_in, durable
+from annofold.llm._shared import batches, dense_rank_in, durable, tidy
 
 CAPACITY = 2048
 END_ID = 1
-CACHED_WORDS = 600_000
+#: Words in each of the two generations of a worker's table.
+CACHED_WORDS = 100_000
 TEXTS_AT_ONCE = 500
 WORDS_AT_ONCE = 256
 _WORD_END = re.compile("(?<=[A-Za-z0-9])(?=[.,])")
@@ -39,7 +40,8 @@ class WordIds:
 
     The tokenizer lower-cases, drops white space, and always cuts between a letter or digit
     and a full stop or comma; so a text's ids are those of the strings between such places,
-    in order. Strings met for the first time are encoded many at a time.
+    in order. Strings met for the first time are encoded many at a time. The table has two
+    generations: when the younger one is full the older one goes, so common words stay.
     """
 
     def __init__(self, path: str) -> None:
@@ -48,6 +50,7 @@ class WordIds:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._known: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
 
     def _split(self, text: str) -> list[str]:
         if "<|" not in text:  # a special token's name is matched before lower-casing
@@ -57,9 +60,12 @@ class WordIds:
     def of_texts(self, texts: list[str]) -> list[bytes]:
         split = [self._split(t) for t in texts]
         if len(self._known) > CACHED_WORDS:
-            self._known = {}
-        known = self._known
-        new = list(set().union(*split).difference(known))
+            self._known, self._older = {}, self._known
+        known, older = self._known, self._older
+        absent = set().union(*split).difference(known)
+        again = absent & older.keys()
+        known.update((w, older[w]) for w in again)
+        new = list(absent - again)
         for at in range(0, len(new), WORDS_AT_ONCE):
             words = new[at : at + WORDS_AT_ONCE]
             made = self._tokenizer.encode(" ".join(words), add_special_tokens=False)
@@ -107,7 +113,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPAC
 
     ddl = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + (", ids binary" if with_ids else "")
     chosen = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return chosen.mapInArrow(lambda it: batches(rows(it), schema), ddl)
+    return chosen.mapInArrow(tidy(lambda it: batches(rows(it), schema)), ddl)
 
 
 def pack_histogram(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:

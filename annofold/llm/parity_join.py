@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from annofold.llm._shared import durable, utf8_column
+from annofold.llm._shared import durable, tidy, utf8_column
 from annofold.llm.components import components
 
 WORDS = 5
@@ -51,6 +51,8 @@ PERCENT = 75
 SMALL = 32
 #: A shingle is common when at least this share of the texts has it.
 COMMON = 0.0005
+#: Texts at most among which shingles are counted at once, before the counts are summed.
+COUNTED = 10_000
 #: 64-bit words of the short parity sketch that documents of large groups carry.
 SKETCH_WORDS = 8
 #: Families in a block's group above which they carry it.
@@ -172,7 +174,7 @@ def block_keys(shingles: np.ndarray, common: np.ndarray, bands: Bands) -> tuple[
 
 def _features(docs: DataFrame) -> DataFrame:
     """Rows of two kinds: (doc_id, row, n, set_key) for each text; (shingle, n) for each shingle
-    that is common among the texts of one Arrow batch."""
+    that is common among the texts of one slice of a batch."""
     names = ["doc_id", "row", "n", "set_key", "shingle"]
     types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
 
@@ -194,7 +196,7 @@ def _features(docs: DataFrame) -> DataFrame:
             found, times = pa.array(values[often].view(np.int64)), pa.array(counts[often], pa.int64())
             yield pa.RecordBatch.from_arrays([nothing[0], nothing[1], times, nothing[3], found], names)
 
-    return docs.mapInArrow(run, "doc_id long, row long, n long, set_key binary, shingle long")
+    return docs.mapInArrow(tidy(run, COUNTED), "doc_id long, row long, n long, set_key binary, shingle long")
 
 
 def _keys(texts: DataFrame, common: np.ndarray, percent: int) -> DataFrame:
@@ -219,7 +221,7 @@ def _keys(texts: DataFrame, common: np.ndarray, percent: int) -> DataFrame:
                     ["key", "doc", "n", "place"],
                 )
 
-    return texts.mapInArrow(run, "key long, doc long, n int, place int")
+    return texts.mapInArrow(tidy(run), "key long, doc long, n int, place int")
 
 
 def _met(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -290,7 +292,7 @@ def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     left = sets.select(F.col("doc").alias("x"), F.col("h").alias("hx"))
     right = sets.select(F.col("doc").alias("y"), F.col("h").alias("hy"))
     both = pairs.join(left, "x").join(right, "y").select("x", "y", "hx", "hy")
-    return both.mapInArrow(_shared_count, "x long, y long, a long, b long, shared long")
+    return both.mapInArrow(tidy(_shared_count), "x long, y long, a long, b long, shared long")
 
 
 def _linked(percent: int) -> Column:
@@ -341,7 +343,7 @@ def similarity_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     sets = durable(
         texts.join(own_inside, is_own, "left_semi")
         .select(F.col("doc_id").alias("doc"), "text")
-        .mapInArrow(_set_batches, ", ".join(["doc long, h binary", *(f"{s} long" for s in _SKETCH)]))
+        .mapInArrow(tidy(_set_batches), ", ".join(["doc long, h binary", *(f"{s} long" for s in _SKETCH)]))
     )
     apart = F.col("a") + F.col("b") - 2 * F.col("shared")
     family = durable(

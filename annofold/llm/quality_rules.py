@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annofold.llm._shared import utf8_column
+from annofold.llm._shared import tidy, utf8_column
 
 # Closing punctuation and phrases of page furniture.
 CLOSING = (".", "!", "?", ":", ";", '"', "'", ")", "…", "”", "’", "»")
@@ -179,7 +179,7 @@ def line_first_quality(docs: DataFrame, rules: LineRules = LineRules(), with_tex
         + [f"{k} {'boolean' if t == pa.bool_() else 'long'}" for k, t in _FIELDS]
         + (["clean_text string"] if with_text else [])
     )
-    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, ddl)
+    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(tidy(run), ddl)
 
 
 def keep_clean(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
@@ -204,4 +204,4 @@ def keep_clean(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
                 columns[size_at] = pa.array([_points(t) for t in texts], columns[size_at].type)
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
