@@ -45,6 +45,10 @@ def normalize_hits(hits: DataFrame) -> DataFrame:
     Columns are found by ``HIT_ALIASES``; one that is absent, and any value that is no number,
     becomes null. Only those columns are read.
     """
+    return _standard(hits).dropDuplicates()
+
+
+def _standard(hits: DataFrame) -> DataFrame:
     found = {name: first_present(hits.columns, aliases) for name, aliases in HIT_ALIASES.items()}
     for name in ("query_id", "target_id"):
         if found[name] is None:
@@ -57,46 +61,54 @@ def normalize_hits(hits: DataFrame) -> DataFrame:
         return (number(F.col(_QUOTED.format(source))) if source else F.lit(None).cast("double")).alias(name)
 
     out = hits.select(*(read(name) for name in HIT_COLUMNS))
-    return out.filter("query_id IS NOT NULL AND query_id != '' AND target_id IS NOT NULL AND target_id != ''").dropDuplicates()
+    return out.filter("query_id IS NOT NULL AND query_id != '' AND target_id IS NOT NULL AND target_id != ''")
+
 
+#: Columns that weights can rest on, in order of preference.
+BASES = ("score", "bitscore", "pident", "evalue")
 
-def _basis(hits: DataFrame) -> Column:
-    """Name of the column that weights rest on: the first one with any value in the whole table.
 
-    A scalar subquery, so it costs one narrow aggregation and no join.
+def weight_basis(standard: DataFrame) -> str:
+    """The first of ``BASES`` with any value in the whole table, or ``none``.
+
+    Runs one narrow aggregation at once: the answer decides the plan, which then holds one
+    base only and no join for the others.
     """
-    order = ("score", "bitscore", "pident", "evalue")
-    some = [F.when(F.count(c) > 0, F.lit(c)) for c in order]
-    return hits.agg(F.coalesce(*some, F.lit("none")).alias("basis")).scalar()
+    counts = standard.agg(*(F.count(c).alias(c) for c in BASES)).first()
+    return next((c for c in BASES if counts[c]), "none")
 
 
-def add_hit_weights(hits: DataFrame) -> DataFrame:
+def add_hit_weights(hits: DataFrame, basis: str | None = None) -> DataFrame:
     """Standard hits plus ``hit_weight`` in (0, 1]; rows of weight 0 are left out.
 
     The base weight is the score itself, the bit score as a share of the query's best, the
     identity, or -log10(evalue) / 200, by the first of these columns that has any value in the
     table; without any it is 1. It is multiplied by the geometric mean of both coverages
-    (absent: 1).
+    (absent: 1). A ``basis`` that the caller knows spares the look at the table.
     """
     standard = normalize_hits(hits)
-    if first_present(hits.columns, HIT_ALIASES["bitscore"]):
+    if basis is None:
+        # Only columns that the table has can have values; duplicates do not matter here.
+        named = any(first_present(hits.columns, HIT_ALIASES[c]) for c in BASES)
+        basis = weight_basis(_standard(hits)) if named else "none"
+    if basis == "bitscore":
         # An aggregation and a join, not a window: a query with a very large share of the
         # hits is combined before the shuffle and can be split in the join.
         best = standard.groupBy(F.col("query_id").alias("best_query")).agg(F.max("bitscore").alias("best"))
-        ranked = standard.join(best, F.col("query_id") == F.col("best_query")).drop("best_query")
+        standard = standard.join(best, F.col("query_id") == F.col("best_query"))
+        base = F.when(F.col("best") > 0, F.coalesce(F.col("bitscore"), F.lit(0.0)) / F.col("best")).otherwise(0.0)
+    elif basis == "score":
+        base = F.coalesce("score", F.lit(0.0))
+    elif basis == "pident":
+        base = as_fraction(F.col("pident"), 0.0)
+    elif basis == "evalue":
+        base = -F.log10(F.greatest(F.coalesce("evalue", F.lit(1.0)), F.lit(LEAST_EVALUE))) / EVALUE_SCALE
+    elif basis == "none":
+        base = F.lit(1.0)
     else:
-        ranked = standard.withColumn("best", F.lit(None).cast("double"))
-    by_bits = F.when(F.col("best") > 0, F.coalesce(F.col("bitscore"), F.lit(0.0)) / F.col("best")).otherwise(0.0)
-    by_evalue = -F.log10(F.greatest(F.coalesce("evalue", F.lit(1.0)), F.lit(LEAST_EVALUE))) / EVALUE_SCALE
-    base = (
-        F.when(F.col("basis") == "score", F.coalesce("score", F.lit(0.0)))
-        .when(F.col("basis") == "bitscore", by_bits)
-        .when(F.col("basis") == "pident", as_fraction(F.col("pident"), 0.0))
-        .when(F.col("basis") == "evalue", by_evalue)
-        .otherwise(1.0)
-    )
+        raise ValueError(f"unknown basis of weights: {basis}")
     coverage = F.sqrt(as_fraction(F.col("qcov"), 1.0) * as_fraction(F.col("tcov"), 1.0))
-    weighted = ranked.withColumn("basis", _basis(standard)).withColumn("hit_weight", clip_unit(clip_unit(base) * coverage))
+    weighted = standard.withColumn("hit_weight", clip_unit(clip_unit(base) * coverage))
     return weighted.filter("hit_weight > 0").select(*HIT_COLUMNS, "hit_weight")
 
 
