@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 #: Rows of a batch that a Python stage handles at once.
 SLICE = 2000
 
+#: Rows of numbers (about 50 bytes each) up to which a side is broadcast.
+BROADCAST_ROWS = 500_000
+
 _own_folder: dict[str, str] = {}
 
 
@@ -43,6 +46,16 @@ def durable(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def broadcast_if_small(keys: DataFrame, bound: int = BROADCAST_ROWS) -> DataFrame:
+    """``keys``, settled, with a broadcast hint if it has at most ``bound`` rows.
+
+    For a narrow side joined to texts: up to the bound the texts stay where they are, beyond
+    it both sides are shuffled, with the same rows. ``keys`` holds a few numbers per row.
+    """
+    held = durable(keys)
+    return F.broadcast(held) if held.count() <= bound else held
+
+
 def dense_rank_in(
     df: DataFrame, keys: Sequence[str], spread: Sequence[str], total: int, name: str
 ) -> DataFrame:

@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from annofold.llm._shared import durable, tidy, utf8_column
+from annofold.llm._shared import broadcast_if_small, durable, tidy, utf8_column
 from annofold.llm.components import components
 
 WORDS = 5
@@ -339,7 +339,7 @@ def similarity_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     stars = met.filter(may).groupBy("doc", "pivot").agg(F.count(F.lit(1)).alias("times"))
     best = stars.groupBy("doc").agg(F.max_by("pivot", F.struct("times", -F.col("pivot"))).alias("pivot"))
     inside = met.select("doc").union(met.select("pivot")).distinct()
-    own_inside = own.join(inside, F.col("c_doc") == F.col("doc"), "left_semi")
+    own_inside = broadcast_if_small(own.join(inside, F.col("c_doc") == F.col("doc"), "left_semi"))
     sets = durable(
         texts.join(own_inside, is_own, "left_semi")
         .select(F.col("doc_id").alias("doc"), "text")

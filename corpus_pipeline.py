@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annofold.llm._shared import durable
+from annofold.llm._shared import broadcast_if_small, durable
 from annofold.llm.decontaminate import contamination
 from annofold.llm.line_spread import remove_spread_lines
 from annofold.llm.packing import pack_documents
@@ -41,7 +41,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of similar texts stays: the one with the smallest doc_id."""
     others = similarity_components(docs).filter("doc_id != component_id").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(broadcast_if_small(others), "doc_id", "left_anti").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +49,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     spans = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))[1]
     hit = spans.select(F.col("doc_id").alias("hit_doc"), F.col("row").alias("hit_row")).distinct()
     same = F.col("doc_id").eqNullSafe(F.col("hit_doc")) & (F.xxhash64(F.col("text").cast("string")) == F.col("hit_row"))
-    return docs.join(hit, same, "left_anti").select(*docs.columns)
+    return docs.join(broadcast_if_small(hit), same, "left_anti").select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
