@@ -29,7 +29,7 @@ from annofold.llm._shared import batches, dense_rank_in, durable, tidy
 CAPACITY = 2048
 END_ID = 1
 #: Words in each of the two generations of a worker's table.
-CACHED_WORDS = 100_000
+CACHED_WORDS = 300_000
 TEXTS_AT_ONCE = 500
 WORDS_AT_ONCE = 256
 _WORD_END = re.compile("(?<=[A-Za-z0-9])(?=[.,])")
