@@ -288,7 +288,8 @@ def _shared_count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(x, y, a, b, shared) of ``pairs`` (x, y), exactly."""
+    """(x, y, a, b, shared) of ``pairs`` (x, y), exactly. Few pairs go to the sets, not the sets to them."""
+    pairs = broadcast_if_small(pairs)
     left = sets.select(F.col("doc").alias("x"), F.col("h").alias("hx"))
     right = sets.select(F.col("doc").alias("y"), F.col("h").alias("hy"))
     both = pairs.join(left, "x").join(right, "y").select("x", "y", "hx", "hy")
