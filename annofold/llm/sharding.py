@@ -1,20 +1,26 @@
 """Shards of near-equal bytes by best-fit-decreasing bin packing of indivisible groups.
 
-1. Equal texts are one group. Only a group larger than 1/16 of a shard is cut, into parts by
-   a hash of doc_id; there are at most 16 of those per shard, whatever the input.
+1. Equal texts are one group. Only a group larger than a shard's share is cut, into as few
+   parts as fit a share, by a hash of doc_id. Where the largest and the smallest shard would
+   then differ by more than 1 % of a share, groups above 1/2, 1/4, 1/8 and at last 1/16 of a
+   share are cut too, as far as it takes; if nothing meets 1 %, the evenest placement is taken,
+   and of equal ones that with fewer cuts. At most 16 groups per shard are ever cut.
 2. The sizes of all parts become a histogram: exact up to 4 KB, above with 12 significant
    bits, so its rows are bounded (about 2,048 for each doubling). It alone reaches the driver.
 3. Sizes are placed largest first; each part goes into the bin with the least room that
    still holds it, found in a balanced tree of the bins' room. All parts of one size that
    follow each other into one bin are placed at once. The smallest capacity, in steps of
    0.05 %, with which the bins do not exceed the shard count is taken.
-4. Parts get a dense rank within their size and look their bin up; rows follow their part,
+4. Parts get a dense rank within their size and look their bin up; rows follow their part
+   (those of groups above 1/16 of a share by a broadcast, so a large group meets in no task),
    and get a dense rank within their shard.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -24,7 +30,10 @@ from pyspark.sql import functions as F
 from annofold.llm._shared import dense_rank_in, durable
 
 SHARDS = 8
+#: Groups above this part of a share may be cut where whole ones leave the shards uneven.
 PARTS_PER_SHARD = 16
+#: Difference of the largest and the smallest shard, as a part of a share, that is even enough.
+EVEN = 0.01
 
 
 class RoomTree:
@@ -105,6 +114,16 @@ def fewest_even_bins(sizes: list[tuple[int, int]], shards: int) -> dict[int, lis
         capacity += max(1, capacity // 2000)
 
 
+def unevenness(sizes: list[tuple[int, int]], runs: dict[int, list[tuple[int, int]]], shards: int) -> float:
+    """Largest less smallest bin of ``runs``, as a part of the mean."""
+    load = [0] * shards
+    for size, count in sizes:
+        ends = [*(at for at, _ in runs[size][1:]), count]
+        for (at, bin_), end in zip(runs[size], ends, strict=True):
+            load[bin_] += size * (end - at)
+    return (max(load) - min(load)) * shards / sum(load)
+
+
 def _size_class(size: Column) -> Column:
     """``size`` up to 4096, above rounded up to 12 significant bits."""
     step = F.pow(F.lit(2.0), F.greatest(F.floor(F.log2(size.cast("double"))) - 11, F.lit(0))).cast("long")
@@ -130,18 +149,47 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
         )
     )
     n, total = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
-    most = max(1, -(-total // (shards * PARTS_PER_SHARD)))
-    large = rows.groupBy("g1", "g2").agg(F.sum("size").alias("bytes")).filter(F.col("bytes") > most)
-    large = large.select("g1", "g2", F.ceil(F.col("bytes") / most).alias("cuts"))
-    # At most shards * PARTS_PER_SHARD rows, by the definition of most.
-    cut = rows.join(F.broadcast(large), ["g1", "g2"], "left").withColumn(
-        "part", F.pmod(F.xxhash64("doc_id"), F.coalesce("cuts", F.lit(1)))
-    )
-    parts = durable(
-        cut.groupBy("g1", "g2", "part").agg(F.sum("size").alias("bytes")).select("g1", "g2", "part", _size_class(F.col("bytes")).alias("class"))
+    share = max(1, -(-total // shards))
+    least = max(1, -(-share // PARTS_PER_SHARD))
+    groups = durable(
+        rows.groupBy("g1", "g2")
+        .agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("copies"))
+        .withColumn("heavy", (F.col("bytes") > least) & (F.col("copies") > 1))
     )
-    histogram = [(r["class"], r["n"]) for r in parts.groupBy("class").agg(F.count(F.lit(1)).alias("n")).collect()]
-    runs = {k: np.array(v, np.int64) for k, v in fewest_even_bins(histogram, shards).items()} if histogram else {}
+    # At most shards * PARTS_PER_SHARD rows, by the definition of least.
+    large = durable(groups.filter("heavy").select("g1", "g2", "bytes"))
+    columns = ["g1", "g2", "part", "class", "heavy"]
+    light = groups.filter("NOT heavy").select("g1", "g2", F.lit(0).cast("long").alias("part"), _size_class(F.col("bytes")).alias("class"), "heavy")
+    counted = Counter({r["class"]: r["n"] for r in light.groupBy("class").agg(F.count(F.lit(1)).alias("n")).collect()})
+
+    def cut_above(limit: int) -> DataFrame:
+        """The rows of large groups with their part."""
+        cuts = large.select("g1", "g2", F.ceil(F.col("bytes") / limit).alias("cuts"))
+        return rows.join(F.broadcast(cuts), ["g1", "g2"]).withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("cuts")))
+
+    def parts_of(cut: DataFrame) -> DataFrame:
+        summed = cut.groupBy("g1", "g2", "part").agg(F.sum("size").alias("bytes"))
+        return durable(summed.select("g1", "g2", "part", _size_class(F.col("bytes")).alias("class"), F.lit(True).alias("heavy")))
+
+    any_large = not large.isEmpty()
+    best = None
+    pieces = 1
+    while pieces <= PARTS_PER_SHARD:
+        limit = max(1, -(-share // pieces))
+        cut = cut_above(limit)
+        heavy = parts_of(cut)
+        sizes = counted + Counter(r["class"] for r in heavy.select("class").collect())
+        histogram = list(sizes.items())
+        placement = fewest_even_bins(histogram, shards) if histogram else {}
+        uneven = unevenness(histogram, placement, shards) if histogram else 0.0
+        if best is None or uneven < best[0]:
+            best = uneven, cut, heavy, histogram, placement
+        if uneven <= EVEN or not any_large:
+            break
+        pieces *= 2
+    _, cut, heavy, histogram, placement = best
+    parts = light.select(*columns).union(heavy.select(*columns))
+    runs = {k: np.array(v, np.int64) for k, v in placement.items()}
 
     def look_up(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for some in it:
@@ -150,11 +198,18 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
             for size, at in some.groupby("class").indices.items():
                 run = runs[size]
                 shard[at] = run[np.searchsorted(run[:, 0], ranks[at], side="right") - 1, 1]
-            yield some[["g1", "g2", "part"]].assign(shard=shard)
+            yield some[["g1", "g2", "part", "heavy"]].assign(shard=shard)
 
     ranked = dense_rank_in(parts, ["class"], ["g1", "g2", "part"], sum(c for _, c in histogram), "rank")
-    placed = ranked.select("g1", "g2", "part", "class", "rank").mapInPandas(look_up, "g1 long, g2 long, part long, shard int")
-    out = durable(cut.join(placed, ["g1", "g2", "part"]).select("doc_id", "size", "text_crc32", "shard"))
+    placed = durable(
+        ranked.select("g1", "g2", "part", "class", "heavy", "rank").mapInPandas(
+            look_up, "g1 long, g2 long, part long, heavy boolean, shard int"
+        )
+    )
+    few = F.broadcast(placed.filter("heavy").select("g1", "g2", "part", "shard"))
+    others = rows.join(F.broadcast(large.select("g1", "g2")), ["g1", "g2"], "left_anti")
+    found = [cut.join(few, ["g1", "g2", "part"]), others.join(placed.filter("NOT heavy").select("g1", "g2", "shard"), ["g1", "g2"])]
+    out = durable(reduce(DataFrame.union, [side.select("doc_id", "size", "text_crc32", "shard") for side in found]))
     return dense_rank_in(out, ["shard"], ["doc_id", "text_crc32", "size"], n, "slot").select(
         "doc_id", "size", "text_crc32", "shard", "slot"
     )

@@ -63,3 +63,37 @@ def test_shards(spark, docs, clashing):
     assert all(len(v) == 1 for t, v in groups.items() if t != "same text here")
     assert shard_by_bytes(df.limit(0)).count() == 0
     assert shard_by_bytes(clashing).count() == docs.count()
+
+
+def shards_of_texts(spark, rows):
+    """({text: shards}, {shard: bytes}) for (doc_id, text) rows with distinct ids."""
+    text, shards, total = dict(rows), {}, {}
+    for r in shard_by_bytes(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        shards.setdefault(text[r["doc_id"]], set()).add(r["shard"])
+        total[r["shard"]] = total.get(r["shard"], 0) + r["size"]
+    assert sum(total.values()) == sum(len(t.encode()) + 1 for _, t in rows)
+    return shards, total
+
+
+def test_groups_up_to_a_share_stay_whole(spark):
+    """Groups of 10 to 95 % of a share, more than one bin of them in all, beside small texts."""
+    sizes = [95, 80, 60, 50, 40, 30, 20, 10, 10]
+    texts = [f"{k} ".ljust(99, "x") for k in range(len(sizes))]
+    rows = [t for t, s in zip(texts, sizes, strict=True) for _ in range(s * 5)]
+    rows += [f"own {k} ".ljust(99, "y") for k in range(500 * 8 - len(rows))]
+    shards, total = shards_of_texts(spark, list(enumerate(rows)))
+    assert all(len(v) == 1 for v in shards.values())
+    assert len(total) == 8 and max(total.values()) - min(total.values()) <= 0.01 * sum(total.values()) / 8
+
+
+def test_larger_groups_are_cut_as_little_as_balance_allows(spark):
+    big, half = "big ".ljust(99, "x"), "half ".ljust(99, "x")
+    rows = [big] * 1150 + [half] * 250
+    rows += [f"own {k} ".ljust(99, "y") for k in range(500 * 8 - len(rows))]
+    shards, total = shards_of_texts(spark, list(enumerate(rows)))
+    assert 2 <= len(shards[big]) <= 3 and all(len(v) == 1 for t, v in shards.items() if t != big)
+    assert max(total.values()) - min(total.values()) <= 0.01 * sum(total.values()) / 8
+    # Ten equal groups of 0.8 shares do not fit eight shards whole: some have to be cut.
+    rows = [f"{k} ".ljust(99, "x") for k in range(10) for _ in range(400)]
+    shards, total = shards_of_texts(spark, list(enumerate(rows)))
+    assert len(total) == 8 and max(total.values()) < 1.3 * sum(total.values()) / 8
