@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annofold.llm._shared import broadcast_if_small, durable
@@ -18,6 +18,7 @@ from annofold.llm.packing import pack_documents
 from annofold.llm.parity_join import similarity_components
 from annofold.llm.quality_rules import keep_clean
 from annofold.llm.queries import tokenizer_path
+from annofold.operators.ranks import with_row_index
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,10 +39,46 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return clean.select(*(columns[c].alias(c) for c in docs.columns))
 
 
+def _text_hash() -> Column:
+    return F.xxhash64(F.col("text").cast("string"))
+
+
+def _at_keys(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """``docs`` joined to ``keys`` (k_doc, k_row, ...): doc_id, which may be null, and hash of text."""
+    same = F.col("doc_id").eqNullSafe(F.col("k_doc")) & (_text_hash() == F.col("k_row"))
+    return docs.join(broadcast_if_small(keys), same, how)
+
+
+def _one_of_each(docs: DataFrame) -> DataFrame:
+    """Of the rows with one doc_id (or none) and one text, the smallest by the other columns."""
+    counts = docs.groupBy(F.col("doc_id").alias("k_doc"), _text_hash().alias("k_row")).agg(F.count(F.lit(1)).alias("n"))
+    repeated = durable(counts.filter("n > 1").select("k_doc", "k_row"))
+    if repeated.isEmpty():
+        return docs
+    row = F.struct(*(F.col(c) for c in docs.columns))
+    firsts = _at_keys(docs, repeated, "left_semi").groupBy("doc_id", _text_hash().alias("k_row")).agg(F.min(row).alias("first"))
+    return durable(_at_keys(docs, repeated, "left_anti").union(firsts.select("first.*")))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar texts stays: the one with the smallest doc_id."""
-    others = similarity_components(docs).filter("doc_id != component_id").select("doc_id").distinct()
-    return docs.join(broadcast_if_small(others), "doc_id", "left_anti").select(*docs.columns)
+    """One document of each group of similar texts stays: the one with the smallest doc_id.
+
+    A document is a doc_id with a text: rows that share a doc_id with different texts are
+    judged each by its own, and of those in one group the one with the smallest hash of its
+    text stays. Of rows that are equal in doc_id and text one stays, also without words. Rows
+    without a doc_id take part and come last: one stays only in groups where no row has an id.
+    Texts without words are similar to none.
+    """
+    shared = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 OR doc_id IS NULL")
+    if shared.isEmpty():
+        others = similarity_components(docs).filter("doc_id != component_id").select("doc_id")
+        return docs.join(broadcast_if_small(others), "doc_id", "left_anti").select(*docs.columns)
+    docs = _one_of_each(docs)
+    keys = docs.select(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("k_doc"), _text_hash().alias("k_row"))
+    numbered = durable(with_row_index(keys, ["no_id", "k_doc", "k_row"], "k_number").drop("no_id"))
+    texts = durable(_at_keys(docs.select("doc_id", "text"), numbered, "inner").select(F.col("k_number").alias("doc_id"), "text"))
+    others = similarity_components(texts).filter("doc_id != component_id").select(F.col("doc_id").alias("k_number"))
+    return _at_keys(docs, numbered.join(others, "k_number").select("k_doc", "k_row"), "left_anti").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

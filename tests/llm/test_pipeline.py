@@ -50,3 +50,32 @@ def test_stages(spark, folder):
     whole = corpus_pipeline.run(spark, path)
     key = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
     assert sorted(tuple(r[k] for k in key) for r in whole.collect()) == sorted(tuple(r[k] for k in key) for r in pieces.collect())
+
+
+def test_near_duplicates_without_unique_ids(spark):
+    rng = random.Random(5)
+    a, b, c, own, lone = (prose(rng, 60) for _ in range(5))
+    rows = [
+        (1, a, "en", "s", 1),
+        (5, own, "en", "s", 1),  # shares its id with a copy of 1, but is like no other text
+        (5, a + " more", "en", "s", 1),
+        (7, b, "en", "s", 2),  # one row three times, with two values beside
+        (7, b, "en", "s", 1),
+        (7, b, "en", "s", 2),
+        (None, b + " more", "en", "s", 1),  # a copy of 7
+        (None, c, "en", "s", 1),  # copies without any id
+        (None, c, "en", "s", 1),
+        (None, c + " more", "en", "s", 1),
+        (None, lone, "en", "s", 1),
+        (8, None, "en", "s", 1),
+        (8, None, "en", "s", 1),
+        (8, "", "en", "s", 1),
+        (9, "", "en", "s", 1),
+    ]
+    docs = spark.createDataFrame(rows, DOC_DDL)
+    got = [tuple(r) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()]
+    of_c = [r for r in got if r[1] in (c, c + " more")]
+    assert len(of_c) == 1 and of_c[0][0] is None
+    want = [(1, a), (5, own), (7, b), (None, lone), (8, None), (8, ""), (9, "")]
+    assert sorted(((r[0], r[1]) for r in got if r not in of_c), key=repr) == sorted(want, key=repr)
+    assert (7, b, "en", "s", 1) in got
