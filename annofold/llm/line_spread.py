@@ -7,6 +7,10 @@
 3. Every occurrence of a boilerplate line goes, except the first one of the corpus (smallest
    doc_id, then position), so that no text is lost altogether.
 
+The threshold is one number for lines of any length: a line on fewer than ``min_sites`` sites
+stays however many documents hold it, a long passage inside one or a few sites too, and a
+table with fewer sites never loses a line.
+
 DataFrame functions only. Line keys, never whole texts, are shuffled, until the documents
 that lose lines get their flags.
 """
