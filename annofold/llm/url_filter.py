@@ -24,9 +24,10 @@ from annofold.llm.components import components
 
 _CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # Link tags, alias prefixes and tracking parameters.
-CANONICAL_LINK = r"""(?i)<link[^>]*\brel=["']?canonical["']?[^>]*>"""
-HREF = r"""(?i)\bhref=["']([^"'>]*)["']"""
-META_REFRESH = r"""(?i)<meta[^>]*\bhttp-equiv=["']?refresh["']?[^>]*\burl=([^"'>\s]+)"""
+LINK_TAG = r"""(?i)<(?:link|meta)\b(?:(?:[^>"']++|"[^"]*+"|'[^']*+')*+>|[^>]*>)"""
+ATTRIBUTE = r"""[^\s"'<>/=]+\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+)"""
+REFRESH_URL = r"""(?i)\burl\s*=\s*["']?\s*([^"'>\s]+)"""
+SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:"
 ALIAS_PREFIX = r"^(www|m|amp)\."
 TRACKING = r"(?i)(^|&)(utm_[a-z]+|ref|fbclid|gclid)=[^&]*"
 PAGE_ENDING = r"(/index\.html?|\.html?|/)$"
@@ -55,6 +56,53 @@ def canonical_form(url: Column) -> Column:
     return F.when(query != "", F.concat(node, F.lit("?"), query)).otherwise(node)
 
 
+def _attribute(tag: Column, name: str) -> Column:
+    """Value of a tag's first attribute ``name``, quoted or not; null without one."""
+    pairs = F.regexp_extract_all(tag, F.lit(ATTRIBUTE), F.lit(0))
+    named = F.get(F.filter(pairs, lambda p: F.lower(F.regexp_extract(p, r"^[^\s=]+", 0)) == name), 0)
+    return F.trim(F.regexp_extract(named, r"""(?s)=\s*["']?(.*?)["']?$""", 1))
+
+
+def link_targets(html: Column) -> Column:
+    """Targets of all canonical links and meta refreshes of a page, as written."""
+    tags = F.filter(F.regexp_extract_all(html, F.lit(LINK_TAG), F.lit(0)), lambda t: t.rlike("(?i)canonical|refresh"))
+
+    def target(tag: Column) -> Column:
+        is_link = F.lower(F.substring(tag, 2, 4)) == "link"
+        canonical = F.array_contains(F.split(F.lower(_attribute(tag, "rel")), r"\s+"), "canonical")
+        refresh = F.lower(_attribute(tag, "http-equiv")) == "refresh"
+        return F.when(is_link & canonical, _attribute(tag, "href")).when(
+            ~is_link & refresh, F.regexp_extract(_attribute(tag, "content"), REFRESH_URL, 1)
+        )
+
+    return F.filter(F.transform(tags, target), lambda t: t.isNotNull() & (t != ""))
+
+
+def resolved(target: Column, url: Column) -> Column:
+    """``target`` as a whole URL, seen from the page ``url``; null where it leads to no other page."""
+    scheme = F.regexp_extract(url, SCHEME, 0)
+    host = F.regexp_extract(_rest(url), r"^[^/?#]*", 0)
+    _, path = host_and_path(url)
+    own = F.regexp_extract(target, r"^[^?#]*", 0)
+    tail = F.substring(target, F.length(own) + 1, F.length(target))
+    full = F.when(own.startswith("/"), own).otherwise(F.concat(F.lit("/"), F.regexp_extract(path, r"^/?(.*/)?", 1), own))
+    steps = F.aggregate(
+        F.split(full, "/"),
+        F.array().cast("array<string>"),
+        lambda done, s: F.when(s == ".", done)
+        .when(s == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(1))))
+        .otherwise(F.concat(done, F.array(s))),
+    )
+    at_host = F.concat(scheme, F.lit("//"), host)
+    return (
+        F.when(target.rlike(SCHEME), F.when(F.locate("://", target) > 0, target))
+        .when(target.startswith("//"), F.concat(scheme, target))
+        .when(target.startswith("#"), None)
+        .when(target.startswith("?"), F.concat(at_host, path, target))
+        .otherwise(F.concat(at_host, F.array_join(steps, "/"), tail))
+    )
+
+
 def _with_rule(urls: DataFrame, rules: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``urls`` (keys, host, path) with the longest fitting rule and its verdict, or nulls."""
     labels = F.split("host", r"\.")
@@ -78,7 +126,9 @@ def filter_urls(
     ``rules``: (``host/path``, ``allow`` or ``block``). ``redirects`` (from_url, to_url) adds
     edges. Without a rule and without a decision in its component a URL is allowed. Null urls
     and urls without ``://`` have an empty host and path, no rule and no aliases; a null html
-    has no links; equal rows are judged alike; an empty table gives none. Columns beside
+    has no links. Every canonical link and meta refresh counts, with any order and quoting of
+    attributes, and relative targets are resolved against the page's url (a base tag is not
+    read, entities are not decoded). Equal rows are judged alike; an empty table gives none. Columns beside
     page_id, url and html are not read.
     """
     spark = pages.sparkSession
@@ -91,13 +141,13 @@ def filter_urls(
         pages.select(
             F.col("page_id").alias("page_id"),
             F.col("url").cast("string").alias("url"),
-            F.regexp_extract(F.regexp_extract(html, CANONICAL_LINK, 0), HREF, 1).alias("canonical"),
-            F.regexp_extract(html, META_REFRESH, 1).alias("refresh"),
+            link_targets(html).alias("targets"),
         )
     )
     urls = chosen.select("url").distinct()
     host, path = host_and_path(F.col("url"))
-    targets = chosen.select("url", F.explode(F.array("canonical", "refresh")).alias("target"))
+    links = chosen.select("url", F.explode("targets").alias("target")).filter(F.locate("://", "url") > 0)
+    targets = links.select("url", resolved(F.col("target"), F.col("url")).alias("target"))
     if redirects is not None:
         targets = targets.union(redirects.select(F.col("from_url").cast("string"), F.col("to_url").cast("string")))
     targets = targets.filter(F.locate("://", "url") > 0).filter(F.locate("://", "target") > 0)

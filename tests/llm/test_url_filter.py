@@ -52,3 +52,21 @@ def test_redirect_table_empty_and_clashing(spark):
     assert filter_urls(pages.limit(0), URL_RULES).count() == 0
     clash = spark.createDataFrame(PAGES, DDL).selectExpr("*", "'x' AS host", "'x' AS node", "'x' AS component", "'x' AS rule", "'x' AS u")
     assert filter_urls(clash, URL_RULES).count() == len(PAGES)
+
+
+def test_every_spelling_of_a_link(spark):
+    blocked = "http://x.net/es/1"
+    tags = [
+        f"<link href={blocked} rel=canonical>",
+        f'<link rel="alternate canonical" title="a > b" href = "{blocked}">',
+        f"""<meta content="0; URL='{blocked}'" http-equiv="refresh">""",
+        f"<META content='3;url={blocked}' HTTP-EQUIV=Refresh />",
+        '<link rel="canonical" href="//x.net/es/1">',
+        f'<link rel="canonical" href="http://free.org/other"><link rel="canonical" href="{blocked}">',
+    ]
+    rows = [(k, f"http://h{k}.org/p", t) for k, t in enumerate(tags)]
+    rows += [(50, "http://rel.org/a/b", f'<link rel="canonical" href="{blocked}">')]
+    rows += [(60 + k, f"http://rel.org/a/x{k}/q", f'<link rel="canonical" href="{h}">') for k, h in enumerate(["/a/b", "../b", "./../../a/b#top"])]
+    rows += [(70, "http://rel.org/c/d", '<link rel="canonical" href="mailto:a@b.c"><link rel="stylesheet" href="/a/b"><meta name="x" content="url=/a/b">')]
+    got = {r["page_id"]: r["verdict"] for r in filter_urls(spark.createDataFrame(rows, DDL), URL_RULES).collect()}
+    assert got == {**{r[0]: "block" for r in rows}, 70: "allow"}
