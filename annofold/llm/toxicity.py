@@ -1,37 +1,46 @@
 """Toxicity: a logistic classifier with counterfactual regularisation.
 
-A text is the set of its words and of their beginnings of 4, 5 and 6 letters. The features
-are those whose share of toxic texts is significantly raised or lowered (log-likelihood
-ratio). In the labelled texts every identity term is swapped for another one of its list,
-and the loss charges the squared change of the logit under the swap, so that naming a group
-cannot by itself raise or lower a score:
+A text is the set of its words and of their stems (the first 3 to 6 letters); a name of
+a group (``IDENTITY_TERMS``) is its whole word alone. The features are all names, and of the
+other words and stems those whose share of toxic texts is significantly raised or lowered
+(log-likelihood ratio over all fitted texts).
 
-    sum log-loss + l2 / 2 |w|^2 + swap / 2 * sum (w . (x_swapped - x))^2
+Counterfactuals of a labelled text, which must not change its score:
 
-The loss is convex and solved by Newton steps on the driver over at most ``FIT_ROWS`` sparse
-rows and ``FEATURES`` features; scoring is one narrow pass over the corpus.
+* a name put into it, against the text without names;
+* that name swapped for another one of its list;
+* where the text has names itself: all of them taken out, and each swapped.
+
+The loss charges the squared change of the logit, so that naming a group can neither raise
+nor lower a score, whoever is named and however the names are spread over the labels:
+
+    sum log-loss + l2 / 2 |w|^2 + swap / 2 * sum (w . (x_counterfactual - x))^2
+
+The loss is convex and solved by Newton steps (conjugate gradients over sparse rows) on the
+driver, over at most about ``FIT_ROWS`` labelled rows; scoring is one narrow pass.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from annofold.llm._labels import fit_sample, fold_of
-from annofold.llm._shared import durable
+from annofold.llm._shared import durable, tidy
 
-FEATURES = 512
 #: Least log-likelihood ratio of a feature (chi-square with one degree of freedom): chance
 #: reaches it once in some two million features.
 LEAST_EVIDENCE = 25.0
-PREFIXES = (4, 5, 6)
+#: Letters of the stems.
+STEMS = (3, 4, 5, 6)
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.3
 _WORD = re.compile(r"[^\W\d_]+")
@@ -45,19 +54,34 @@ IDENTITY_TERMS = (
     ("black", "white", "asian", "latino", "arab", "african"),
     ("gay", "straight", "lesbian", "bisexual", "transgender"),
     ("immigrant", "native", "refugee", "foreigner"),
+    ("immigrants", "natives", "refugees", "foreigners"),
     ("deaf", "blind", "disabled", "autistic"),
     ("femme", "homme", "fille", "garçon"),
+    ("femmes", "hommes", "filles", "garçons"),
+    ("chrétien", "musulman", "juif", "hindou", "bouddhiste", "athée"),
+    ("immigré", "réfugié", "étranger"),
     ("mujer", "hombre", "niña", "niño"),
+    ("mujeres", "hombres", "niñas", "niños"),
+    ("cristiano", "musulmán", "judío", "hindú", "budista", "ateo"),
+    ("inmigrante", "refugiado", "extranjero"),
     ("frau", "mann", "mädchen", "junge"),
+    ("frauen", "männer", "jungen"),
+    ("christ", "moslem", "jude", "buddhist", "atheist"),
+    ("einwanderer", "flüchtling", "ausländer"),
 )
-_SWAP = {term: terms[(k + 1) % len(terms)] for terms in IDENTITY_TERMS for k, term in enumerate(terms)}
+_SWAP: dict[str, str] = {}
+for _terms in IDENTITY_TERMS:
+    for _at, _term in enumerate(_terms):
+        _SWAP.setdefault(_term, _terms[(_at + 1) % len(_terms)])
+_NAMES = sorted(_SWAP)
 
 
 def features_of(words: set[str]) -> set[str]:
-    """Whole words (marked ``$``) and beginnings."""
+    """Whole words (marked ``$``) and the stems of those that name no group."""
     out = {w + "$" for w in words}
-    for k in PREFIXES:
-        out |= {w[:k] for w in words if len(w) >= k}
+    plain = words - _SWAP.keys()
+    for k in STEMS:
+        out |= {w[:k] for w in plain if len(w) >= k}
     return out
 
 
@@ -65,18 +89,22 @@ def words_of(text: str) -> set[str]:
     return set(_WORD.findall(text.lower()))
 
 
-def swapped(words: set[str]) -> set[str]:
-    """The words after every identity term was swapped."""
-    return {_SWAP.get(w, w) for w in words}
+def counterfactuals(words: set[str], choice: int) -> list[tuple[set[str], set[str]]]:
+    """Pairs (names before, names after) of the text's counterfactuals; ``choice`` picks the name put in."""
+    own = words & _SWAP.keys()
+    name = _NAMES[choice % len(_NAMES)]
+    pairs: list[tuple[set[str], set[str]]] = [(set(), {name}), ({name}, {_SWAP[name]})]
+    if own:
+        pairs += [(own, set()), (own, {_SWAP[w] for w in own})]
+    return pairs
 
 
-def evidence(n: np.ndarray, pos: np.ndarray, rows: int, toxic: int) -> np.ndarray:
+def evidence(n: Column, pos: Column, rows: int, toxic: int) -> Column:
     """Log-likelihood ratio of a feature's share of toxic texts against the overall share."""
     share = toxic / rows
-    p = pos / n
-    with np.errstate(divide="ignore", invalid="ignore"):
-        a = np.where(pos > 0, pos * np.log(p / share), 0.0)
-        b = np.where(n > pos, (n - pos) * np.log((1 - p) / (1 - share)), 0.0)
+    neg = n - pos
+    a = F.when(pos > 0, pos * F.log(pos / n / share)).otherwise(0.0)
+    b = F.when(neg > 0, neg * F.log(neg / n / (1 - share))).otherwise(0.0)
     return 2 * (a + b)
 
 
@@ -91,14 +119,14 @@ class ToxicityModel:
         """Features by their first four letters, for a quick look-up."""
         out: dict[str, list[str]] = {}
         for f in self.weights:
-            out.setdefault(f.rstrip("$")[:4], []).append(f)
+            out.setdefault(f.rstrip("$")[: STEMS[0]], []).append(f)
         return out
 
     def score(self, words: set[str], starts: dict[str, list[str]]) -> float:
         hit: set[str] = set()
         for w in words:
-            for f in starts.get(w[:4], ()):
-                if (w + "$" == f) if f[-1] == "$" else w.startswith(f):
+            for f in starts.get(w[: STEMS[0]], ()):
+                if (w + "$" == f) if f[-1] == "$" else w.startswith(f) and w not in _SWAP:
                     hit.add(f)
         z = self.intercept + sum(self.weights[f] for f in sorted(hit))
         return float(1 / (1 + np.exp(-np.clip(z, -40, 40))))
@@ -110,8 +138,7 @@ def _counts(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n: Counter[str] = Counter()
         pos: Counter[str] = Counter()
         for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            words = words_of(text)
-            found = features_of(words | swapped(words))
+            found = features_of(words_of(text) - _SWAP.keys())
             n.update(found)
             if y:
                 pos.update(found)
@@ -122,77 +149,119 @@ def _counts(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+class Sparse:
+    """Rows of a sparse matrix from lists of (column, value)."""
+
+    def __init__(self, rows: list[list[tuple[int, float]]], width: int) -> None:
+        self.shape = len(rows), width
+        self._row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+        self._column = np.array([c for r in rows for c, _ in r], np.int64)
+        self._value = np.array([v for r in rows for _, v in r], float)
+
+    def times(self, w: np.ndarray) -> np.ndarray:
+        return np.bincount(self._row, self._value * w[self._column], self.shape[0])
+
+    def back(self, z: np.ndarray) -> np.ndarray:
+        return np.bincount(self._column, self._value * z[self._row], self.shape[1])
+
+
+def loss_and_gradient(w: np.ndarray, x: Sparse, y: np.ndarray, change: Sparse, l2: np.ndarray, swap: float) -> tuple[float, np.ndarray]:
+    """The regularised loss at ``w`` and its gradient; ``l2`` holds each weight's own factor."""
+    z, moved = x.times(w), change.times(w)
+    p = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+    loss = (np.logaddexp(0, z) - y * z).sum() + 0.5 * (l2 * w * w).sum() + 0.5 * swap * (moved**2).sum()
+    return float(loss), x.back(p - y) + l2 * w + swap * change.back(moved)
+
+
 def solve(
-    x: np.ndarray, y: np.ndarray, change: np.ndarray, l2: float = 0.3, swap: float = 10.0, steps: int = 12
-) -> tuple[np.ndarray, float]:
-    """Newton steps; ``change`` holds x_swapped - x of the rows that a swap changes."""
-    x = np.concatenate([x, np.ones((len(x), 1), x.dtype)], axis=1)
-    change = np.concatenate([change, np.zeros((len(change), 1), x.dtype)], axis=1)
-    fixed = np.diag(np.append(np.full(x.shape[1] - 1, l2), 1e-3)) + swap * (change.T @ change)
+    x: Sparse, y: np.ndarray, change: Sparse, l2: np.ndarray, swap: float = 10.0, steps: int = 30
+) -> np.ndarray:
+    """Newton steps until the gradient is below 1e-6 of a row; a step that does not lower the loss is halved."""
     w = np.zeros(x.shape[1])
+    loss, g = loss_and_gradient(w, x, y, change, l2, swap)
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -40, 40)))
-        gradient = x.T @ (p - y) + fixed @ w
-        curve = (x * (p * (1 - p))[:, None]).T @ x + fixed
-        step = np.linalg.solve(curve, gradient)
-        w -= step
-        if np.abs(step).max() < 1e-6:
+        if np.abs(g).max() < 1e-6 * max(1, len(y)):
             break
-    return w[:-1], float(w[-1])
+        p = 1 / (1 + np.exp(-np.clip(x.times(w), -40, 40)))
+        curve = p * (1 - p)
+        step, left = np.zeros_like(w), -g
+        direction, norm = left.copy(), float(left @ left)
+        goal = 1e-12 * norm
+        for _ in range(4 * len(w)):
+            bent = x.back(curve * x.times(direction)) + l2 * direction + swap * change.back(change.times(direction))
+            rate = norm / float(direction @ bent)
+            step += rate * direction
+            left -= rate * bent
+            last, norm = norm, float(left @ left)
+            if norm <= goal:
+                break
+            direction = left + norm / last * direction
+        rate = 1.0
+        while rate > 1e-6:
+            new_loss, new_g = loss_and_gradient(w + rate * step, x, y, change, l2, swap)
+            if new_loss <= loss:
+                break
+            rate /= 2
+        w, loss, g = w + rate * step, new_loss, new_g
+    return w
 
 
-def fit_toxicity(sample: DataFrame) -> ToxicityModel:
+@dataclass(frozen=True)
+class Fitted:
+    """A model with the numbers of rows and of counterfactual pairs that it was fitted on."""
+
+    model: ToxicityModel
+    rows: int
+    pairs: int
+
+
+def fit_counterfactual(sample: DataFrame, l2: float = 0.3, swap: float = 10.0) -> Fitted:
     """Fit on ``sample`` (text, y), a bounded set of rows. Without both classes the score is
     the (smoothed) share of toxic rows."""
     rows = durable(sample)
     n, toxic = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("y"), F.lit(0))).first()
     if toxic in (0, n):
-        return ToxicityModel({}, float(np.log((toxic + 0.5) / (n - toxic + 0.5))))
+        return Fitted(ToxicityModel({}, float(np.log((toxic + 0.5) / (n - toxic + 0.5)))), n, 0)
     counted = rows.mapInArrow(_counts, "feature string, n long, pos long").groupBy("feature")
-    # A feature below this count cannot reach the evidence even if all its texts are toxic
-    # (or, the commoner class, if none is).
-    least = LEAST_EVIDENCE / (2 * -np.log(min(toxic, n - toxic) / n))
-    often = counted.agg(F.sum("n").alias("n"), F.sum("pos").alias("pos")).filter(F.col("n") >= least).toPandas()
-    often["evidence"] = evidence(often["n"].to_numpy(float), often["pos"].to_numpy(float), n, toxic)
-    often = often[often["evidence"] >= LEAST_EVIDENCE].sort_values(["evidence", "feature"], ascending=[False, True]).head(FEATURES)
-    names = often["feature"].tolist()
+    counted = counted.agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
+    telling = counted.filter(evidence(F.col("n"), F.col("pos"), n, toxic) >= LEAST_EVIDENCE).select("feature")
+    names = sorted(r["feature"] for r in telling.collect()) + [t + "$" for t in _NAMES]
     place = {f: k for k, f in enumerate(names)}
 
     def encode(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            plain, swap = [], []
-            for text in batch.column(0).to_pylist():
-                words = words_of(text)
-                other = swapped(words)
-                plain.append([place[f] for f in features_of(words) & place.keys()])
-                swap.append(None if other == words else [place[f] for f in features_of(other) & place.keys()])
-            kind = pa.list_(pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(plain, kind), pa.array(swap, kind)], ["y", "plain", "swap"])
-
-    coded = rows.mapInArrow(encode, "y int, plain array<int>, swap array<int>").collect()
-    x = np.zeros((len(coded), len(names)), np.float32)
-    y = np.zeros(len(coded))
-    change = []
-    for k, row in enumerate(sorted(coded, key=lambda r: (r["y"], sorted(r["plain"])))):
-        x[k, row["plain"]] = 1
-        y[k] = row["y"]
-        if row["swap"] is not None:
-            moved = -x[k]
-            moved[row["swap"]] += 1
-            if moved.any():
-                change.append(moved)
-    weights, intercept = solve(x, y, np.array(change, np.float32).reshape(len(change), len(names)))
-    return ToxicityModel(dict(zip(names, weights.tolist(), strict=True)), intercept)
+            texts = batch.column(0).to_pylist()
+            words = [words_of(t) for t in texts]
+            found = [sorted(place[f] for f in features_of(w) & place.keys()) for w in words]
+            pairs = [
+                [
+                    [sorted(place[t + "$"] for t in before), sorted(place[t + "$"] for t in after)]
+                    for before, after in counterfactuals(w, zlib.crc32(t.encode()))
+                ]
+                for w, t in zip(words, texts, strict=True)
+            ]
+            ints = pa.list_(pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(found, ints), pa.array(pairs, pa.list_(pa.list_(ints)))], ["y", "found", "pairs"])
+
+    # Sparse rows of small numbers, at most about FIT_ROWS.
+    coded = rows.mapInArrow(encode, "y int, found array<int>, pairs array<array<array<int>>>").collect()
+    coded.sort(key=lambda r: (r["y"], r["found"], r["pairs"]))
+    bias = len(names)
+    x = Sparse([[*((c, 1.0) for c in r["found"]), (bias, 1.0)] for r in coded], bias + 1)
+    moved = [[*((c, -1.0) for c in before), *((c, 1.0) for c in after)] for r in coded for before, after in r["pairs"]]
+    w = solve(x, np.array([r["y"] for r in coded], float), Sparse(moved, bias + 1), np.append(np.full(bias, l2), 1e-3), swap)
+    return Fitted(ToxicityModel(dict(zip(names, w[:-1].tolist(), strict=True)), float(w[-1])), n, len(moved))
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, held_out, score, predicted) for each row of ``docs`` (doc_id, text).
 
     Fits on ``labels`` (doc_id, toxic) outside the held-out fold. Null and empty texts have
-    no features and get the intercept's score; repeated rows get equal scores; without
-    labels all scores are 0.5; an empty table gives none; further columns are not read.
+    no features and get the intercept's score; long texts are read whole; repeated rows get
+    equal scores; without labels all scores are 0.5; an empty table gives none; further
+    columns are not read.
     """
-    model = fit_toxicity(fit_sample(docs, labels, "toxic", FOLDS, HELD_OUT))
+    model = fit_counterfactual(fit_sample(docs, labels, "toxic", FOLDS, HELD_OUT)).model
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         starts = model.by_start()
@@ -210,4 +279,4 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     chosen = docs.select("doc_id", (fold_of(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"), F.col("text").cast("string"))
-    return chosen.mapInArrow(run, f"doc_id {kind}, held_out boolean, score double, predicted int")
+    return chosen.mapInArrow(tidy(run), f"doc_id {kind}, held_out boolean, score double, predicted int")
