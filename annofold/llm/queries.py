@@ -233,42 +233,67 @@ JOIN (SELECT node, min(low) AS component_id FROM r GROUP BY node) c ON c.node =
 """
 
 _OP4 = r"""
-WITH RECURSIVE rules(r_host, r_path, verdict) AS (
+WITH RECURSIVE rules(host, prefix, verdict) AS (
   VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
          ('net', '/es/', 'block'), ('net', '/fr/', 'block')
-), links AS (
-  SELECT url, regexp_extract(regexp_extract(html, '(?i)<link[^>]*\brel=["'']?canonical["'']?[^>]*>'), '(?i)\bhref=["'']([^"''>]*)["'']', 1) AS target FROM pages
-  UNION ALL
-  SELECT url, regexp_extract(html, '(?i)<meta[^>]*\bhttp-equiv=["'']?refresh["'']?[^>]*\burl=([^"''>\s]+)', 1) FROM pages
-), linked AS (SELECT url, target FROM links WHERE contains(url, '://') AND contains(target, '://')),
-known AS (SELECT url FROM pages UNION SELECT target FROM linked),
-cut AS (
-  SELECT url, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM known
-), parsed AS (
-  SELECT url, rest, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-    regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path,
-    regexp_replace(regexp_replace(regexp_extract(rest, '\?([^#]*)', 1), '(?i)(^|&)(utm_[a-z]+|ref|fbclid|gclid)=[^&]*', '', 'g'), '^&', '') AS query
-  FROM cut
+), tags AS (
+  SELECT DISTINCT url, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b(?:"[^"]*"|''[^'']*''|[^"''>])*>')) AS tag
+  FROM pages WHERE contains(url, '://')
+), attributes AS (
+  SELECT url, tag, lower(trim(split_part(pair, '=', 1))) AS name,
+    regexp_replace(trim(substr(pair, strpos(pair, '=') + 1)), '^["'']|["'']$', '', 'g') AS raw
+  FROM (SELECT url, tag, unnest(regexp_extract_all(tag, '(?is)[^\s"''<>/=]+\s*=\s*(?:"[^"]*"|''[^'']*''|[^\s"''>]+)')) AS pair FROM tags)
+), decoded AS (
+  SELECT url, tag, name, trim(replace(replace(replace(replace(replace(replace(raw, '&quot;', '"'), '&#39;', chr(39)), '&#x27;', chr(39)),
+    '&#38;', '&'), '&#x26;', '&'), '&amp;', '&')) AS value FROM attributes
+), named AS (
+  SELECT url, tag, first(value) FILTER (WHERE name = 'href') AS href, first(value) FILTER (WHERE name = 'content') AS content,
+    lower(first(value) FILTER (WHERE name = 'rel')) AS rel, lower(first(value) FILTER (WHERE name = 'http-equiv')) AS equiv
+  FROM decoded GROUP BY url, tag
+), written AS (
+  SELECT url, CASE WHEN tag ILIKE '<link%' AND list_contains(regexp_split_to_array(rel, '\s+'), 'canonical') THEN href
+    WHEN tag ILIKE '<meta%' AND equiv = 'refresh' THEN regexp_extract(content, '(?i)\burl\s*=\s*["'']?\s*([^"''>\s]+)', 1) END AS target
+  FROM named
+), based AS (
+  SELECT url, target, regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*:)//', 1) AS scheme,
+    regexp_extract(url, '://([^/?#]*)', 1) AS site, regexp_extract(url, '://[^/?#]*([^?#]*)', 1) AS here,
+    regexp_extract(target, '^[^?#]*') AS own FROM written WHERE target <> '' AND NOT starts_with(target, '#')
+), whole AS (
+  SELECT *, CASE WHEN starts_with(own, '/') THEN own ELSE '/' || regexp_extract(here, '^/?(.*/)?', 1) || own END AS path FROM based
+), stepped AS (
+  SELECT *, array_to_string(list_reduce(list_transform(string_split(path, '/'), lambda s: [s]), lambda done, s:
+    CASE s[1] WHEN '.' THEN done WHEN '..' THEN done[1:greatest(len(done) - 1, 1)] ELSE list_concat(done, s) END), '/') AS steps FROM whole
+), linked AS (
+  SELECT DISTINCT url, CASE WHEN regexp_matches(target, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN target
+    WHEN starts_with(target, '//') THEN scheme || target
+    WHEN starts_with(target, '?') THEN scheme || '//' || site || here || target
+    ELSE scheme || '//' || site || steps || substr(target, length(own) + 1) END AS target FROM stepped
+), edges AS (SELECT url, target FROM linked WHERE contains(target, '://')),
+known AS (SELECT url FROM pages UNION SELECT target FROM edges),
+parsed AS (
+  SELECT url, CASE WHEN contains(url, '://') THEN translate(regexp_extract(substr(url, strpos(url, '://') + 3), '^[^/?#]*'),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,
+    CASE WHEN contains(url, '://') THEN regexp_extract(substr(url, strpos(url, '://') + 3), '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path,
+    CASE WHEN contains(url, '://') THEN regexp_extract(substr(url, strpos(url, '://') + 3), '\?[^#]*') ELSE '' END AS query
+  FROM known
 ), noded AS (
-  SELECT url, host, path,
-    CASE WHEN host <> '' THEN regexp_replace(host, '^(www|m|amp)\.', '') || regexp_replace(path, '(/index\.html?|\.html?|/)$', '')
-      || CASE WHEN query <> '' THEN '?' || query ELSE '' END END AS node
-  FROM parsed
+  SELECT url, host, path, CASE WHEN host <> '' THEN host || CASE path WHEN '' THEN '/' ELSE path END || query END AS node FROM parsed
 ), fits AS (
-  SELECT url, max(struct_pack(size := length(r_host || r_path), rule := r_host || r_path, verdict := verdict)) AS fit
-  FROM noded JOIN rules ON (host = r_host OR ends_with(host, '.' || r_host)) AND starts_with(path, r_path) GROUP BY url
+  SELECT url, max(struct_pack(size := length(r.host || r.prefix), rule := r.host || r.prefix, verdict := r.verdict)) AS fit
+  FROM noded n JOIN rules r ON (n.host = r.host OR ends_with(n.host, '.' || r.host)) AND starts_with(n.path, r.prefix) GROUP BY url
 ), judged AS (SELECT noded.*, fit.rule AS rule, fit.verdict AS own FROM noded LEFT JOIN fits USING (url)),
-edges AS (
-  SELECT a.node AS u, b.node AS v FROM linked JOIN noded a ON a.url = linked.url JOIN noded b ON b.url = linked.target
+both_ways AS (
+  SELECT a.node AS u, b.node AS v FROM edges JOIN noded a ON a.url = edges.url JOIN noded b ON b.url = edges.target
   UNION
-  SELECT b.node, a.node FROM linked JOIN noded a ON a.url = linked.url JOIN noded b ON b.url = linked.target
+  SELECT b.node, a.node FROM edges JOIN noded a ON a.url = edges.url JOIN noded b ON b.url = edges.target
 ), reach(node, low) AS (
   SELECT node, node FROM noded WHERE node IS NOT NULL
   UNION
-  SELECT edges.v, reach.low FROM reach JOIN edges ON reach.node = edges.u
+  SELECT both_ways.v, reach.low FROM reach JOIN both_ways ON reach.node = both_ways.u
 ), component AS (SELECT node, min(low) AS component FROM reach GROUP BY node),
 decided AS (
-  SELECT component, min(own) AS spread FROM judged JOIN component USING (node) WHERE own IS NOT NULL GROUP BY component
+  SELECT component, CASE WHEN bool_or(own = 'allow') THEN 'allow' ELSE 'block' END AS spread
+  FROM judged JOIN component USING (node) WHERE own IS NOT NULL GROUP BY component
 )
 SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule, coalesce(own, spread, 'allow') AS verdict
 FROM pages JOIN judged ON pages.url IS NOT DISTINCT FROM judged.url

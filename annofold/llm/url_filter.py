@@ -2,9 +2,10 @@
 
 1. Host and path of every URL are matched with allow and block rules: a rule fits its host
    and all subdomains where the path starts with the rule's path; the longest rule wins.
-2. Aliases: URLs with the same canonical form are one node (scheme, ``www.``/``m.``/``amp.``,
-   fragment, tracking parameters, ``.html`` and a last slash do not count). A page's
-   canonical link, its meta refresh and, where given, observed redirects are edges.
+2. A URL's node is its host, path and query: the scheme and the fragment do not count, and
+   an empty path is ``/``. Only what a page or a redirect states makes an
+   edge: canonical links, meta refreshes and, where given, observed redirects. Spellings
+   that look alike (``www.``, tracking parameters, ``.html``) are no aliases by themselves.
 3. Connected components of the edges, found by star contraction, spread decisions: a URL
    without a rule is blocked when its component holds a blocked URL and no explicitly allowed
    one. A URL's own rule always stands, so an explicit allow is never overruled.
@@ -23,14 +24,13 @@ from annofold.llm._shared import durable
 from annofold.llm.components import components
 
 _CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-# Link tags, alias prefixes and tracking parameters.
+# Link tags and their attributes.
 LINK_TAG = r"""(?i)<(?:link|meta)\b(?:(?:[^>"']++|"[^"]*+"|'[^']*+')*+>|[^>]*>)"""
 ATTRIBUTE = r"""[^\s"'<>/=]+\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+)"""
 REFRESH_URL = r"""(?i)\burl\s*=\s*["']?\s*([^"'>\s]+)"""
 SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:"
-ALIAS_PREFIX = r"^(www|m|amp)\."
-TRACKING = r"(?i)(^|&)(utm_[a-z]+|ref|fbclid|gclid)=[^&]*"
-PAGE_ENDING = r"(/index\.html?|\.html?|/)$"
+#: Character references that an attribute's value may hold, in the order of decoding.
+REFERENCES = (("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"), ("&#38;", "&"), ("&#x26;", "&"), ("&amp;", "&"))
 
 
 def _rest(url: Column) -> Column:
@@ -47,20 +47,21 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return F.translate(host, _CAPITALS, _CAPITALS.lower()), path
 
 
-def canonical_form(url: Column) -> Column:
-    """The node of a URL: one spelling for all its plain aliases."""
+def node_of(url: Column) -> Column:
+    """The node of a URL: host, path (``/`` where empty) and query."""
     host, path = host_and_path(url)
-    query = F.regexp_extract(_rest(F.coalesce(url, F.lit(""))), r"\?([^#]*)", 1)
-    query = F.regexp_replace(F.regexp_replace(query, TRACKING, ""), "^&", "")
-    node = F.concat(F.regexp_replace(host, ALIAS_PREFIX, ""), F.regexp_replace(path, PAGE_ENDING, ""))
-    return F.when(query != "", F.concat(node, F.lit("?"), query)).otherwise(node)
+    query = F.regexp_extract(_rest(F.coalesce(url, F.lit(""))), r"\?[^#]*", 0)
+    return F.concat(host, F.when(path == "", F.lit("/")).otherwise(path), query)
 
 
 def _attribute(tag: Column, name: str) -> Column:
     """Value of a tag's first attribute ``name``, quoted or not; null without one."""
     pairs = F.regexp_extract_all(tag, F.lit(ATTRIBUTE), F.lit(0))
     named = F.get(F.filter(pairs, lambda p: F.lower(F.regexp_extract(p, r"^[^\s=]+", 0)) == name), 0)
-    return F.trim(F.regexp_extract(named, r"""(?s)=\s*["']?(.*?)["']?$""", 1))
+    value = F.trim(F.regexp_extract(named, r"""(?s)=\s*["']?(.*?)["']?$""", 1))
+    for reference, character in REFERENCES:
+        value = F.replace(value, F.lit(reference), F.lit(character))
+    return value
 
 
 def link_targets(html: Column) -> Column:
@@ -127,8 +128,8 @@ def filter_urls(
     edges. Without a rule and without a decision in its component a URL is allowed. Null urls
     and urls without ``://`` have an empty host and path, no rule and no aliases; a null html
     has no links. Every canonical link and meta refresh counts, with any order and quoting of
-    attributes, and relative targets are resolved against the page's url (a base tag is not
-    read, entities are not decoded). Equal rows are judged alike; an empty table gives none. Columns beside
+    attributes and the character references of ``REFERENCES``, and relative targets are
+    resolved against the page's url (a base tag is not read). Equal rows are judged alike; an empty table gives none. Columns beside
     page_id, url and html are not read.
     """
     spark = pages.sparkSession
@@ -154,10 +155,10 @@ def filter_urls(
     known = urls.union(targets.select("url")).union(targets.select("target")).distinct()
     judged = durable(
         _with_rule(known.select("url", host.alias("host"), path.alias("path")), listed, ["url"]).withColumn(
-            "node", F.when(F.col("host") != "", canonical_form(F.col("url")))
+            "node", F.when(F.col("host") != "", node_of(F.col("url")))
         )
     )
-    edges = targets.select(canonical_form(F.col("url")).alias("u"), canonical_form(F.col("target")).alias("v"))
+    edges = targets.select(node_of(F.col("url")).alias("u"), node_of(F.col("target")).alias("v"))
     near = components(edges)
     placed = judged.join(near.withColumnRenamed("node", "near_node"), F.col("node") == F.col("near_node"), "left").withColumn(
         "component", F.coalesce("component", "node")

@@ -15,13 +15,13 @@ PAGES = [
     (2, "https://www.example.com/en/a", ""),
     (3, "http://x.net/es/1", link("http://mirror.org/1")),
     (4, "http://mirror.org/1", None),
-    (5, "http://third.org/q", link("http://mirror.org/1?utm_source=a")),
+    (5, "http://third.org/q", link("https://mirror.org/1#part")),
     (6, "http://free.org/", None),
     (7, None, link("http://x.net/es/1")),
     (8, "no scheme", link("http://x.net/es/1")),
     (9, "http://a.net/fr/z", link("http://good.com/")),
     (10, "http://other.org/alias", link("http://good.com/")),
-    (11, "http://M.Mirror.org/1/#top", None),
+    (11, "HTTPS://Mirror.org/1#top", None),
     (12, "http://r.org/x", '<meta http-equiv="refresh" content="0; url=http://x.net/es/1">'),
     (6, "http://free.org/", None),
     (13, "http://net/es/", None),
@@ -36,7 +36,7 @@ def test_rules_and_aliases(spark, duck):
     got = filter_urls(pages, URL_RULES)
     by_page = {r["page_id"]: (r["rule"], r["verdict"]) for r in got.collect()}
     assert by_page[1] == ("example.com/en/", "block") and by_page[2] == ("www.example.com/en/", "allow")
-    # A block spreads over canonical links and redirects, also through spelling aliases.
+    # A block spreads over canonical links and redirects, whatever the scheme and fragment.
     assert [by_page[k][1] for k in (3, 4, 5, 11, 12)] == ["block"] * 5
     # An allowed member keeps its component open, but not a page's own block.
     assert by_page[9] == ("net/fr/", "block") and by_page[10] == (None, "allow")
@@ -54,7 +54,27 @@ def test_redirect_table_empty_and_clashing(spark):
     assert filter_urls(clash, URL_RULES).count() == len(PAGES)
 
 
-def test_every_spelling_of_a_link(spark):
+def test_no_alias_that_no_page_states(spark):
+    """Hosts, paths and queries that only look alike are no aliases of a blocked URL."""
+    rules = (("amp.org/spam/", "block"), ("net/es/", "block"))
+    rows = [
+        (1, "http://amp.org/spam/x", None),
+        (2, "http://m.org/spam/x", None),
+        (3, "http://www.org/spam/x", None),
+        (4, "http://other.org/y", link("http://m.org/spam/x")),
+        (5, "http://x.net/es/1", link("http://good.org/1")),
+        (6, "http://good.org/1", None),
+        (7, "http://good.org/1/", None),
+        (8, "http://good.org/1.html", None),
+        (9, "http://good.org/1?ref=a", None),
+        (10, "http://www.good.org/1", None),
+        (11, "http://m.good.org/1", None),
+    ]
+    got = {r["page_id"]: r["verdict"] for r in filter_urls(spark.createDataFrame(rows, DDL), rules).collect()}
+    assert {k for k, v in got.items() if v == "block"} == {1, 5, 6}
+
+
+def test_every_spelling_of_a_link(spark, duck):
     blocked = "http://x.net/es/1"
     tags = [
         f"<link href={blocked} rel=canonical>",
@@ -68,5 +88,15 @@ def test_every_spelling_of_a_link(spark):
     rows += [(50, "http://rel.org/a/b", f'<link rel="canonical" href="{blocked}">')]
     rows += [(60 + k, f"http://rel.org/a/x{k}/q", f'<link rel="canonical" href="{h}">') for k, h in enumerate(["/a/b", "../b", "./../../a/b#top"])]
     rows += [(70, "http://rel.org/c/d", '<link rel="canonical" href="mailto:a@b.c"><link rel="stylesheet" href="/a/b"><meta name="x" content="url=/a/b">')]
-    got = {r["page_id"]: r["verdict"] for r in filter_urls(spark.createDataFrame(rows, DDL), URL_RULES).collect()}
+    rows += [
+        (80, "http://q.org/1", '<link rel="canonical" href="http://q.org/2?a=1&amp;b=2">'),
+        (81, "http://q.org/2?a=1&b=2", f'<meta http-equiv=refresh content="0;url=&quot;{blocked}&quot;">'),
+        (82, "http://q.org/2/", '<link rel=canonical href="?x=1">'),
+        (83, "http://q.org/2/?x=1", f"<link rel='canonical' href='{blocked}#z'>"),
+    ]
+    pages = spark.createDataFrame(rows, DDL)
+    out = filter_urls(pages, URL_RULES)
+    got = {r["page_id"]: r["verdict"] for r in out.collect()}
     assert got == {**{r[0]: "block" for r in rows}, 70: "allow"}
+    want = duck(ORACLE_SQL["op4_url_filter"], out.columns, pages=pages.toPandas())
+    assert sorted((tuple(r) for r in out.collect()), key=repr) == want
