@@ -5,15 +5,17 @@ fewer). Its set is its ``shingle``-word shingles (the whole window where that is
 A document holds a window exactly when all shingles of the window lie in it, each at its
 own distance from the window's start. So:
 
-1. every place in the corpus where any benchmark shingle stands is found once and written,
-   with the words around it (one pass, hash lookup, words compared);
+1. every place in the corpus whose shingle has a benchmark shingle's hash is found once and
+   written as numbers (document, place, hash), with a row for each document and its number
+   of words. Texts are split and hashed in place; a word array never goes through a shuffle;
 2. those places give each shingle's corpus frequency, the order of rarity;
 3. containment 1 of a set of s shingles needs its s - s + 1 = 1 rarest shingle: only the
    places of this prefix are joined to windows;
 4. length and position bounds drop candidates whose window would leave the document;
-5. the words are compared over the whole window.
+5. the candidates of a document, as one row, go back to its text, and the words are compared
+   over the whole window.
 
-DataFrame functions only. Nothing but one number and the distinct shingle lengths (at most
+DataFrame functions only. Nothing but counts and the distinct shingle lengths (at most
 ``shingle``) reaches the driver.
 """
 
@@ -24,12 +26,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from annofold.llm._shared import durable
+from annofold.llm._shared import broadcast_if_small, durable
 
 WINDOW = 10
 SHINGLE = 5
-#: Benchmark shingles (about 100 bytes each) up to which they are broadcast; beyond it the
-#: join is a shuffled one with the same rows.
+#: Rows of a narrow side (hashes of benchmark shingles; documents with candidates) up to
+#: which it is broadcast; beyond it the join is a shuffled one with the same rows.
 BROADCAST_ROWS = 200_000
 _CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -58,32 +60,49 @@ def benchmark_windows(benchmark: DataFrame, window: int) -> DataFrame:
     return w.select(_joined(F.col("w"), F.col("start"), F.col("length")).alias("window_text"), "length", "item_id").distinct()
 
 
-def window_shingles(windows: DataFrame, shingle: int) -> DataFrame:
-    """(window_text, length, offset, shingle_text, k): each distinct shingle at its first offset."""
-    w = windows.select("window_text", "length").distinct()
-    w = w.withColumn("w", F.split("window_text", " ")).withColumn("k", F.least(F.col("length"), F.lit(shingle)))
-    w = w.withColumn("at", F.explode(_starts(F.col("length") - F.col("k") + 1)))
-    w = w.withColumn("shingle_text", _joined(F.col("w"), F.col("at"), F.col("k")))
-    return w.groupBy("window_text", "length", "k", "shingle_text").agg((F.min("at") - 1).alias("offset"))
+def _shingle_hashes(hashes: Column, k: int) -> Column:
+    """Hashes of all shingles of ``k`` words, in order, from the hashes of single words."""
+    return F.transform(_starts(F.size(hashes) - k + 1), lambda i: F.xxhash64(*(F.get(hashes, i + (j - 1)) for j in range(k))))
+
 
+def _word_hashes(words: Column) -> Column:
+    return F.transform(words, lambda x: F.xxhash64(x))
 
-def shingle_places(docs: DataFrame, shingles: DataFrame, k: int, reach: int, few: bool) -> DataFrame:
-    """(row key, n_words, at, shingle_text, around, before): places of ``shingles`` of k words.
 
-    ``around`` holds the words up to ``reach`` on either side, ``before`` how many of them
-    stand in front of the place.
+def window_shingles(windows: DataFrame, shingle: int) -> DataFrame:
+    """(window_text, length, k, h, offset): each distinct shingle's hash at its first offset."""
+    w = windows.select("window_text", "length").distinct().withColumn("k", F.least(F.col("length"), F.lit(shingle)))
+    hashed = w.withColumn("hw", _word_hashes(F.split("window_text", " ")))
+    of_k = [
+        hashed.filter(F.col("k") == k).select(
+            "window_text", "length", "k", F.posexplode(_shingle_hashes(F.col("hw"), k)).alias("offset", "h")
+        )
+        for k in range(1, shingle + 1)
+    ]
+    return reduce(DataFrame.unionByName, of_k).groupBy("window_text", "length", "k", "h").agg(F.min("offset").alias("offset"))
+
+
+def shingle_places(docs: DataFrame, shingles: DataFrame, k: int, few: bool, with_sizes: bool) -> DataFrame:
+    """(doc_id, row, n_words, at, k, h): places of ``docs`` (doc_id, row, t) with the hash of a ``shingles`` of k words.
+
+    ``with_sizes`` adds a row for each document, with at = -1: it is found by a mark put before
+    the places' hashes, so that one reading of the texts gives both.
     """
-    wanted = shingles.filter(F.col("k") == k).select("shingle_text").distinct()
-    wanted = wanted.withColumn("h", F.xxhash64(F.split("shingle_text", " ")))
-    hashes = F.transform(_starts(F.size("w") - k + 1), lambda i: F.xxhash64(F.slice(F.col("w"), i, k)))
-    spots = docs.select("doc_id", "row", "w", F.posexplode(hashes).alias("at", "h"))
-    found = spots.join(F.broadcast(wanted) if few else wanted, "h")
-    found = found.filter(_joined(F.col("w"), F.col("at") + 1, F.lit(k)) == F.col("shingle_text"))
-    before = F.least(F.col("at"), F.lit(reach))
-    around = F.slice(F.col("w"), F.col("at") + 1 - before, before + k + reach)
-    return found.select(
-        "doc_id", "row", F.size("w").alias("n_words"), "at", "shingle_text", around.alias("around"), before.alias("before")
+    wanted = shingles.filter(F.col("k") == k).select("h").distinct()
+    # Functions over array items stay in projections of their own, so that the explosion and
+    # the join compile to one loop that copies no array. The outer form spares a filter on
+    # the arrays' sizes, which would be pushed to the texts and hash everything once more.
+    hashed = docs.select("doc_id", "row", _word_hashes(words(F.col("t"))).alias("hw"))
+    hashes = _shingle_hashes(F.col("hw"), k)
+    if with_sizes:
+        mark = F.lit(0).cast("long")
+        wanted = wanted.union(docs.sparkSession.range(1).select(mark.alias("h"))).distinct()
+        hashes = F.concat(F.array(mark), hashes)
+    spots = hashed.select("doc_id", "row", F.size("hw").alias("n_words"), hashes.alias("hs")).select(
+        "doc_id", "row", "n_words", F.posexplode_outer("hs").alias("at", "h")
     )
+    found = spots.join(F.broadcast(wanted) if few else wanted, "h")
+    return found.select("doc_id", "row", "n_words", (F.col("at") - int(with_sizes)).alias("at"), F.lit(k).alias("k"), "h")
 
 
 def contamination(
@@ -98,32 +117,45 @@ def contamination(
     (``row`` is its hash); empty tables give empty results or no hits; only doc_id, text and
     item_id are read.
     """
-    chosen = docs.select(F.col("doc_id").alias("doc_id"), F.col("text").cast("string").alias("t"))
-    keyed = chosen.select("doc_id", F.xxhash64("t").alias("row"), words(F.col("t")).alias("w"))
+    text = F.col("text").cast("string")
+    keyed = docs.select(F.col("doc_id").alias("doc_id"), F.xxhash64(text).alias("row"), text.alias("t"))
     windows = durable(benchmark_windows(benchmark, window))
     shingles = durable(window_shingles(windows, shingle))
     few = shingles.count() <= broadcast_rows
     lengths = sorted(r["k"] for r in shingles.select("k").distinct().collect()) or [shingle]
-    places = durable(reduce(DataFrame.unionByName, [shingle_places(keyed, shingles, k, window - k, few) for k in lengths]))
-
-    rarity = places.groupBy("shingle_text").agg(F.count(F.lit(1)).alias("n"))
-    by_rarity = Window.partitionBy("window_text").orderBy("n", "shingle_text")
+    found = durable(
+        reduce(DataFrame.unionByName, [shingle_places(keyed, shingles, k, few, few and k == lengths[0]) for k in lengths])
+    )
+    places = found.filter("at >= 0")
+    if few:
+        sizes = found.filter("at < 0")
+    else:
+        # In a shuffled join the mark would be one key of all documents.
+        sizes = durable(keyed.select("doc_id", "row", F.size(words(F.col("t"))).alias("n_words")))
+
+    rarity = places.groupBy("k", "h").agg(F.count(F.lit(1)).alias("n"))
+    by_rarity = Window.partitionBy("window_text").orderBy("n", "h")
     prefix = (
-        shingles.join(rarity, "shingle_text", "left")
+        shingles.join(rarity, ["k", "h"], "left")
         .withColumn("n", F.coalesce("n", F.lit(0)))
         .withColumn("rank", F.row_number().over(by_rarity))
         .filter("rank = 1 AND n > 0")
-        .select("shingle_text", "offset", "length", "window_text")
+        .select("k", "h", "offset", "length", "window_text")
     )
-    spans = (
-        places.join(F.broadcast(prefix) if few else prefix, "shingle_text")
+    candidates = (
+        places.join(F.broadcast(prefix) if few else prefix, ["k", "h"])
         .withColumn("start", F.col("at") - F.col("offset"))
         .filter("start >= 0 AND start + length <= n_words")
-        .filter(_joined(F.col("around"), F.col("before") - F.col("offset") + 1, F.col("length")) == F.col("window_text"))
-        .select("doc_id", "row", "start", "length", "window_text")
-        .distinct()
+        .groupBy(F.col("doc_id").alias("c_doc"), F.col("row").alias("c_row"))
+        .agg(F.collect_set(F.struct("start", "length", "window_text")).alias("tried"))
     )
-    spans = durable(spans)
+    candidates = broadcast_if_small(candidates, broadcast_rows)
+    at_text = F.col("doc_id").eqNullSafe(F.col("c_doc")) & (F.col("row") == F.col("c_row"))
+    # Words first, then the explosion, in two projections: a text is split once, not once for each candidate.
+    split = keyed.join(candidates, at_text).select("doc_id", "row", words(F.col("t")).alias("w"), "tried")
+    tried = split.select("doc_id", "row", "w", F.explode("tried").alias("c"))
+    same = _joined(F.col("w"), F.col("c.start") + 1, F.col("c.length")) == F.col("c.window_text")
+    spans = durable(tried.filter(same).select("doc_id", "row", "c.start", "c.length", "c.window_text").distinct())
     end = F.col("start") + F.col("length")
     earlier = Window.partitionBy("doc_id", "row").orderBy("start", "length").rowsBetween(Window.unboundedPreceding, -1)
     reached = F.coalesce(F.max(end).over(earlier), F.lit(0))
@@ -142,14 +174,12 @@ def contamination(
     hits = covered.join(items, (covered.doc_id.eqNullSafe(items.doc_id)) & (covered.row == items.row), "left").select(
         covered.doc_id.alias("hit_doc"), covered.row.alias("hit_row"), "n_hit", "items"
     )
-    # The word count alone needs no word array beyond its size.
-    counted = keyed.select("doc_id", "row", F.size("w").cast("long").alias("n_words"))
     none = F.array().cast("array<string>")
-    result = counted.join(
+    result = sizes.join(
         hits, F.col("doc_id").eqNullSafe(F.col("hit_doc")) & (F.col("row") == F.col("hit_row")), "left"
     ).select(
         "doc_id",
-        "n_words",
+        F.col("n_words").cast("long").alias("n_words"),
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.size(F.coalesce("items", none)).cast("long").alias("n_items"),
         F.sha2(F.array_join(F.coalesce("items", none), ","), 256).alias("items_sha256"),

@@ -44,3 +44,29 @@ def test_odd_tables(spark, docs, clashing):
     assert contamination(clashing, b)[0].count() == docs.count()
     same_id = spark.createDataFrame([(1, "x y"), (1, b.first()["text"]), (None, b.first()["text"]), (None, "x")], "doc_id long, text string")
     assert contamination(same_id, b)[0].filter("contaminated").count() == 2
+
+
+def test_no_array_of_words_is_shuffled(spark, docs):
+    """In the shuffled plan no exchange carries words or texts, whatever the benchmark's size."""
+    from annofold.llm.decontaminate import benchmark_windows, shingle_places, window_shingles
+
+    d, b = tables(spark, docs)
+    keyed = d.selectExpr("doc_id", "xxhash64(text) AS row", "text AS t")
+    shingles = window_shingles(benchmark_windows(b, 10), 5)
+    places = shingle_places(keyed, shingles, 5, few=False, with_sizes=False)
+    plan = places._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning(h#" in line]
+    assert exchanges
+    node = places._jdf.queryExecution().sparkPlan()
+    assert not any(t.dataType.typeName() in ("array", "string") for t in places.schema)
+    assert "hw" not in str(node.output())
+
+
+def test_long_and_repetitive_texts(spark):
+    words = [f"t{k % 7}" for k in range(60_000)]
+    item = " ".join(f"t{k % 7}" for k in range(12))
+    d = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(f"u{k}" for k in range(60_000)) + " " + item), (1, None)], "doc_id long, text string")
+    b = spark.createDataFrame([(1, item)], "item_id long, text string")
+    for rows in (0, 200_000):
+        got = {(r["doc_id"], r["n_words"]): r["n_hit"] for r in contamination(d, b, broadcast_rows=rows)[0].collect()}
+        assert got == {(1, 60_000): 60_000, (2, 60_012): 12, (1, 0): 0}
