@@ -2,12 +2,13 @@
 
 A line (``\\n``-separated) with at least one word fails when one of these holds:
 
-* punctuation: it neither ends in closing punctuation nor holds a sentence end (one of
-  ``.!?`` and a space);
+* punctuation: it neither ends in closing punctuation of any script nor holds a sentence end
+  (one of ``.!?`` and a space, or a full stop of a script that writes none);
 * navigation: it holds three or more ``|`` separators;
 * symbols: more than one character of ``[#*$%&|<>]`` for every four words;
 * shouting: more ASCII capitals than ASCII small letters;
-* boilerplate: it contains one of ``BOILERPLATE`` (ASCII case ignored).
+* boilerplate: it contains one of ``BOILERPLATE``, phrases of page furniture in English,
+  Spanish, French and German (ASCII case ignored).
 
 A document is rejected when the base filter rejects it or when its failed lines hold more
 than half of its non-blank characters (code points).
@@ -25,8 +26,12 @@ from pyspark.sql import functions as F
 
 from annofold.llm._shared import tidy, utf8_column
 
-# Closing punctuation and phrases of page furniture.
-CLOSING = (".", "!", "?", ":", ";", '"', "'", ")", "…", "”", "’", "»")
+# Closing punctuation, full stops that need no space, and phrases of page furniture.
+CLOSING = (
+    ".", "!", "?", ":", ";", '"', "'", ")", "…", "”", "’", "»", "›", "“", "。", "．", "！", "？", "：", "；", "」", "』", "）", "】",
+    "।", "॥", "؟", "؛", "۔", "።", "፧", "։", "။", "។", "༎",
+)
+FULL_STOPS = ("。", "！", "？", "।", "۔", "؟", "።", "։", "။", "។")
 BOILERPLATE = (
     "all rights reserved",
     "cookie policy",
@@ -37,12 +42,24 @@ BOILERPLATE = (
     "spdx-license-identifier",
     "terms of service",
     "terms of use",
+    "todos los derechos reservados",
+    "política de privacidad",
+    "política de cookies",
+    "aviso legal",
+    "tous droits réservés",
+    "politique de confidentialité",
+    "mentions légales",
+    "conditions d'utilisation",
+    "alle rechte vorbehalten",
+    "datenschutzerklärung",
+    "nutzungsbedingungen",
+    "impressum",
 )
 SYMBOLS = b"#*$%&|<>"
 BLANKS = b" \t\n\v\f\r"
 _CLOSING = tuple(c.encode() for c in CLOSING)
 _BOILERPLATE = tuple(p.encode() for p in BOILERPLATE)
-_SENTENCE_ENDS = (b". ", b"! ", b"? ")
+_SENTENCE_ENDS = (b". ", b"! ", b"? ", *(c.encode() for c in FULL_STOPS))
 _CAPITALS = bytes(range(65, 91))
 _SMALL = bytes(range(97, 123))
 

@@ -138,10 +138,11 @@ WITH w AS (
   SELECT doc_id, seen,
     length(regexp_replace(bare, '[\x20\x09-\x0D]', '', 'g')) AS size,
     (len(regexp_extract_all(bare, '[|]')) > 2
-     OR (NOT regexp_matches(bare, '[.!?:;"'')…”’»]$') AND NOT regexp_matches(bare, '[.!?] '))
+     OR (NOT regexp_matches(bare, '[.!?:;"'')…”’»›“。．！？：；」』）】।॥؟؛۔።፧։။។༎]$') AND NOT regexp_matches(bare, '[.!?] |[。！？।۔؟።։။។]'))
      OR 4 * len(regexp_extract_all(bare, '[#*$%&|<>]')) > len(regexp_extract_all(bare, '[^\x20\x09-\x0D]+'))
      OR len(regexp_extract_all(bare, '[A-Z]')) > len(regexp_extract_all(bare, '[a-z]'))
      OR regexp_matches(bare, '(?i)(all rights reserved|cookie policy|enable javascript|licensed under|lorem ipsum|privacy policy|spdx-license-identifier|terms of service|terms of use)')
+     OR regexp_matches(translate(bare, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '(todos los derechos reservados|política de privacidad|política de cookies|aviso legal|tous droits réservés|politique de confidentialité|mentions légales|conditions d''utilisation|alle rechte vorbehalten|datenschutzerklärung|nutzungsbedingungen|impressum)')
     ) AS bad
   FROM lines WHERE bare <> ''
 ), per_doc AS (

@@ -38,3 +38,19 @@ def test_empty_and_clashing(docs, clashing):
     assert line_first_quality(docs.limit(0)).count() == 0
     assert line_first_quality(clashing).count() == docs.count()
     assert set(keep_clean(clashing).columns) == set(clashing.columns)
+
+
+def test_every_script_closes_its_sentences(spark, docs, duck):
+    """Lines that end as their script does are kept; furniture of other languages goes."""
+    chinese = "\n".join(" ".join(f"河{k}边{j}" for j in range(10)) + "。" for k in range(20))
+    hindi = "\n".join(" ".join(f"घर{k}नदी{j}" for j in range(10)) + "।" for k in range(20))
+    arabic = "\n".join(" ".join(f"بيت{k}نهر{j}" for j in range(10)) + "؟" for k in range(20))
+    french = GOOD + "\nTous droits réservés - mentions légales.\n"
+    german = GOOD + "\nAlle Rechte vorbehalten. Impressum.\n"
+    rows = [(k, t, "xx", "s", 1) for k, t in enumerate([chinese, hindi, arabic, french, german])]
+    table = spark.createDataFrame(rows, docs.schema)
+    got = line_first_quality(table)
+    found = {r["doc_id"]: (r["kept"], r["n_bad_lines"]) for r in got.collect()}
+    assert found == {0: (True, 0), 1: (True, 0), 2: (True, 0), 3: (True, 1), 4: (True, 1)}
+    want = duck(ORACLE_SQL["op2_quality_rules"], got.columns, documents=table.toPandas())
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == want
