@@ -9,7 +9,7 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Rows of a batch that a Python stage handles at once.
@@ -19,20 +19,40 @@ SLICE = 2000
 BROADCAST_ROWS = 500_000
 
 _own_folder: dict[str, str] = {}
+_written: dict[str, list[str]] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
     """A new folder name under ``spark.checkpoint.dir``, which every executor can reach.
 
-    Only where that setting is absent (a single-machine session, as in tests) a
-    temporary folder is made.
+    Only a session on one machine may lack that setting, as in tests: a temporary folder is
+    made for it. On a cluster executors could not see one another's files, so it fails.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
+    app = spark.sparkContext.applicationId
     if not root:
-        app = spark.sparkContext.applicationId
-        root = _own_folder.setdefault(app, "") or tempfile.mkdtemp(prefix="spark-")
-        _own_folder[app] = root
-    return f"{root.rstrip('/')}/annofold-{uuid.uuid4().hex}"
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        if app not in _own_folder:
+            _own_folder[app] = tempfile.mkdtemp(prefix="spark-")
+        root = _own_folder[app]
+    path = f"{root.rstrip('/')}/annofold-{uuid.uuid4().hex}"
+    _written.setdefault(app, []).append(path)
+    return path
+
+
+def drop_intermediates(spark: SparkSession) -> int:
+    """Delete what ``durable`` wrote in this session; returns the number of folders.
+
+    For the end of a job: DataFrames that rest on these tables cannot be read afterwards.
+    """
+    paths = _written.pop(spark.sparkContext.applicationId, [])
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in paths:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(conf).delete(folder, True)
+    return len(paths)
 
 
 def durable(df: DataFrame) -> DataFrame:
@@ -56,6 +76,11 @@ def broadcast_if_small(keys: DataFrame, bound: int = BROADCAST_ROWS) -> DataFram
     return F.broadcast(held) if held.count() <= bound else held
 
 
+def row_mark() -> Column:
+    """A number of its own for each row; only for tables that are written at once."""
+    return F.monotonically_increasing_id()
+
+
 def dense_rank_in(
     df: DataFrame, keys: Sequence[str], spread: Sequence[str], total: int, name: str
 ) -> DataFrame:
@@ -63,7 +88,9 @@ def dense_rank_in(
 
     A key may hold any share of the rows: each is cut by a hash of ``spread`` into as
     many parts as keep a part near 100,000 rows, ranks are taken inside a part, and the
-    (small) counts of the parts are summed to offsets. ``df`` must be repeatable.
+    (small) counts of the parts are summed to offsets. ``df`` must be repeatable, and
+    ``spread`` must tell rows apart, or equal ones would meet in one part: a table without
+    such columns gets ``row_mark`` before it is written.
     """
     parts = max(16, -(-total // 100_000))
     salted = df.withColumn("__part", F.pmod(F.xxhash64(*spread), F.lit(parts)))

@@ -16,7 +16,7 @@ import heapq
 import os
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annofold.llm._shared import batches, dense_rank_in, durable, tidy
+from annofold.llm._shared import batches, dense_rank_in, durable, row_mark, tidy
 
 CAPACITY = 2048
 END_ID = 1
@@ -32,6 +32,14 @@ END_ID = 1
 CACHED_WORDS = 300_000
 TEXTS_AT_ONCE = 500
 WORDS_AT_ONCE = 256
+#: Texts by which a tokenizer shows whether it works word by word.
+PROBES = (
+    "Plain words, and THE Same Words again. the same words",
+    "tabs\tand\nlines  with   blanks ",
+    "3.14 a.b,c e-mail@x.org #1 it's (so) \u201cquoted\u201d!",
+    "\u00c4rger stra\u00dfe d\u00e9j\u00e0 vu ni\u00f1o \u6cb3\u8fb9\u3002\u0928\u0926\u0940",
+    "",
+)
 _WORD_END = re.compile("(?<=[A-Za-z0-9])(?=[.,])")
 
 
@@ -42,6 +50,9 @@ class WordIds:
     and a full stop or comma; so a text's ids are those of the strings between such places,
     in order. Strings met for the first time are encoded many at a time. The table has two
     generations: when the younger one is full the older one goes, so common words stay.
+
+    A tokenizer of another kind (one that keeps case, or marks spaces, say) encodes whole
+    texts instead: whether the short way is right is tried on ``PROBES``.
     """
 
     def __init__(self, path: str) -> None:
@@ -51,6 +62,12 @@ class WordIds:
         self._tokenizer = Tokenizer.from_file(path)
         self._known: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
+        self._by_words = True
+        self._by_words = self.of_texts(list(PROBES)) == self._whole(PROBES)
+
+    def _whole(self, texts: Sequence[str]) -> list[bytes]:
+        made = self._tokenizer.encode_batch(list(texts), add_special_tokens=False)
+        return [np.array(m.ids, "<u4").tobytes() for m in made]
 
     def _split(self, text: str) -> list[str]:
         if "<|" not in text:  # a special token's name is matched before lower-casing
@@ -58,6 +75,8 @@ class WordIds:
         return _WORD_END.sub(" ", text.replace("\n", " ")).split(" ")
 
     def of_texts(self, texts: list[str]) -> list[bytes]:
+        if not self._by_words:
+            return self._whole(texts)
         split = [self._split(t) for t in texts]
         if len(self._known) > CACHED_WORDS:
             self._known, self._older = {}, self._known
@@ -172,10 +191,11 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACIT
     whole sequences and one remainder; equal rows are packed one by one; an empty table gives
     none. Only doc_id and text are read. ``with_ids`` adds the ids (uint32, little-endian).
     """
-    pieces = durable(tokenized_pieces(docs, tokenizer_path, capacity, with_ids))
+    made = tokenized_pieces(docs, tokenizer_path, capacity, with_ids)
+    pieces = durable(made.withColumn("mark", row_mark()))
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     slots = slots_by_length(pack_histogram(histogram, capacity))
-    ranked = dense_rank_in(pieces, ["length"], ["doc_id", "start", "ids_crc32"], sum(histogram.values()), "rank")
+    ranked = dense_rank_in(pieces, ["length"], ["doc_id", "start", "ids_crc32", "mark"], sum(histogram.values()), "rank")
 
     def place(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in it:
@@ -189,5 +209,5 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACIT
                 offset[at] = run[k, 2]
             yield rows.drop(columns="rank").assign(sequence_id=sequence, offset=offset)
 
-    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema)
-    return ranked.select(*pieces.columns, "rank").mapInPandas(place, f"{ddl}, sequence_id long, offset long")
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in made.schema)
+    return ranked.select(*made.columns, "rank").mapInPandas(place, f"{ddl}, sequence_id long, offset long")

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from annofold.llm._shared import dense_rank_in, durable
+from annofold.llm._shared import dense_rank_in, durable, row_mark
 
 SHARDS = 8
 #: Groups above this part of a share may be cut where whole ones leave the shards uneven.
@@ -209,7 +209,7 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     few = F.broadcast(placed.filter("heavy").select("g1", "g2", "part", "shard"))
     others = rows.join(F.broadcast(large.select("g1", "g2")), ["g1", "g2"], "left_anti")
     found = [cut.join(few, ["g1", "g2", "part"]), others.join(placed.filter("NOT heavy").select("g1", "g2", "shard"), ["g1", "g2"])]
-    out = durable(reduce(DataFrame.union, [side.select("doc_id", "size", "text_crc32", "shard") for side in found]))
-    return dense_rank_in(out, ["shard"], ["doc_id", "text_crc32", "size"], n, "slot").select(
+    out = durable(reduce(DataFrame.union, [side.select("doc_id", "size", "text_crc32", "shard") for side in found]).withColumn("mark", row_mark()))
+    return dense_rank_in(out, ["shard"], ["doc_id", "text_crc32", "size", "mark"], n, "slot").select(
         "doc_id", "size", "text_crc32", "shard", "slot"
     )

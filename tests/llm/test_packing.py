@@ -11,8 +11,8 @@ from annofold.llm.packing import pack_documents, pack_histogram, slots_by_length
 from annofold.llm.queries import tokenizer_path
 
 
-def brute_ids(texts):
-    t = Tokenizer.from_file(tokenizer_path())
+def brute_ids(texts, name="word_bpe_49k.json"):
+    t = Tokenizer.from_file(tokenizer_path(name))
     return [np.array([*e.ids, 1], "<u4") for e in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
 
 
@@ -75,3 +75,13 @@ def test_shortest_pack_first_places_every_length():
         for length, n in histogram.items():
             assert sum(p.count(length) * c for p, c in patterns) == n
         assert {k: int(sum(v[:, 0] * 0) + len(v)) > 0 for k, v in slots_by_length(patterns).items()} == {k: True for k in histogram}
+
+
+def test_a_tokenizer_of_another_kind(spark):
+    """One that keeps case and spaces is told apart and encodes whole texts."""
+    rows = [(1, "The Same WORDS, again.  the same words"), (2, None), (3, "  a\nb. " * 400), (4, "Straße 3.14")]
+    path = tokenizer_path("byte_bpe_50k.json")
+    pieces = pack_documents(spark.createDataFrame(rows, "doc_id long, text string"), path, 128, with_ids=True).collect()
+    for (doc, _), ids in zip(rows, brute_ids([t for _, t in rows], "byte_bpe_50k.json"), strict=True):
+        own = sorted((p["start"], bytes(p["ids"])) for p in pieces if p["doc_id"] == doc)
+        assert b"".join(b for _, b in own) == ids.tobytes()
