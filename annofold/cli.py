@@ -6,6 +6,7 @@ All paths may lie in any store that Spark reads; only JSON reports are written b
 from __future__ import annotations
 
 import argparse
+import importlib
 import os
 import sys
 from collections.abc import Sequence
@@ -26,6 +27,7 @@ from annofold.operators import submission as sub
 from annofold.operators import tables
 from annofold.schemas import BRANCHES
 from annofold.sources.raw_files import REQUIRED_FILES
+from annofold.storage import settled
 
 RAW, PROCESSED, ARTIFACTS, REPORTS = "data/raw", "data/processed", "artifacts", "artifacts/reports"
 
@@ -155,6 +157,26 @@ def prepare_embedding_batches(a: argparse.Namespace) -> int:
     return 0
 
 
+def extract_embeddings(a: argparse.Namespace) -> int:
+    """Encode the batches of a prepared folder that have no shard yet, and complete its manifest."""
+    spark = session()
+    module, _, name = a.encoder.partition(":")
+    load_encoder = getattr(importlib.import_module(module), name)
+    root = a.root if "://" in a.root else os.path.abspath(a.root)
+    path = f"{root}/manifest.csv"
+    require_paths(spark, [path, f"{root}/batches"])
+    manifest = emb.with_shard_status(sources.manifest_csv(spark, path), sources.shard_list(spark, root))
+    manifest = settled(manifest)
+    done = None if a.overwrite else manifest.filter("status = 'complete'").select("batch_id")
+    batches = spark.read.parquet(f"{root}/batches")
+    vectors = emb.extract_embeddings(batches, load_encoder, done, a.inference_batch_size, a.max_sequence_length or None)
+    shards = sinks.write_shards(vectors, root)
+    manifest = settled(emb.complete_batches(manifest, shards, a.completed_at))
+    sinks.write_manifest(manifest, path)
+    print(records(emb.manifest_summary(manifest))[0])
+    return 0
+
+
 def run_homology(a: argparse.Namespace) -> int:
     spark = session()
     if a.mode == "prepare":
@@ -298,6 +320,10 @@ def parser() -> argparse.ArgumentParser:
     command(build_ontology, "ontology", obo=f"{RAW}/go-basic.obo", train_terms=f"{PROCESSED}/train_terms_clean.parquet", processed_dir=PROCESSED)
     command(make_folds, "folds", train_sequences=sequences["train_sequences"], train_terms=None, cluster_file=None, n_folds=5, seed=42, output=folds)
     command(prepare_embedding_batches, **sequences, output_root=f"{ARTIFACTS}/embeddings", batch_size=emb.BATCH_SIZE, model_name=emb.MODEL_NAME)
+    command(
+        extract_embeddings, root=f"{ARTIFACTS}/embeddings/train", encoder="my_encoder:load", inference_batch_size=emb.INFERENCE_BATCH_SIZE,
+        max_sequence_length=emb.MAX_SEQUENCE_LENGTH, completed_at="", overwrite=False,
+    )
     command(
         run_homology, "homology", mode=("aggregate", "prepare"), valid_hits=f"{ARTIFACTS}/retrieval/train_vs_train.tsv",
         test_hits=f"{ARTIFACTS}/retrieval/test_vs_train.tsv", train_terms=closure, folds=folds, output_dir=predictions, max_hits_per_query=100,

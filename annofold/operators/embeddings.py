@@ -114,6 +114,21 @@ def mark_complete(manifest: DataFrame, batch_id: str, completed_at: str, validat
     )
 
 
+def complete_batches(manifest: DataFrame, done: DataFrame, completed_at: str) -> DataFrame:
+    """The manifest with all batches of ``done`` (batch_id) complete."""
+    there = done.select(F.col("batch_id").alias("there")).distinct()
+    marked = manifest.join(there, F.col("batch_id") == F.col("there"), "left")
+    new = F.col("there").isNotNull()
+    return marked.select(
+        *(
+            F.when(new, F.lit({"status": "complete", "completed_at": completed_at}[c])).otherwise(F.col(c)).alias(c)
+            if c in ("status", "completed_at")
+            else F.col(c)
+            for c in manifest.columns
+        )
+    )
+
+
 def manifest_summary(manifest: DataFrame) -> DataFrame:
     """One row: n_sequences, n_batches, n_complete, n_pending, splits, models, n_pending_batches."""
     done = F.col("status") == "complete"

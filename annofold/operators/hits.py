@@ -116,11 +116,12 @@ def filter_oof_hits(hits: DataFrame, folds: DataFrame) -> DataFrame:
     """Weighted hits between entries of different folds, with ``query_fold`` and ``target_fold``.
 
     Weights are made before anything is left out, so a query's best bit score counts hits on
-    itself. Hits of entries without a fold go.
+    itself. Hits of entries without a fold go; an entry with several folds counts as one of
+    the lowest, so it never meets a target of that fold.
     """
     require_columns(folds, ("entry_id", "fold"), "folds")
     known = folds.select(F.col("entry_id").cast("string").alias("fold_entry"), F.col("fold").cast("int").alias("fold_no"))
-    known = known.filter(not_missing("fold_entry", "fold_no")).dropDuplicates()
+    known = known.filter(not_missing("fold_entry", "fold_no")).groupBy("fold_entry").agg(F.min("fold_no").alias("fold_no"))
     of_query = known.select(F.col("fold_entry").alias("q_entry"), F.col("fold_no").alias("query_fold"))
     of_target = known.select(F.col("fold_entry").alias("t_entry"), F.col("fold_no").alias("target_fold"))
     return (

@@ -40,8 +40,11 @@ PREDICTIONS = T.StructType(
         T.StructField("score", T.DoubleType()),
     ]
 )
-#: Strings that annotation readers take for a missing value.
-NULL_TOKENS = ("", "NA", "N/A", "NaN", "nan", "null", "NULL", "None", "#N/A", "n/a", "<NA>", "-NaN", "-nan", "#NA")
+# Strings that annotation readers take for a missing value.
+NULL_TOKENS = (
+    "", "NA", "N/A", "NaN", "nan", "null", "NULL", "None", "#N/A", "n/a", "<NA>", "-NaN", "-nan", "#NA",
+    "#N/A N/A", "-1.#IND", "1.#IND", "-1.#QNAN", "1.#QNAN",
+)
 
 
 def require_columns(df: DataFrame, columns: Iterable[str], name: str) -> None:

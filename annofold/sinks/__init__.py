@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+import io
 import json
+import os
+import uuid
+from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
+import pandas as pd
+from pyarrow import fs as pa_fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from annofold.schemas import MANIFEST_COLUMNS, SUBMISSION_COLUMNS, require_columns
+from annofold.storage import settled
 
 
 def write_parquet(df: DataFrame, path: str) -> str:
@@ -34,9 +42,14 @@ def write_json(data: dict, path: str) -> str:
 
 
 def score_text(score: Column) -> Column:
-    """A score in plain digits: up to nine places, without trailing zeros or exponent."""
-    digits = F.format_string("%.9f", score.cast("double"))
-    return F.regexp_replace(F.regexp_replace(digits, "0+$", ""), r"\.$", ".0")
+    """A score in all its digits, without trailing zeros, so that reading it gives the same double.
+
+    Plain digits up to 36 places; a number too small or too large for them has an exponent.
+    """
+    told = score.cast("double").cast("string")
+    plain = told.try_cast("decimal(38,36)")
+    digits = F.regexp_replace(F.regexp_replace(plain.cast("string"), "0+$", ""), r"\.$", ".0")
+    return F.when(plain.isNotNull() & (plain.cast("double") == score.cast("double")), digits).otherwise(told)
 
 
 def write_submission(df: DataFrame, path: str) -> str:
@@ -54,14 +67,79 @@ def write_manifest(df: DataFrame, path: str) -> str:
     return path
 
 
-def write_batches(batches: DataFrame, path: str) -> str:
-    """Batches as one Parquet table partitioned by batch_id, each batch in one file."""
+def write_batches(batches: DataFrame, path: str, append: bool = False) -> str:
+    """Batches as the files ``batch_id``.parquet in one folder, the paths that a manifest names.
+
+    Spark writes each batch as one file of a hidden folder; the files are then renamed, which
+    moves no data on a file system. ``append`` keeps the batches that are there.
+    """
+    spark = batches.sparkSession
     columns = ("entry_id", "sequence", "sequence_length", "row_index", "batch_id", "row_index_in_batch")
-    placed = batches.select(*columns).repartition("batch_id").sortWithinPartitions("batch_id", "row_index")
-    placed.write.mode("overwrite").partitionBy("batch_id").parquet(path)
+    hidden = f"{path.rstrip('/')}/_writing-{uuid.uuid4().hex}"
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path
+    folder = jvm_path(path)
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not append:
+        store.delete(folder, True)
+    placed = batches.select(*columns, F.col("batch_id").alias("named")).repartition("named").sortWithinPartitions("named", "row_index")
+    placed.write.partitionBy("named").parquet(hidden)
+    for part in store.globStatus(jvm_path(f"{hidden}/named=*/part-*")):
+        name = part.getPath().getParent().getName().removeprefix("named=")
+        goal = jvm_path(f"{path.rstrip('/')}/{name}.parquet")
+        store.delete(goal, False)
+        if not store.rename(part.getPath(), goal):
+            raise OSError(f"cannot write {goal}")
+    store.delete(jvm_path(hidden), True)
     return path
 
 
+def _write_bytes(path: str, content: bytes) -> None:
+    """Put a whole file in place at once, in any store that Arrow knows; runs in tasks."""
+    store, inner = pa_fs.FileSystem.from_uri(path if "://" in path else os.path.abspath(path))
+    store.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+    part = f"{inner}.{uuid.uuid4().hex}.part"
+    with store.open_output_stream(part) as out:
+        out.write(content)
+    store.move(part, inner)
+
+
+def write_shards(vectors: DataFrame, root: str) -> DataFrame:
+    """Write ``vectors`` (batch_id, row_index_in_batch, embedding) as ``.npy`` files, one matrix a batch.
+
+    The files are those that a manifest with ``root`` names: batch_00000 is shard_00000.npy.
+    Rows come in order of row_index_in_batch. Returns (batch_id, shard_path, n_rows) of the
+    files written. A task holds one batch at a time; a task that is run again writes the same
+    files again.
+    """
+    root = root.rstrip("/")
+
+    def save(batch: str, rows: list[np.ndarray]) -> tuple[str, str, int]:
+        buffer = io.BytesIO()
+        np.save(buffer, np.stack(rows).astype(np.float32))
+        path = f"{root}/shard_{batch.removeprefix('batch_')}.npy"
+        _write_bytes(path, buffer.getvalue())
+        return batch, path, len(rows)
+
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[np.ndarray] = []
+        last = None
+        done = []
+        for frame in it:
+            for batch, vector in zip(frame["batch_id"], frame["embedding"], strict=True):
+                if held and batch != last:
+                    done.append(save(last, held))
+                    held = []
+                last = batch
+                held.append(np.asarray(vector))
+        if held:
+            done.append(save(last, held))
+        yield pd.DataFrame(done, columns=["batch_id", "shard_path", "n_rows"])
+
+    placed = vectors.select("batch_id", "row_index_in_batch", "embedding").repartition("batch_id")
+    placed = placed.sortWithinPartitions("batch_id", "row_index_in_batch")
+    return settled(placed.mapInPandas(run, "batch_id string, shard_path string, n_rows int"))
+
+
 def write_csv(df: DataFrame, path: str) -> str:
     """A small report as CSV with a header."""
     df.write.mode("overwrite").csv(path, header=True)

@@ -8,17 +8,36 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
+_written: dict[str, list[str]] = {}
 
 
 def scratch_path(spark: SparkSession) -> str:
-    """A fresh path under ``spark.checkpoint.dir``; a temporary folder only where that is unset."""
+    """A fresh path under ``spark.checkpoint.dir``.
+
+    A temporary folder where that is unset, but only in a session on one machine: on a cluster
+    executors could not see one another's files, so it fails.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         app = spark.sparkContext.applicationId
         if app not in _own:
             _own[app] = tempfile.mkdtemp(prefix="spark-")
         root = _own[app]
-    return f"{root.rstrip('/')}/step-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/step-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def drop_intermediates(spark: SparkSession) -> int:
+    """Delete the session's intermediate tables, at the end of a job; returns their number."""
+    paths = _written.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return len(paths)
 
 
 def settled(df: DataFrame) -> DataFrame:

@@ -1,16 +1,18 @@
 """Embedding batches as a file stream. Ids: DOM-19, ML-10 (resumable extraction).
 
-New batch files are picked up as they appear; the stream's checkpoint knows which are done, so
-a restart neither repeats nor skips a batch and no manifest has to be rewritten.
+New batch files are picked up as they appear and become the shard files of the manifest; the
+stream's checkpoint knows which are done, so a restart skips no batch and repeats at most the
+last one, whose shards are then written again as they were.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from annofold import sinks
 from annofold.operators.embeddings import INFERENCE_BATCH_SIZE, MAX_SEQUENCE_LENGTH, Encoder, extract_embeddings
 
 BATCH_DDL = "entry_id string, sequence string, sequence_length int, row_index long, row_index_in_batch int, batch_id string"
@@ -19,21 +21,24 @@ BATCH_DDL = "entry_id string, sequence string, sequence_length int, row_index lo
 def start_embedding_stream(
     spark: SparkSession,
     batches_path: str,
-    output_path: str,
+    shards_root: str,
     checkpoint_path: str,
     load_encoder: Callable[[], Encoder],
     inference_batch_size: int = INFERENCE_BATCH_SIZE,
     max_length: int | None = MAX_SEQUENCE_LENGTH,
 ) -> StreamingQuery:
-    """Encode all batch files that are there and not yet done, then stop.
+    """Encode all batch files that are there and not yet done to ``shards_root``, then stop.
 
-    ``batches_path`` as written by ``annofold.sinks.write_batches``.
+    ``batches_path`` as written by ``annofold.sinks.write_batches``: a batch is one file, so it
+    is never cut between two rounds of the stream.
     """
     batches = spark.readStream.schema(BATCH_DDL).parquet(batches_path)
-    vectors = extract_embeddings(batches, load_encoder, None, inference_batch_size, max_length)
+
+    def encode(some: DataFrame, _: int) -> None:
+        sinks.write_shards(extract_embeddings(some, load_encoder, None, inference_batch_size, max_length), shards_root)
+
     return (
-        vectors.writeStream.format("parquet")
-        .option("path", output_path)
+        batches.writeStream.foreachBatch(encode)
         .option("checkpointLocation", checkpoint_path)
         .trigger(availableNow=True)
         .start()

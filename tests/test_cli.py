@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import json
+import os
 
-import numpy as np
 import pytest
 
 from annofold import cli
@@ -41,15 +41,26 @@ def test_whole_run(spark, home, monkeypatch):
     assert main(["make-folds", "--n-folds", "3", "--train-terms", str(home / "data/processed/train_terms_closure.parquet")]) == 0
     assert main(["prepare-embedding-batches", "--batch-size", "10"]) == 0
 
-    rng = np.random.default_rng(0)
+    # An encoder as a user would bring it: a module that the workers can import.
+    (home / "toy_encoder.py").write_text(
+        "import numpy as np\n\n"
+        "def load():\n"
+        "    def encode(texts):\n"
+        "        n = np.array([len(t) // 50 for t in texts])\n"
+        "        return np.stack([4.0 * (n % 2), np.sin(n), np.cos(n)], axis=1)\n"
+        "    return encode\n"
+    )
+    spark.sparkContext.addPyFile(str(home / "toy_encoder.py"))
     for split in ("train", "test"):
-        rows = spark.read.csv(f"{home}/artifacts/embeddings/{split}/manifest.csv", header=True).toPandas()
-        rows["row_index"] = rows["row_index"].astype(int)
-        for path, some in rows.sort_values("row_index").groupby("shard_path"):
-            x = rng.normal(size=(len(some), 3)).astype(np.float32)
-            if split == "train":
-                x[:, 0] += [4.0 * (int(e[1:]) % 2) for e in some["entry_id"]]
-            np.save(home / path, x)
+        root = f"{home}/artifacts/embeddings/{split}"
+        options = ["--root", root, "--encoder", "toy_encoder:load", "--max-sequence-length", "2000"]
+        assert main(["extract-embeddings", *options, "--completed-at", "2020-01-01"]) == 0
+        manifest = spark.read.csv(f"{root}/manifest.csv", header=True).toPandas()
+        assert all(os.path.isfile(p) for c in ("batch_path", "shard_path") for p in manifest[c])
+        assert set(manifest["completed_at"]) == {"2020-01-01"}
+        times = {p: os.path.getmtime(p) for p in manifest["shard_path"]}
+        assert main(["extract-embeddings", *options]) == 0  # nothing is left to do
+        assert times == {p: os.path.getmtime(p) for p in times}
     assert main(["prepare-embedding-batches", "--batch-size", "10"]) == 0
     assert set(spark.read.csv(f"{home}/artifacts/embeddings/train/manifest.csv", header=True).toPandas()["status"]) == {"complete"}
 

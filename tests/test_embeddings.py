@@ -84,10 +84,26 @@ def test_stream_encodes_each_batch_once(spark, tmp_path):
     batches = e.batches_of(e.normalize_sequences(sequences(spark)), e.BatchConfig("train", "art", 2))
     sinks.write_batches(batches.filter("batch_id = 'batch_00000'"), places[0])
     start_embedding_stream(spark, *places, load_encoder).awaitTermination()
-    assert spark.read.parquet(places[1]).count() == 2
-    batches.filter("batch_id = 'batch_00001'").write.mode("append").partitionBy("batch_id").parquet(places[0])
+    assert sources.shard_vectors(spark, places[1]).count() == 2
+    first = (tmp_path / "out" / "shard_00000.npy").stat().st_mtime_ns
+    sinks.write_batches(batches.filter("batch_id = 'batch_00001'"), places[0], append=True)
     start_embedding_stream(spark, *places, load_encoder).awaitTermination()
-    assert sorted(r["entry_id"] for r in spark.read.parquet(places[1]).collect()) == ["a", "b", "c"]
+    assert (tmp_path / "out" / "shard_00000.npy").stat().st_mtime_ns == first
+    # The shards are those that the manifest names, so they assemble.
+    m = e.create_manifest(e.normalize_sequences(sequences(spark)), e.BatchConfig("train", places[1], 2))
+    m = e.with_shard_status(m, sources.shard_list(spark, places[1]))
+    whole = f.assemble_embeddings(m, sources.shard_vectors(spark, places[1])).orderBy("row_index").collect()
+    assert [(r["entry_id"], list(r["embedding"])) for r in whole] == [("a", [1, 1]), ("b", [2, 2]), ("c", [3, 3])]
+
+
+def test_batch_files_are_where_the_manifest_says(spark, tmp_path, rows):
+    config = e.BatchConfig("train", str(tmp_path), 2)
+    normalized = e.normalize_sequences(sequences(spark))
+    sinks.write_batches(e.batches_of(normalized, config), str(tmp_path / "batches"))
+    for r in e.create_manifest(normalized, config).select("batch_id", "batch_path").distinct().collect():
+        batch = spark.read.parquet(r["batch_path"])
+        assert {x["batch_id"] for x in batch.collect()} == {r["batch_id"]}
+    assert rows(spark.read.parquet(str(tmp_path / "batches")), "entry_id") == [("a",), ("b",), ("c",)]
 
 
 def test_mean_pool(spark):

@@ -85,3 +85,10 @@ def test_limits(spark):
     df = spark.createDataFrame([("q", t, w) for t, w in [("b", 0.5), ("a", 0.5), ("c", 0.9)]], "query_id string, target_id string, hit_weight double")
     assert {r["target_id"] for r in h.limit_hits(df, 2).collect()} == {"c", "a"}
     assert h.limit_hits(df, None).count() == h.limit_hits(df, 0).count() == 3
+
+
+def test_an_entry_of_two_folds_meets_no_target_of_its_first(spark, rows):
+    folds = spark.createDataFrame([("A", 0), ("A", 1), ("B", 1), ("C", 0)], "entry_id string, fold int")
+    hits = spark.createDataFrame([("A", "B", 50.0), ("A", "C", 50.0)], "query_id string, target_id string, bitscore double")
+    kept = h.filter_oof_hits(hits, folds)
+    assert rows(kept, "query_id", "target_id", "query_fold", "target_fold") == [("A", "B", 0, 1)]

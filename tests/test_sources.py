@@ -55,7 +55,7 @@ def test_fasta_pipe_without_a_name(spark, tmp_path):
 
 
 def test_labels(spark, tmp_path, rows):
-    path = write(tmp_path, "t.tsv", "EntryID\tterm\taspect\nA\tT1\tF\nA\tT1\tF\nA\tT2\t P \nB\tT3\tC\nNA\tT3\tC\n")
+    path = write(tmp_path, "t.tsv", "EntryID\tterm\taspect\nA\tT1\tF\nA\tT1\tF\nA\tT2\t P \nB\tT3\tC\nNA\tT3\tC\n#N/A N/A\tT3\tC\n1.#IND\tT3\tC\n-1.#QNAN\tT3\tC\n")
     labels = sources.labels_tsv(spark, path)
     assert rows(labels) == [("A", "T1", "F", "MF"), ("A", "T2", "P", "BP"), ("B", "T3", "C", "CC")]
     assert rows(label_frequency(labels), "branch", "term", "n_proteins", "n_annotations") == [("BP", "T2", 1, 1), ("CC", "T3", 1, 1), ("MF", "T1", 1, 1)]
@@ -138,8 +138,8 @@ def test_shards_and_manifest(spark, tmp_path):
 
 
 def test_submission_text(spark, tmp_path):
-    df = spark.createDataFrame([("P1", "T:1", 0.9), ("P1", "T:2", 0.0001), ("P1", "T:3", 1.0), ("P2", "T:1", 1e-05)], "entry_id string, term string, score double")
+    df = spark.createDataFrame([("P1", "T:1", 0.9), ("P1", "T:2", 0.0001), ("P1", "T:3", 1.0), ("P2", "T:1", 1e-05), ("P2", "T:2", 4e-10), ("P2", "T:3", 0.1234567890123456), ("P2", "T:4", 5e-300), ("P2", "T:5", 0.0)], "entry_id string, term string, score double")
     sinks.write_submission(df, str(tmp_path / "s"))
     lines = sorted(x for p in (tmp_path / "s").glob("part-*") for x in p.read_text().splitlines())
-    assert lines == ["P1\tT:1\t0.9", "P1\tT:2\t0.0001", "P1\tT:3\t1.0", "P2\tT:1\t0.00001"]
-    assert sinks.write_parquet_counted(df, str(tmp_path / "p")) == 4
+    assert lines == ["P1\tT:1\t0.9", "P1\tT:2\t0.0001", "P1\tT:3\t1.0", "P2\tT:1\t0.00001", "P2\tT:2\t0.0000000004", "P2\tT:3\t0.1234567890123456", "P2\tT:4\t5.0E-300", "P2\tT:5\t0.0"]
+    assert sinks.write_parquet_counted(df, str(tmp_path / "p")) == 8
