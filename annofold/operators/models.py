@@ -258,14 +258,6 @@ def cross_validate(
     return predict_top_k(placed, [h for h in heads if h.held_fold >= 0], top_k, min_score), heads
 
 
-def linear_scores(vectors: DataFrame, coef: list[float], intercept: float) -> DataFrame:
-    """(entry_id, score) of one fixed linear head, by built-in array functions."""
-    weights = F.array(*(F.lit(float(c)) for c in coef))
-    products = F.zip_with(F.col("embedding"), weights, lambda a, b: a.cast("double") * b)
-    z = F.aggregate(products, F.lit(float(intercept)), lambda total, p: total + p)
-    return vectors.select(F.col("entry_id").cast("string").alias("entry_id"), (1 / (1 + F.exp(-z))).alias("score"))
-
-
 def heads_table(spark, heads: list[Heads]) -> DataFrame:
     """(branch, held_fold, term, coef, intercept, mean, std): heads as a table to write as Parquet."""
     rows = [

@@ -140,8 +140,8 @@ def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(entry_id, cluster_id): clusters of growing sizes; every tenth entry has none."""
-    return table(spark, sf_dir, "documents").filter("doc_id % 10 != 3").select(
+    """(entry_id, cluster_id): clusters of growing sizes; entries without a label have none."""
+    return table(spark, sf_dir, "labels").select(
         _text(F.col("doc_id")).alias("entry_id"),
         F.concat(F.lit("c"), _text(F.floor(F.sqrt(F.col("doc_id").cast("double"))))).alias("cluster_id"),
     )
@@ -154,14 +154,24 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(header) of both dialects, from parts."""
+def header_of_part() -> Column:
+    """A header of one of the two dialects, from the columns of parts."""
     piped = F.concat_ws(
         "|", F.lit("sp"), F.concat(F.lit("P"), _text(F.col("p_partkey"))),
         F.concat(F.lit("NAME"), _text(F.col("p_size")), F.lit(" OS=Some name OX="), _text(F.col("p_partkey") * 7), F.lit(" GN=x")),
     )
     plain = F.concat(F.lit("P"), _text(F.col("p_partkey")), F.lit(" "), F.when(F.col("p_size") > 10, _text(F.col("p_size"))).otherwise("n/a"))
-    return table(spark, sf_dir, "part").select(F.when(F.col("p_partkey") % 2 == 0, piped).otherwise(plain).alias("header"))
+    return F.when(F.col("p_partkey") % 2 == 0, piped).otherwise(plain)
+
+
+def headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(header) of both dialects, from parts."""
+    return table(spark, sf_dir, "part").select(header_of_part().alias("header"))
+
+
+def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(entry_id): keys of which some are orders' and some are not."""
+    return table(spark, sf_dir, "customer").select(_text(F.col("c_custkey")).alias("entry_id"))
 
 
 _TERM_SQL = f"""'T' || lpad((l_partkey % {N_TERMS})::VARCHAR, 5, '0') AS term,
@@ -205,7 +215,7 @@ SQL_VIEWS = {
   SELECT paths.term, ancestor, min(distance) AS distance, any_value(t.branch) AS term_branch, any_value(a.branch) AS ancestor_branch
   FROM paths JOIN terms t ON t.term = paths.term JOIN terms a ON a.term = paths.ancestor WHERE paths.term <> ancestor GROUP BY paths.term, ancestor)""",
     "sequences": "sequences AS (SELECT doc_id::VARCHAR AS entry_id, text AS sequence, n_chars::INTEGER AS length, lang AS taxon_id FROM documents)",
-    "clusters": "clusters AS (SELECT doc_id::VARCHAR AS entry_id, 'c' || floor(sqrt(doc_id::DOUBLE))::BIGINT::VARCHAR AS cluster_id FROM documents WHERE doc_id % 10 <> 3)",
+    "clusters": "clusters AS (SELECT doc_id::VARCHAR AS entry_id, 'c' || floor(sqrt(doc_id::DOUBLE))::BIGINT::VARCHAR AS cluster_id FROM labels)",
     "vectors": "vectors AS (SELECT vec_id::VARCHAR AS entry_id, embedding, label::VARCHAR AS label FROM embeddings)",
 }
 

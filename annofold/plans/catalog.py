@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,9 +22,12 @@ from annofold.operators import models as ml
 from annofold.operators import ontology as onto
 from annofold.operators import predictions as pred
 from annofold.operators import submission as sub
+from annofold.operators import tables
 from annofold.operators.tables import label_frequency, sequence_summary
 from annofold.plans import adapters as ad
+from annofold.plans.file_queries import FILE_QUERIES
 from annofold.plans.oracle import ORACLE_SQL
+from annofold.schemas import with_branch
 from annofold.sources.fasta import parsed_header
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,10 +77,34 @@ def prj10_stable_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def src04_terms_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+def prj06_prepare_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hit_ops.prepare_labels(ad.truth(spark, sf_dir))
 
 
+@query
+def prj05_branch_from_aspect(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels that state an aspect only."""
+    aspect = F.when(F.col("branch") == "MF", F.lit("F")).when(F.col("branch") == "BP", F.lit("P")).otherwise("C")
+    stated = ad.truth(spark, sf_dir).select("entry_id", "term", aspect.alias("aspect"))
+    return with_branch(stated, "labels").select("entry_id", "term", "branch").distinct()
+
+
+def _test_taxonomy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    taxa = spark.createDataFrame([("en", "first"), ("fr", "second"), ("it", "third")], "taxon_id string, species string")
+    return tables.test_taxonomy(ad.sequences(spark, sf_dir), taxa)
+
+
+@query
+def joi16_test_taxonomy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _test_taxonomy(spark, sf_dir)
+
+
+@query
+def agg21_ingestion_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    taxonomy = ad.customers(spark, sf_dir)
+    return tables.ingestion_issues(ad.sequences(spark, sf_dir), taxonomy, _test_taxonomy(spark, sf_dir))
+
+
 @query
 def agg01_label_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return label_frequency(ad.truth(spark, sf_dir))
@@ -171,6 +199,11 @@ def rec01_ancestors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ontology(spark, sf_dir).ancestors
 
 
+@query
+def agg20_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return onto.parents_of(_ontology(spark, sf_dir).edges).select("child_term", F.array_join("parents", ",").alias("parents"))
+
+
 @query
 def dom06_label_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _ontology(spark, sf_dir)
@@ -287,6 +320,12 @@ def dom16_fmax_micro(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(scores, *_SCORE_COLUMNS)
 
 
+@query
+def dom15_score_branch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = metrics.score_branch(ad.truth(spark, sf_dir), ad.predictions(spark, sf_dir), "BP")
+    return rounded(scores, *(c for c in _SCORE_COLUMNS if c != "mean_fmax"))
+
+
 @query
 def agg13_fit_calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
     fitted = pred.fit_calibration(ad.predictions(spark, sf_dir), ad.truth(spark, sf_dir), average="micro")
@@ -303,17 +342,22 @@ def _submission_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dom17_submission(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entries = ad.folds_of_orders(spark, sf_dir).filter("fold = 0")
+    entries = ad.folds_of_orders(spark, sf_dir)
     given = pred.collapse_scores(ad.predictions(spark, sf_dir))
     return rounded(sub.shape_submission(given, entries, _submission_terms(spark, sf_dir), 2, 3), "score")
 
 
 @query
 def agg18_submission_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entries = ad.folds_of_orders(spark, sf_dir).filter("fold != 4")
+    entries = ad.customers(spark, sf_dir)
     return sub.validate_submission(ad.supervised(spark, sf_dir), entries, _submission_terms(spark, sf_dir))
 
 
+@query
+def set06_missing_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sub.missing_entries(ad.supervised(spark, sf_dir), ad.customers(spark, sf_dir))
+
+
 # Embeddings and heads
 
 
@@ -362,9 +406,29 @@ def win07_topk_from_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def ml03_linear_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coef = [((k * 7) % 11 - 5) / 5 for k in range(64)]
-    return ml.linear_scores(ad.vectors(spark, sf_dir), coef, 0.25).withColumn("score", F.round("score", 6))
+def joi21_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors of those documents that have one."""
+    vectors = ad.vectors(spark, sf_dir)
+    wanted = ad.sequences(spark, sf_dir).select("entry_id")
+    return feat.align(vectors, wanted, validate=False).select("entry_id", F.round(F.get("embedding", F.lit(0)).cast("double"), 6).alias("first"))
+
+
+@query
+def ml08_mean_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A vector read as eight tokens of eight numbers, pooled without the first and last token."""
+    tokens = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda k: F.slice(F.col("embedding").cast("array<double>"), k * 8 + 1, F.lit(8)))
+    pooled = ad.vectors(spark, sf_dir).select("entry_id", emb.mean_pool(tokens).alias("pooled"))
+    return pooled.select("entry_id", F.round(F.get("pooled", F.lit(0)), 6).alias("first"), F.round(F.get("pooled", F.lit(7)), 6).alias("last"))
+
+
+@query
+def ml03_head_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The way of every prediction: four fixed heads, standardised vectors, the best two labels of at least 0.3."""
+    i = np.arange(64)
+    coef = np.stack([((i * 7 + 3 * k) % 11 - 5) / 5 for k in range(4)], axis=1)
+    head = ml.Heads("MF", -1, ("H0", "H1", "H2", "H3"), coef, np.array([0.25, -0.5, 0.0, 0.1]), i / 640, 1.0 + i % 3)
+    best = ml.predict_top_k(ad.vectors(spark, sf_dir).select("entry_id", "embedding"), [head], top_k=2, min_score=0.3)
+    return best.withColumn("score", F.round("score", 6))
 
 
 @query
@@ -372,4 +436,7 @@ def ml06_cv_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Out-of-fold predictions of cross-validated heads (held to invariants by tests)."""
     vectors, folds, labels = ad.vectors(spark, sf_dir), _vector_folds(spark, sf_dir), _vector_labels(spark, sf_dir)
     pairs = feat.label_pairs(vectors, labels, feat.select_terms(labels, 2))
-    return ml.cross_validate(vectors, folds, pairs, feat.trainable_terms(pairs, folds), top_k=3, alpha=0.01, steps=12)[0]
+    return ml.cross_validate(vectors, folds, pairs, feat.trainable_terms(pairs, folds))[0]
+
+
+QUERIES |= FILE_QUERIES

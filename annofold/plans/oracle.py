@@ -5,6 +5,7 @@ from __future__ import annotations
 from annofold.functions import thresholds
 from annofold.functions.scalars import LENGTH_BINS, LONGEST_BIN
 from annofold.plans.adapters import with_views
+from annofold.plans.file_queries import FILE_SQL
 
 _COLLAPSED = "(SELECT entry_id, term, branch, max(least(1.0, greatest(0.0, score))) AS score FROM {} GROUP BY ALL)"
 
@@ -140,7 +141,29 @@ SELECT header,
 FROM h""",
     "prj09_length_bin": f"SELECT {_bins('n_chars')} AS length_bin, count(*) AS n FROM documents GROUP BY 1",
     "prj10_stable_hash": f"SELECT doc_id::VARCHAR AS entry_id, {_HASH.format('doc_id::VARCHAR')} AS hash FROM documents",
-    "src04_terms_clean": with_views("truth", then=" SELECT * FROM truth"),
+    "prj06_prepare_labels": with_views("truth", then=" SELECT * FROM truth"),
+    "prj05_branch_from_aspect": with_views("truth", then=" SELECT entry_id, term, branch FROM truth"),
+    "joi16_test_taxonomy": """
+SELECT doc_id::VARCHAR AS entry_id, lang AS taxon_id, CASE lang WHEN 'en' THEN 'first' WHEN 'fr' THEN 'second' END AS species FROM documents""",
+    "agg20_parents": with_views(
+        "edges", then=" SELECT child_term, string_agg(DISTINCT parent_term, ',' ORDER BY parent_term) AS parents FROM edges GROUP BY child_term"
+    ),
+    "agg21_ingestion_issues": """
+WITH s AS (SELECT DISTINCT doc_id::VARCHAR AS id FROM documents), k AS (SELECT DISTINCT c_custkey::VARCHAR AS id FROM customer)
+SELECT 'sequence_without_taxonomy' AS issue, id FROM s WHERE id NOT IN (SELECT id FROM k)
+UNION ALL SELECT 'taxonomy_without_sequence', id FROM k WHERE id NOT IN (SELECT id FROM s)
+UNION ALL SELECT DISTINCT 'test_taxon_without_species', lang FROM documents WHERE lang NOT IN ('en', 'fr')""",
+    "joi21_align": "SELECT vec_id::VARCHAR AS entry_id, round(embedding[1]::DOUBLE, 6) AS first FROM embeddings WHERE vec_id::VARCHAR IN (SELECT doc_id::VARCHAR FROM documents)",
+    "dom15_score_branch": with_views(
+        "predictions", "truth", then=_FMAX + _fmax_rows("protein_macro", "macro") + "SELECT * EXCLUDE (mean_fmax) FROM scores WHERE branch = 'BP'"
+    ),
+    "set06_missing_entries": with_views(
+        "supervised", then=" SELECT DISTINCT c_custkey::VARCHAR AS entry_id FROM customer WHERE c_custkey::VARCHAR NOT IN (SELECT entry_id FROM supervised)"
+    ),
+    "ml08_mean_pool": """
+SELECT vec_id::VARCHAR AS entry_id,
+  round((embedding[9]::DOUBLE + embedding[17] + embedding[25] + embedding[33] + embedding[41] + embedding[49]) / 6, 6) AS first,
+  round((embedding[16]::DOUBLE + embedding[24] + embedding[32] + embedding[40] + embedding[48] + embedding[56]) / 6, 6) AS last FROM embeddings""",
     "agg01_label_frequency": """
 WITH labels AS (
   SELECT l_orderkey AS entry_id, 'T' || lpad((l_partkey % 120)::VARCHAR, 5, '0') AS term,
@@ -335,7 +358,7 @@ FROM scores JOIN ({_STATS}) USING (branch)""",
         then=f""", best AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY entry_id, branch ORDER BY score DESC, term) AS pos FROM {_COLLAPSED.format("predictions")}) WHERE pos <= 2
 ), pairs AS (
-  SELECT entry_id, term, max(score) AS score FROM best WHERE entry_id IN (SELECT entry_id FROM folds WHERE fold = 0)
+  SELECT entry_id, term, max(score) AS score FROM best WHERE entry_id IN (SELECT entry_id FROM folds)
     AND term IN (SELECT term FROM terms WHERE term <> 'T00001') GROUP BY ALL
 )
 SELECT entry_id, term, round(score, 9) AS score FROM (
@@ -345,7 +368,7 @@ SELECT entry_id, term, round(score, 9) AS score FROM (
         "supervised",
         "folds",
         "terms",
-        then=""", e AS (SELECT DISTINCT entry_id FROM folds WHERE fold <> 4), t AS (SELECT term FROM terms WHERE term <> 'T00001'), c AS (
+        then=""", e AS (SELECT DISTINCT c_custkey::VARCHAR AS entry_id FROM customer), t AS (SELECT term FROM terms WHERE term <> 'T00001'), c AS (
   SELECT count(*) AS prediction_rows, count(DISTINCT entry_id) AS unique_entry_ids, count(DISTINCT term) AS unique_terms,
     count(*) - count(DISTINCT (entry_id, term)) AS duplicate_entry_term_count,
     count(*) FILTER (WHERE score IS NULL OR score < 0 OR score > 1) AS invalid_score_count,
@@ -390,7 +413,12 @@ SELECT entry_id, term, 'MF' AS branch, round(score, 6) AS score FROM (
   SELECT entry_id, 'L' || lpad((i - 1)::VARCHAR, 2, '0') AS term, score, row_number() OVER (PARTITION BY entry_id ORDER BY score DESC, i) AS pos
   FROM (SELECT vec_id::VARCHAR AS entry_id, unnest(embedding)::DOUBLE AS score, generate_subscripts(embedding, 1) AS i FROM embeddings))
 WHERE pos <= 5 AND score >= 0.05""",
-    "ml03_linear_scores": """
-SELECT vec_id::VARCHAR AS entry_id, round(1 / (1 + exp(-(0.25 + list_sum(list_transform(embedding,
-  lambda x, i: x::DOUBLE * ((((i - 1) * 7) % 11 - 5) / 5)))))), 6) AS score FROM embeddings""",
-}
+    "ml03_head_scores": """
+WITH z AS (
+  SELECT vec_id::VARCHAR AS entry_id, t.k AS k, t.b + list_sum(list_transform(embedding,
+    lambda x, i: (x::DOUBLE - (i - 1) / 640.0) / (1 + (i - 1) % 3) * ((((i - 1) * 7 + 3 * t.k) % 11 - 5) / 5.0))) AS z
+  FROM embeddings, (VALUES (0, 0.25), (1, -0.5), (2, 0.0), (3, 0.1)) AS t(k, b)
+), s AS (SELECT entry_id, k, CAST(1 / (1 + exp(-z)) AS FLOAT) AS score FROM z)
+SELECT entry_id, 'H' || k AS term, 'MF' AS branch, round(score::DOUBLE, 6) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY entry_id ORDER BY score DESC, k) AS pos FROM s) WHERE pos <= 2 AND score >= 0.3""",
+} | FILE_SQL

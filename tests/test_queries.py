@@ -36,7 +36,9 @@ def test_query(spark, duck, name):
 
 def test_cross_validated_heads(spark):
     got = catalog.QUERIES["ml06_cv_heads"](spark, SF).toPandas()
-    assert (got.groupby("entry_id").size() == 3).all() and got["score"].between(0, 1).all()
+    # Every label that can be trained without an entry's fold gets a score, up to a hundred.
+    assert got["score"].between(0, 1).all() and not got.duplicated(["entry_id", "term"]).any()
+    assert got.groupby("entry_id").size().max() <= 100
 
 
 def test_every_query_but_the_heads_has_sql():
