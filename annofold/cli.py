@@ -219,7 +219,8 @@ def train_supervised(a: argparse.Namespace) -> int:
     selected = feat.select_terms(labels, a.min_label_count, most)
     pairs = feat.label_pairs(folds, labels, selected)
     oof, heads = ml.cross_validate(train, folds, pairs, feat.trainable_terms(pairs, folds), a.top_k, a.min_score, a.alpha, a.max_iter)
-    sinks.write_parquet(ml.heads_table(spark, heads), f"{a.output_dir}/heads.parquet")
+    for name, table in zip(("heads", "head_scalers"), ml.heads_tables(spark, heads), strict=True):
+        sinks.write_parquet(table, f"{a.output_dir}/{name}.parquet")
     oof = stored(pred.collapse_scores(oof), f"{a.output_dir}/supervised_oof.parquet")
     final = [h for h in heads if h.held_fold == -1]
     test = pred.collapse_scores(ml.predict_top_k(vectors["test"].select("entry_id", "embedding"), final, a.top_k, a.min_score))

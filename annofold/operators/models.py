@@ -13,13 +13,15 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from annofold.schemas import PREDICTIONS
 from annofold.storage import settled
 
 ALPHA = 1e-4
@@ -44,31 +46,53 @@ class Heads:
         return np.clip(1 / (1 + np.exp(-np.clip(z, -60, 60))), 0, 1).astype(np.float32)
 
 
-def scaler(vectors: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Mean and population standard deviation of each feature (1 where it is 0)."""
+#: Mean and standard deviation of each feature, by the fold held out (-1: none).
+Scalers = dict[int, tuple[np.ndarray, np.ndarray]]
+
+
+def scalers(vectors: DataFrame) -> Scalers:
+    """Mean and population standard deviation (1 where it is 0) of each feature over the rows
+    of all folds but one, for each fold of ``vectors`` (embedding, fold), and over all rows.
+
+    One pass sums every fold by itself; a held fold's sums are taken from the total.
+    """
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, total, square = 0, None, None
+        sums: dict[int, list] = {}
         for batch in it:
             if not batch.num_rows:
                 continue
-            x = _matrix(batch.column(0))
-            n += len(x)
-            total = x.sum(axis=0) if total is None else total + x.sum(axis=0)
-            square = (x * x).sum(axis=0) if square is None else square + (x * x).sum(axis=0)
-        if n:
-            width = len(total)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(width)), pa.array(np.full(width, n)), pa.array(total), pa.array(square)], ["at", "n", "s", "q"]
-            )
+            x, fold = _matrix(batch.column(0)), batch.column(1).to_numpy()
+            for k in np.unique(fold).tolist():
+                own = x[fold == k]
+                part = [len(own), own.sum(axis=0), (own * own).sum(axis=0)]
+                sums[k] = [a + b for a, b in zip(sums[k], part, strict=True)] if k in sums else part
+        rows = sorted(sums.items())
+        lists = pa.list_(pa.float64())
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([k for k, _ in rows], pa.int32()),
+                pa.array([v[0] for _, v in rows], pa.int64()),
+                pa.array([v[1].tolist() for _, v in rows], lists),
+                pa.array([v[2].tolist() for _, v in rows], lists),
+            ],
+            ["fold", "n", "s", "q"],
+        )
 
-    sums = vectors.select("embedding").mapInArrow(run, "at long, n long, s double, q double")
-    rows = sums.groupBy("at").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q")).toPandas().sort_values("at")
-    if rows.empty:
+    # One row for each task and fold.
+    parts = vectors.select("embedding", "fold").mapInArrow(run, "fold int, n long, s array<double>, q array<double>").toPandas()
+    if parts.empty:
         raise ValueError("there are no vectors")
-    mean = (rows["s"] / rows["n"]).to_numpy()
-    std = np.sqrt(np.maximum((rows["q"] / rows["n"]).to_numpy() - mean**2, 0))
-    return mean, np.where(std > 1e-12, std, 1.0)
+    parts = parts.sort_values(["fold", "n"], kind="stable")
+    by_fold = {k: (some["n"].sum(), np.sum(some["s"].to_list(), axis=0), np.sum(some["q"].to_list(), axis=0)) for k, some in parts.groupby("fold")}
+    whole = tuple(sum(v[j] for v in by_fold.values()) for j in range(3))
+    out = {}
+    for held in (-1, *by_fold):
+        n, s, q = (a - b for a, b in zip(whole, by_fold[held], strict=True)) if held in by_fold else whole
+        mean = s / max(1, n)
+        std = np.sqrt(np.maximum(q / max(1, n) - mean**2, 0))
+        out[int(held)] = mean, np.where(std > 1e-12, std, 1.0)
+    return out
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -76,29 +100,34 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
-def _gradients(rows: DataFrame, w: np.ndarray, held: np.ndarray, weights: np.ndarray, mean: np.ndarray, std: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _gradients(rows: DataFrame, w: np.ndarray, held: np.ndarray, weights: np.ndarray, scale: Scalers) -> tuple[np.ndarray, np.ndarray]:
     """(loss of each column, gradient [features + 1, columns]) of the data term.
 
     ``rows`` (embedding, fold, pos): pos lists the columns for which the row is positive.
-    ``weights`` [2, columns]: what a negative and a positive row count.
+    ``weights`` [2, columns]: what a negative and a positive row count. Each column sees the
+    rows as ``scale`` standardises them for its held fold.
     """
     columns = w.shape[1]
+    of_fold = {int(k): np.flatnonzero(held == k) for k in np.unique(held)}
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gradient, loss = np.zeros_like(w), np.zeros(columns)
         for batch in it:
             for at in range(0, batch.num_rows, 1000):
                 some = batch.slice(at, 1000)
-                x = (_matrix(some.column(0)) - mean) / std
-                x = np.concatenate([x, np.ones((len(x), 1))], axis=1)
-                y = np.zeros((len(x), columns))
+                raw, fold = _matrix(some.column(0)), some.column(1).to_numpy()
+                y = np.zeros((len(raw), columns))
                 for k, at_columns in enumerate(some.column(2).to_pylist()):
                     y[k, at_columns] = 1
-                used = some.column(1).to_numpy()[:, None] != held[None, :]
-                cost = np.where(y > 0, weights[1], weights[0]) * used
-                z = x @ w
-                loss += (cost * (np.logaddexp(0, z) - y * z)).sum(axis=0)
-                gradient += x.T @ (cost * (1 / (1 + np.exp(-np.clip(z, -60, 60))) - y))
+                for k, own in of_fold.items():
+                    used = fold != k
+                    mean, std = scale[k]
+                    x = np.concatenate([(raw[used] - mean) / std, np.ones((int(used.sum()), 1))], axis=1)
+                    mine = y[used][:, own]
+                    cost = np.where(mine > 0, weights[1, own], weights[0, own])
+                    z = x @ w[:, own]
+                    loss[own] += (cost * (np.logaddexp(0, z) - mine * z)).sum(axis=0)
+                    gradient[:, own] += x.T @ (cost * (1 / (1 + np.exp(-np.clip(z, -60, 60))) - mine))
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(columns)), pa.array(loss), pa.array(list(gradient.T), pa.list_(pa.float64()))], ["column", "loss", "g"]
         )
@@ -131,14 +160,14 @@ def _direction(g: np.ndarray, moves: list[np.ndarray], turns: list[np.ndarray])
     return -q
 
 
-def _solve(rows: DataFrame, n: np.ndarray, n_pos: np.ndarray, held: np.ndarray, mean: np.ndarray, std: np.ndarray, alpha: float, steps: int, history: int = 8) -> np.ndarray:
+def _solve(rows: DataFrame, n: np.ndarray, n_pos: np.ndarray, held: np.ndarray, scale: Scalers, alpha: float, steps: int, history: int = 8) -> np.ndarray:
     """Weights [features + 1, columns]; a column whose step raises its objective halves it."""
-    width, columns = len(mean) + 1, len(n)
+    width, columns = len(scale[-1][0]) + 1, len(n)
     weights = np.stack([n / (2.0 * np.maximum(n - n_pos, 1)), n / (2.0 * np.maximum(n_pos, 1))])
     penalty = np.append(np.full(width - 1, alpha), 0.0)[:, None]
 
     def objective(w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        loss, g = _gradients(rows, w, held, weights, mean, std)
+        loss, g = _gradients(rows, w, held, weights, scale)
         return loss / n + 0.5 * (penalty * w * w).sum(axis=0), g / n + penalty * w
 
     w = np.zeros((width, columns))
@@ -177,15 +206,14 @@ def fit_heads(
 
     ``vectors`` (entry_id, embedding), ``folds`` (entry_id, fold), ``pairs`` the positives
     (entry_id, branch, term). ``trainable`` is the bounded list of selected labels, which
-    reaches the driver like the heads themselves. One scaler serves all folds: means and
-    deviations use no labels.
+    reaches the driver like the heads themselves. A head's scaler leaves its held fold out.
     """
     wanted = trainable.toPandas().sort_values(["branch", "held_fold", "term"], ignore_index=True)
     if wanted.empty:
         raise ValueError("no label can be fitted; lower the number of entries that a label needs")
     fold_of = folds.select(F.col("entry_id").cast("string").alias("entry_id"), F.col("fold").cast("int").alias("fold"))
     known = settled(vectors.select("entry_id", "embedding").join(fold_of, "entry_id"))
-    mean, std = scaler(known)
+    scale = scalers(known)
     solved = []
     for at in range(0, len(wanted), block):
         part = wanted.iloc[at : at + block]
@@ -199,10 +227,10 @@ def fit_heads(
             )
         )
         n, n_pos, held = (part[c].to_numpy() for c in ("n_rows", "n_pos", "held_fold"))
-        solved.append(_solve(rows, n, n_pos, held, mean, std, alpha, steps))
+        solved.append(_solve(rows, n, n_pos, held, scale, alpha, steps))
     weights = np.concatenate(solved, axis=1)
     return [
-        Heads(str(branch), int(fold), tuple(some["term"]), weights[:-1, some.index], weights[-1, some.index], mean, std)
+        Heads(str(branch), int(fold), tuple(some["term"]), weights[:-1, some.index], weights[-1, some.index], *scale[int(fold)])
         for (branch, fold), some in wanted.groupby(["branch", "held_fold"], sort=True)
     ]
 
@@ -211,40 +239,42 @@ def predict_top_k(vectors: DataFrame, heads: list[Heads], top_k: int | None = 10
     """(entry_id, term, branch, score): the best ``top_k`` labels per entry and head.
 
     ``vectors`` (entry_id, embedding) and, for heads with a held fold, ``fold``: such a head
-    scores only the rows of its fold, a head with fold -1 scores all. No shuffle; a batch of
-    rows is one matrix product.
+    scores only the rows of its fold, a head with fold -1 scores all. No shuffle: a pass for
+    each head filters its rows, and a task holds that head only (a branch's labels, which
+    their caps bound), sent as a broadcast of its own.
     """
     held = "fold" in vectors.columns
     fold = F.col("fold").cast("int") if held else F.lit(-1)
+    chosen = vectors.select(F.col("entry_id").cast("string").alias("entry_id"), "embedding", fold.alias("fold"))
+    passes = [_one_head(chosen, head, top_k, min_score) for head in heads]
+    return reduce(DataFrame.union, passes) if passes else chosen.sparkSession.createDataFrame([], PREDICTIONS)
+
+
+def _one_head(vectors: DataFrame, head: Heads, top_k: int | None, min_score: float) -> DataFrame:
+    rows = vectors if head.held_fold == -1 else vectors.filter(F.col("fold") == head.held_fold)
+    sent = vectors.sparkSession.sparkContext.broadcast(head)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
+            mine = sent.value
             for at in range(0, batch.num_rows, 2048):
                 some = batch.slice(at, 2048)
-                ids, own = np.array(some.column(0).to_pylist(), object), some.column(2).to_numpy()
-                x = _matrix(some.column(1))
-                for head in heads:
-                    mine = np.flatnonzero((own == head.held_fold) | (head.held_fold == -1))
-                    if not len(mine):
-                        continue
-                    scores = head.scores(x[mine])
-                    order = np.argsort(-scores, axis=1, kind="stable")
-                    order = order[:, :top_k] if top_k and top_k > 0 else order
-                    best = np.take_along_axis(scores, order, axis=1)
-                    row, column = np.nonzero(best >= min_score)
-                    terms = np.array(head.terms, object)[order[row, column]]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(ids[mine[row]], pa.string()),
-                            pa.array(terms, pa.string()),
-                            pa.array([head.branch] * len(row), pa.string()),
-                            pa.array(best[row, column].astype(float)),
-                        ],
-                        ["entry_id", "term", "branch", "score"],
-                    )
-
-    chosen = vectors.select(F.col("entry_id").cast("string").alias("entry_id"), "embedding", fold.alias("fold"))
-    return chosen.mapInArrow(run, "entry_id string, term string, branch string, score double")
+                scores = mine.scores(_matrix(some.column(1)))
+                order = np.argsort(-scores, axis=1, kind="stable")
+                order = order[:, :top_k] if top_k and top_k > 0 else order
+                best = np.take_along_axis(scores, order, axis=1)
+                row, column = np.nonzero(best >= min_score)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        some.column(0).take(pa.array(row)),
+                        pa.array(np.array(mine.terms, object)[order[row, column]], pa.string()),
+                        pa.array([mine.branch] * len(row), pa.string()),
+                        pa.array(best[row, column].astype(float)),
+                    ],
+                    ["entry_id", "term", "branch", "score"],
+                )
+
+    return rows.select("entry_id", "embedding").mapInArrow(run, "entry_id string, term string, branch string, score double")
 
 
 def cross_validate(
@@ -258,20 +288,25 @@ def cross_validate(
     return predict_top_k(placed, [h for h in heads if h.held_fold >= 0], top_k, min_score), heads
 
 
-def heads_table(spark, heads: list[Heads]) -> DataFrame:
-    """(branch, held_fold, term, coef, intercept, mean, std): heads as a table to write as Parquet."""
-    rows = [
-        (h.branch, h.held_fold, t, h.coef[:, k].tolist(), float(h.intercept[k]), h.mean.tolist(), h.std.tolist())
-        for h in heads
-        for k, t in enumerate(h.terms)
-    ]
-    ddl = "branch string, held_fold int, term string, coef array<double>, intercept double, mean array<double>, std array<double>"
-    return spark.createDataFrame(rows, ddl)
+def heads_tables(spark: SparkSession, heads: list[Heads]) -> tuple[DataFrame, DataFrame]:
+    """Heads as two tables to write: (branch, held_fold, term, coef, intercept), one row a label,
+    and (held_fold, mean, std), one row a scaler."""
+    columns = [(h.branch, h.held_fold, t, h.coef[:, k], float(h.intercept[k])) for h in heads for k, t in enumerate(h.terms)]
+    scale = sorted({h.held_fold: (h.held_fold, h.mean, h.std) for h in heads}.values(), key=lambda r: r[0])
+    return (
+        spark.createDataFrame(_arrow(columns, "branch held_fold term coef intercept"), "branch string, held_fold int, term string, coef array<double>, intercept double"),
+        spark.createDataFrame(_arrow(scale, "held_fold mean std"), "held_fold int, mean array<double>, std array<double>"),
+    )
+
+
+def _arrow(rows: list[tuple], names: str) -> pa.Table:
+    return pa.table(dict(zip(names.split(), map(pa.array, map(list, zip(*rows, strict=True))), strict=True)))
 
 
-def heads_from_table(table: DataFrame) -> list[Heads]:
-    """Heads back from such a table."""
-    rows = table.toPandas().sort_values(["branch", "held_fold", "term"], ignore_index=True)
+def heads_from_tables(labels: DataFrame, scale: DataFrame) -> list[Heads]:
+    """Heads back from such tables."""
+    by_fold = {r["held_fold"]: (np.array(r["mean"]), np.array(r["std"])) for r in scale.collect()}
+    rows = labels.toPandas().sort_values(["branch", "held_fold", "term"], ignore_index=True)
     return [
         Heads(
             str(branch),
@@ -279,8 +314,7 @@ def heads_from_table(table: DataFrame) -> list[Heads]:
             tuple(some["term"]),
             np.stack(some["coef"].to_list(), axis=1),
             some["intercept"].to_numpy(),
-            np.asarray(some["mean"].iloc[0]),
-            np.asarray(some["std"].iloc[0]),
+            *by_fold[int(fold)],
         )
         for (branch, fold), some in rows.groupby(["branch", "held_fold"], sort=True)
     ]

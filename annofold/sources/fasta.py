@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annofold.operators.ranks import with_row_index
+from annofold.operators.ranks import with_scan_index
 
 #: Taxon in a header of the form with pipes.
 TAXON = r"(?:^|\s)OX=(\d+)(?:\s|$)"
@@ -60,7 +60,6 @@ def fasta(spark: SparkSession, path: str) -> DataFrame:
     rows = read.select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("at"),
         F.regexp_replace("value", r"\r\n?", "\n").alias("value"),
     )
     # The first record of a file still has its ">".
@@ -68,7 +67,7 @@ def fasta(spark: SparkSession, path: str) -> DataFrame:
     body = F.when(leading != "", F.substring("value", F.length(leading) + 1, F.length("value"))).otherwise(F.col("value"))
     lines = F.filter(F.transform(F.split(body, "\n"), _bare), lambda x: x != "")
     cut = rows.withColumn("opened", leading != "").withColumn("lines", lines).withColumn("empty_header", _bare(F.get(F.split(body, "\n"), F.lit(0))) == "")
-    ranked = with_row_index(cut.filter("size(lines) > 0 OR opened"), ["file", "block", "at"], "sequence_index")
+    ranked = with_scan_index(cut.filter("size(lines) > 0 OR opened"), ["file", "block"], "sequence_index")
     header = F.when(F.col("empty_header"), F.lit("")).otherwise(F.get("lines", F.lit(0)))
     sequence = F.array_join(F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(0))), "")
     misplaced = (F.col("sequence_index") == 0) & ~F.col("opened")
