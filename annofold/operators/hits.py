@@ -93,8 +93,9 @@ def add_hit_weights(hits: DataFrame, basis: str | None = None) -> DataFrame:
         basis = weight_basis(_standard(hits)) if named else "none"
     if basis == "bitscore":
         # An aggregation and a join, not a window: a query with a very large share of the
-        # hits is combined before the shuffle and can be split in the join.
-        best = standard.groupBy(F.col("query_id").alias("best_query")).agg(F.max("bitscore").alias("best"))
+        # hits is combined before the shuffle and can be split in the join. Duplicates do not
+        # change a maximum, so it reads two columns of the table and not the distinct rows.
+        best = _standard(hits).groupBy(F.col("query_id").alias("best_query")).agg(F.max("bitscore").alias("best"))
         standard = standard.join(best, F.col("query_id") == F.col("best_query"))
         base = F.when(F.col("best") > 0, F.coalesce(F.col("bitscore"), F.lit(0.0)) / F.col("best")).otherwise(0.0)
     elif basis == "score":

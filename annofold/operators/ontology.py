@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from annofold.schemas import BRANCH_TO_ASPECT, NAMESPACE_TO_BRANCH, RELATIONS, fail_if_any, mapped, require_columns
-from annofold.storage import settled
+from annofold.storage import settled_with
 
 # Reasons for which an edge is left out, in the order in which they are tried.
 DROP_REASONS = ("relation", "unknown_child", "unknown_parent", "unknown_branch", "cross_branch")
@@ -93,20 +93,20 @@ def ancestor_table(terms: DataFrame, edges: DataFrame) -> DataFrame:
 
     Path doubling: a round joins the table with itself, so distances up to 2^r are exact after
     r rounds and depth d takes log2(d) + 1 of them. A term on a cycle is no ancestor of
-    itself. Each round is written to the shared folder; one row of counts reaches the driver.
+    itself. Each round is one job, which writes to the shared folder and counts on the way.
     """
     near = edges.filter("child_term != parent_term").select(
         F.col("child_term").alias("term"), F.col("parent_term").alias("ancestor"), F.lit(1).alias("distance")
     )
-    reach = settled(near.dropDuplicates())
-    mark = None
+    told = (F.count(F.lit(1)).alias("n"), F.sum("distance").alias("total"))
+    reach, mark = settled_with(near.dropDuplicates(), *told)
     while True:
         far = reach.select(F.col("term").alias("mid"), F.col("ancestor").alias("top"), F.col("distance").alias("more"))
         longer = reach.join(far, F.col("ancestor") == F.col("mid")).filter("term != top").select(
             "term", F.col("top").alias("ancestor"), (F.col("distance") + F.col("more")).alias("distance")
         )
-        reach = settled(reach.unionByName(longer).groupBy("term", "ancestor").agg(F.min("distance").alias("distance")))
-        now = tuple(reach.agg(F.count(F.lit(1)), F.sum("distance")).first())
+        shortest = reach.unionByName(longer).groupBy("term", "ancestor").agg(F.min("distance").alias("distance"))
+        reach, now = settled_with(shortest, *told)
         if now == mark:
             break
         mark = now

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _own: dict[str, str] = {}
 _written: dict[str, list[str]] = {}
@@ -45,3 +45,10 @@ def settled(df: DataFrame) -> DataFrame:
     path = scratch_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def settled_with(df: DataFrame, *told: Column) -> tuple[DataFrame, dict]:
+    """``settled``, and named aggregates of the rows, taken while they are written."""
+    seen = Observation()
+    out = settled(df.observe(seen, *told))
+    return out, seen.get
