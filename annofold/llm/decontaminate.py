@@ -12,8 +12,8 @@ own distance from the window's start. So:
 3. containment 1 of a set of s shingles needs its s - s + 1 = 1 rarest shingle: only the
    places of this prefix are joined to windows;
 4. length and position bounds drop candidates whose window would leave the document;
-5. the candidates of a document, as one row, go back to its text, and the words are compared
-   over the whole window.
+5. the candidates of a document, as one row of numbers, go back to its text; the words of the
+   whole window are hashed, and what agrees is compared word by word with the windows.
 
 DataFrame functions only. Nothing but counts and the distinct shingle lengths (at most
 ``shingle``) reaches the driver.
@@ -26,11 +26,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from annofold.llm._shared import broadcast_if_small, durable
+from annofold.llm._shared import durable
 
 WINDOW = 10
 SHINGLE = 5
-#: Rows of a narrow side (hashes of benchmark shingles; documents with candidates) up to
+#: Items of a narrow side (hashes of benchmark shingles; candidates, 24 bytes each) up to
 #: which it is broadcast; beyond it the join is a shuffled one with the same rows.
 BROADCAST_ROWS = 200_000
 _CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -147,15 +147,21 @@ def contamination(
         .withColumn("start", F.col("at") - F.col("offset"))
         .filter("start >= 0 AND start + length <= n_words")
         .groupBy(F.col("doc_id").alias("c_doc"), F.col("row").alias("c_row"))
-        .agg(F.collect_set(F.struct("start", "length", "window_text")).alias("tried"))
+        .agg(F.collect_set(F.struct("start", "length", F.xxhash64("window_text").alias("wh"))).alias("tried"))
     )
-    candidates = broadcast_if_small(candidates, broadcast_rows)
+    candidates = durable(candidates)
+    if (candidates.agg(F.sum(F.size("tried"))).first()[0] or 0) <= broadcast_rows:
+        candidates = F.broadcast(candidates)
     at_text = F.col("doc_id").eqNullSafe(F.col("c_doc")) & (F.col("row") == F.col("c_row"))
     # Words first, then the explosion, in two projections: a text is split once, not once for each candidate.
     split = keyed.join(candidates, at_text).select("doc_id", "row", words(F.col("t")).alias("w"), "tried")
     tried = split.select("doc_id", "row", "w", F.explode("tried").alias("c"))
-    same = _joined(F.col("w"), F.col("c.start") + 1, F.col("c.length")) == F.col("c.window_text")
-    spans = durable(tried.filter(same).select("doc_id", "row", "c.start", "c.length", "c.window_text").distinct())
+    stood = tried.select(
+        "doc_id", "row", "c.start", "c.length", "c.wh", _joined(F.col("w"), F.col("c.start") + 1, F.col("c.length")).alias("window_text")
+    )
+    known = windows.select("window_text").distinct()
+    agreed = stood.filter(F.xxhash64("window_text") == F.col("wh")).drop("wh").distinct()
+    spans = durable(agreed.join(F.broadcast(known) if few else known, "window_text", "left_semi"))
     end = F.col("start") + F.col("length")
     earlier = Window.partitionBy("doc_id", "row").orderBy("start", "length").rowsBetween(Window.unboundedPreceding, -1)
     reached = F.coalesce(F.max(end).over(earlier), F.lit(0))
