@@ -206,6 +206,9 @@ def keep_clean(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
     a row without failed lines is unchanged. Judged row by row, like ``line_first_quality``.
     """
     names = docs.columns
+    # By place, since a column may have any name (a dot in it, say).
+    inner = [f"c{k}" for k in range(len(names))]
+    placed = docs.toDF(*inner)
     at = names.index("text")
     size_at = names.index("n_chars") if "n_chars" in names else None
 
@@ -219,6 +222,6 @@ def keep_clean(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
             columns[at] = pa.array(texts, pa.binary()).cast(pa.string())
             if size_at is not None:
                 columns[size_at] = pa.array([_points(t) for t in texts], columns[size_at].type)
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            yield pa.RecordBatch.from_arrays(columns, names=inner)
 
-    return docs.mapInArrow(tidy(run), docs.schema)
+    return placed.mapInArrow(tidy(run), placed.schema).toDF(*names)
