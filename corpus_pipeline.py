@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annofold.llm._shared import broadcast_if_small, durable
@@ -29,35 +29,38 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines found on many sites go, but for the first occurrence; every document stays."""
     others = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
-    clean = remove_spread_lines(docs, carry=others)
+    clean = remove_spread_lines(docs, carry=[f"`{c}`" for c in others])
     columns = {
         "doc_id": F.col("doc_id"),
         "text": F.col("clean_text"),
         "n_chars": F.length("clean_text").cast("long"),
-        **{c: F.col("carried").getField(c) for c in others},
+        **{c: F.col(f"carried.`{c}`") for c in others},
     }
     return clean.select(*(columns[c].alias(c) for c in docs.columns))
 
 
-def _text_hash() -> Column:
-    return F.xxhash64(F.col("text").cast("string"))
+def _keyed(docs: DataFrame) -> DataFrame:
+    """(d_doc, d_row, whole): doc_id, hash of text, and the whole row, so that no name of a
+    further column can meet one that a stage makes."""
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    return docs.select(F.col("doc_id").alias("d_doc"), F.xxhash64(F.col("text").cast("string")).alias("d_row"), row.alias("whole"))
 
 
-def _at_keys(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
-    """``docs`` joined to ``keys`` (k_doc, k_row, ...): doc_id, which may be null, and hash of text."""
-    same = F.col("doc_id").eqNullSafe(F.col("k_doc")) & (_text_hash() == F.col("k_row"))
-    return docs.join(broadcast_if_small(keys), same, how)
+def _at_keys(keyed: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """``keyed`` joined to ``keys`` (k_doc, k_row, ...): doc_id, which may be null, and hash of text."""
+    same = F.col("d_doc").eqNullSafe(F.col("k_doc")) & (F.col("d_row") == F.col("k_row"))
+    return keyed.join(broadcast_if_small(keys), same, how)
 
 
 def _one_of_each(docs: DataFrame) -> DataFrame:
     """Of the rows with one doc_id (or none) and one text, the smallest by the other columns."""
-    counts = docs.groupBy(F.col("doc_id").alias("k_doc"), _text_hash().alias("k_row")).agg(F.count(F.lit(1)).alias("n"))
+    keyed = _keyed(docs)
+    counts = keyed.groupBy(F.col("d_doc").alias("k_doc"), F.col("d_row").alias("k_row")).agg(F.count(F.lit(1)).alias("n"))
     repeated = durable(counts.filter("n > 1").select("k_doc", "k_row"))
     if repeated.isEmpty():
         return docs
-    row = F.struct(*(F.col(c) for c in docs.columns))
-    firsts = _at_keys(docs, repeated, "left_semi").groupBy("doc_id", _text_hash().alias("k_row")).agg(F.min(row).alias("first"))
-    return durable(_at_keys(docs, repeated, "left_anti").union(firsts.select("first.*")))
+    firsts = _at_keys(keyed, repeated, "left_semi").groupBy("d_doc", "d_row").agg(F.min("whole").alias("whole"))
+    return durable(_at_keys(keyed, repeated, "left_anti").select("whole").union(firsts.select("whole")).select("whole.*"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,26 +70,27 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     judged each by its own, and of those in one group the one with the smallest hash of its
     text stays. Of rows that are equal in doc_id and text one stays, also without words. Rows
     without a doc_id take part and come last: one stays only in groups where no row has an id.
-    Texts without words are similar to none.
+    Texts without words are similar to none. Further columns may have any name.
     """
-    shared = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 OR doc_id IS NULL")
+    shared = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("times")).filter("times > 1 OR doc_id IS NULL")
     if shared.isEmpty():
-        others = similarity_components(docs).filter("doc_id != component_id").select("doc_id")
-        return docs.join(broadcast_if_small(others), "doc_id", "left_anti").select(*docs.columns)
+        others = similarity_components(docs).filter("doc_id != component_id").select(F.col("doc_id").alias("k_doc"))
+        keyed = _keyed(docs)
+        return keyed.join(broadcast_if_small(others), F.col("d_doc") == F.col("k_doc"), "left_anti").select("whole.*")
     docs = _one_of_each(docs)
-    keys = docs.select(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("k_doc"), _text_hash().alias("k_row"))
+    keyed = _keyed(docs)
+    keys = keyed.select(F.col("d_doc").isNull().alias("no_id"), F.col("d_doc").alias("k_doc"), F.col("d_row").alias("k_row"))
     numbered = durable(with_row_index(keys, ["no_id", "k_doc", "k_row"], "k_number").drop("no_id"))
-    texts = durable(_at_keys(docs.select("doc_id", "text"), numbered, "inner").select(F.col("k_number").alias("doc_id"), "text"))
+    texts = durable(_at_keys(keyed, numbered, "inner").select(F.col("k_number").alias("doc_id"), F.col("whole.text").alias("text")))
     others = similarity_components(texts).filter("doc_id != component_id").select(F.col("doc_id").alias("k_number"))
-    return _at_keys(docs, numbered.join(others, "k_number").select("k_doc", "k_row"), "left_anti").select(*docs.columns)
+    return _at_keys(keyed, numbered.join(others, "k_number").select("k_doc", "k_row"), "left_anti").select("whole.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a window of a benchmark item go."""
+    """Documents that hold a window of a benchmark item go; rows that share a doc_id are judged each by its own text."""
     spans = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))[1]
-    hit = spans.select(F.col("doc_id").alias("hit_doc"), F.col("row").alias("hit_row")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("hit_doc")) & (F.xxhash64(F.col("text").cast("string")) == F.col("hit_row"))
-    return docs.join(broadcast_if_small(hit), same, "left_anti").select(*docs.columns)
+    hit = spans.select(F.col("doc_id").alias("k_doc"), F.col("row").alias("k_row")).distinct()
+    return _at_keys(_keyed(docs), hit, "left_anti").select("whole.*")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
