@@ -79,3 +79,28 @@ def test_near_duplicates_without_unique_ids(spark):
     want = [(1, a), (5, own), (7, b), (None, lone), (8, None), (8, ""), (9, "")]
     assert sorted(((r[0], r[1]) for r in got if r not in of_c), key=repr) == sorted(want, key=repr)
     assert (7, b, "en", "s", 1) in got
+
+
+def test_empty_repeated_and_clashing(spark, folder, tmp_path):
+    """Every stage takes an empty table, repeated rows, and columns with names that stages use."""
+    path, rows, _ = folder
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    clashing = ("row", "k_doc", "k_row", "d_doc", "d_row", "whole", "carried", "component_id", "n", "at", "length", "hit_doc", "a.b")
+    odd = docs.selectExpr("*", *(f"doc_id % 3 AS `{c}`" for c in clashing))
+    for at, (name, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+        plain = stage(spark, docs, path)
+        assert stage(spark, docs.limit(0), path).count() == 0
+        got = stage(spark, odd, path)
+        assert got.columns == odd.columns
+        key = lambda df: sorted((tuple(r) for r in df.select("doc_id", "text").collect()), key=repr)
+        assert key(got) == key(plain)
+        twice = key(stage(spark, docs.union(docs), path))
+        if name == "near_duplicates":
+            assert twice == key(plain)  # of equal rows one stays
+        else:
+            assert set(twice) == set(key(plain))
+    assert corpus_pipeline.packing(spark, docs.limit(0), path).count() == 0
+    assert corpus_pipeline.packing(spark, odd, path).select("doc_id").distinct().count() == len(rows)
+    spark.createDataFrame([], DOC_DDL).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
