@@ -31,13 +31,14 @@ def components(edges: DataFrame) -> DataFrame:
     the driver. A node of any degree is handled by a partial aggregation and a join.
     """
     pairs = edges.select("u", "v").filter("u IS NOT NULL AND v IS NOT NULL AND u != v").distinct()
-    current = durable(pairs)
+    current, size = durable(pairs), -1
     while True:
         step = durable(_stars(_stars(current, larger=True), larger=False))
         # Both are sets, so they are equal when one holds no row that the other lacks and
         # their sizes agree; most rounds differ in size and need no comparison.
-        same = step.count() == current.count() and step.join(current, ["u", "v"], "left_anti").isEmpty()
-        current = step
+        now = step.count()
+        same = now == size and step.join(current, ["u", "v"], "left_anti").isEmpty()
+        current, size = step, now
         if same:
             break
     # Stable: every edge leads from a node to the smallest of its component.
