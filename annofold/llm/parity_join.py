@@ -17,7 +17,12 @@ and b shingles is at most T = (a + b) * (100 - PERCENT) // (100 + PERCENT).
   a meeting counts only at places up to T of the two sizes, and a set writes no block beyond
   the T of its size and the largest partner it can have.
 * A pair is joined in the band of its smaller set; a set that may be the larger one also
-  writes blocks for the band below. Sets of under ``SMALL`` shingles have a block for each.
+  writes blocks for the band below. The number of blocks is a power of two, so neighbouring
+  bands often have the same blocks, which are then written once for both. Sets of under
+  ``SMALL`` shingles have a block for each.
+* A block that many texts can share, because it is empty or holds only common shingles, has a
+  key that says so (its last bit). Such a key's texts are dealt to ``SALTS`` groups, whose
+  smallest documents are compared in a second step: no task has to sort all texts of a key.
 * Equal sets are one class, joined once. In a block's group every member is paired with the
   group's smallest document only; each document keeps its likeliest such pair, verified
   exactly. A verified pair makes a family, with the exact distance to its centre. Groups that
@@ -55,6 +60,8 @@ COMMON = 0.0005
 COUNTED = 10_000
 #: 64-bit words of the short parity sketch that documents of large groups carry.
 SKETCH_WORDS = 8
+#: Groups into which the texts of a key that many may share are dealt.
+SALTS = 8
 #: Families in a block's group above which they carry it.
 LARGE = 16
 _MASK = (1 << 64) - 1
@@ -114,11 +121,12 @@ class Bands:
         return [own, own - 1] if own and self.at_least(n) < self._lows[own] else [own]
 
     def blocks(self, band: int) -> int:
-        """Blocks of a band above the first: enough that few sets have to write empty ones."""
+        """Blocks of a band above the first: enough that few sets have to write empty ones, as a power of two."""
         self._grow(max(self._lows[band : band + 1], default=self._lows[-1]))
         while len(self._lows) <= band + 1:
             self._grow(self._lows[-1])
-        return (3 * (self.differ(self._lows[band + 1] - 1, None) + 1)) // 2 + 24
+        least = (3 * (self.differ(self._lows[band + 1] - 1, None) + 1)) // 2 + 24
+        return 1 << (least - 1).bit_length()
 
     def differ(self, n: int, most: int | None) -> int:
         """The most by which a set of size n differs from a similar one of at most ``most``."""
@@ -135,7 +143,8 @@ class Bands:
 
 def block_keys(shingles: np.ndarray, common: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
     """Keys of the blocks by which this set meets every set that may be similar, and their
-    places in the order (0 for all in the first band)."""
+    places in the order (0 for all in the first band). The last bit of a key is set where many
+    sets may share it."""
     n = len(shingles)
     if common.size:
         at = np.searchsorted(common, shingles)
@@ -144,14 +153,18 @@ def block_keys(shingles: np.ndarray, common: np.ndarray, bands: Bands) -> tuple[
         frequent = np.zeros(n, bool)
     positions = _mix(shingles ^ np.uint64(0x5851F42D4C957F2D))
     out, places = [], []
+    # Bands with the same number of blocks have the same keys in the same order.
+    lists: dict[int, int] = {}
     for band in bands.of(n):
-        salt = np.uint64((band + 1) * 0xD6E8FEB86659FD93 & _MASK)
-        if band == 0:
+        parts = bands.blocks(band) if band else 0
+        lists[parts] = max(lists.get(parts, 0), bands.written(n, band) if band else n - bands.at_least(n) + 1)
+    for parts, need in lists.items():
+        salt = np.uint64((parts + 1) * 0xD6E8FEB86659FD93 & _MASK)
+        if parts == 0:
             keys = _mix(positions + salt)
             rank = (keys >> np.uint64(24)) + (frequent.astype(np.uint64) << np.uint64(42))
-            need = n - bands.at_least(n) + 1
+            wide = frequent
         else:
-            parts, need = bands.blocks(band), bands.written(n, band)
             block = ((shingles >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
             first = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1])))
             size = np.diff(np.append(first, n))
@@ -161,14 +174,16 @@ def block_keys(shingles: np.ndarray, common: np.ndarray, bands: Bands) -> tuple[
             keys = _mix(content + _mix(ids * np.uint64(2) + salt))
             few = (np.uint64(255) - np.minimum(size, 255).astype(np.uint64)) << np.uint64(34)
             rank = (keys >> np.uint64(31)) + few + (every.astype(np.uint64) << np.uint64(43))
+            wide = every
             if len(keys) < need:
                 empty = np.setdiff1d(np.arange(parts, dtype=np.uint64), ids, assume_unique=True)
                 more = _mix(_mix(empty * np.uint64(2) + salt) ^ np.uint64(0xA5A5A5A5A5A5A5A5))
                 rank = np.concatenate((rank, (more >> np.uint64(31)) + np.uint64(1 << 44)))
                 keys = np.concatenate((keys, more))
+                wide = np.concatenate((wide, np.ones(len(more), bool)))
         chosen = np.argsort(rank, kind="stable")[:need]
-        out.append(keys[chosen])
-        places.append(np.arange(len(chosen), dtype=np.int32) if band else np.zeros(len(chosen), np.int32))
+        out.append((keys[chosen] & np.uint64(_MASK - 1)) | wide[chosen])
+        places.append(np.arange(len(chosen), dtype=np.int32) if parts else np.zeros(len(chosen), np.int32))
     return np.concatenate(out).view(np.int64), np.concatenate(places)
 
 
@@ -225,24 +240,42 @@ def _keys(texts: DataFrame, common: np.ndarray, percent: int) -> DataFrame:
 
 
 def _met(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by (key, doc): each later row of a key with the key's first document."""
+    """From rows (key, doc, n, place, salt) sorted by (key, salt, doc): each later row of a group
+    with the group's first document. A salted group's first row comes too, as its own pivot."""
     last: list[np.ndarray] | None = None
     for batch in it:
-        rows = [batch.column(k).to_numpy() for k in range(4)]
-        key = rows[0]
+        rows = [batch.column(k).to_numpy() for k in range(5)]
+        key, salt = rows[0], rows[4]
         if not len(key):
             continue
-        new = np.concatenate(([last is None or key[0] != last[0][-1]], key[1:] != key[:-1]))
+        opens = last is None or key[0] != last[0][-1] or salt[0] != last[4][-1]
+        new = np.concatenate(([opens], (key[1:] != key[:-1]) | (salt[1:] != salt[:-1])))
         group = np.cumsum(new) - new[0]
         firsts = [column[new] for column in rows]
         if not new[0]:
             firsts = [np.append(old[-1:], column) for old, column in zip(last, firsts, strict=True)]
-        later = ~new
-        out = [column[later] for column in rows] + [column[group[later]] for column in firsts[1:]]
+        told = ~new | (salt >= 0)
+        out = [column[told] for column in rows[:4]] + [column[group[told]] for column in firsts[1:4]]
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], ["key", "doc", "n", "place", "pivot", "pivot_n", "pivot_place"])
         last = [column[-1:] for column in firsts]
 
 
+def _meetings(keys: DataFrame, parts: int) -> DataFrame:
+    """(key, doc, n, place, pivot, pivot_n, pivot_place) of ``keys`` (key, doc, n, place): each
+    document of a key but the smallest with the key's smallest."""
+    wide = F.col("key").bitwiseAND(F.lit(1)) == 1
+    # Salt -1: the key is one group, since texts with an uncommon shingle in one block are few.
+    salt = F.when(wide, F.pmod(F.col("doc"), F.lit(SALTS))).otherwise(-1).cast("int")
+    dealt = keys.withColumn("salt", salt).repartition(parts, "key", "salt").sortWithinPartitions("key", "salt", "doc")
+    kind = "key long, doc long, n int, place int, pivot long, pivot_n int, pivot_place int"
+    inside = durable(dealt.mapInArrow(_met, kind))
+    # The groups of a wide key take the smallest of their first documents as the one pivot.
+    one = F.struct(F.col("doc").alias("pivot"), F.col("n").alias("pivot_n"), F.col("place").alias("pivot_place"))
+    tops = inside.filter(wide & (F.col("doc") == F.col("pivot"))).groupBy(F.col("key").alias("top_key")).agg(F.min(one).alias("top"))
+    across = inside.filter(wide).join(tops, F.col("key") == F.col("top_key")).select("key", "doc", "n", "place", "top.*")
+    return durable(inside.filter(~wide).union(across).filter("doc != pivot"))
+
+
 _SKETCH = [f"s{k}" for k in range(SKETCH_WORDS)]
 
 
@@ -251,7 +284,8 @@ def _set_batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in it:
         sets = [shingle_set(t) for t in utf8_column(batch, 1)]
         words = np.array([parity_sketch(s) for s in sets], np.int64).reshape(len(sets), SKETCH_WORDS)
-        hashes = pa.array([s.tobytes() for s in sets], pa.binary())
+        ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+        hashes = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.uint64), *sets]).view(np.int64)))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), hashes, *(pa.array(words[:, k]) for k in range(SKETCH_WORDS))], ["doc", "h", *_SKETCH]
         )
@@ -273,27 +307,19 @@ def _may_link(a: Column, b: Column, place_a: Column, place_b: Column, percent: i
     return near & (F.greatest(place_a, place_b) <= _differ(a, b, percent))
 
 
-def _shared_count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(x, y, size of x's set, of y's, of what they share) from (x, y, hx, hy)."""
-    for batch in it:
-        rows = []
-        for hx, hy in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-            a, b = np.frombuffer(hx, np.uint64), np.frombuffer(hy, np.uint64)
-            both = np.sort(np.concatenate((a, b)), kind="stable")
-            rows.append((len(a), len(b), int((both[1:] == both[:-1]).sum())))
-        cols = list(zip(*rows, strict=True)) if rows else [(), (), ()]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), *(pa.array(c, pa.int64()) for c in cols)], ["x", "y", "a", "b", "shared"]
-        )
-
-
 def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """(x, y, a, b, shared) of ``pairs`` (x, y), exactly. Few pairs go to the sets, not the sets to them."""
     pairs = broadcast_if_small(pairs)
     left = sets.select(F.col("doc").alias("x"), F.col("h").alias("hx"))
     right = sets.select(F.col("doc").alias("y"), F.col("h").alias("hy"))
-    both = pairs.join(left, "x").join(right, "y").select("x", "y", "hx", "hy")
-    return both.mapInArrow(tidy(_shared_count), "x long, y long, a long, b long, shared long")
+    # Pair by pair in the JVM: a batch of rows with two very long sets each would not fit a Python worker.
+    return pairs.join(left, "x").join(right, "y").select(
+        "x",
+        "y",
+        F.size("hx").cast("long").alias("a"),
+        F.size("hy").cast("long").alias("b"),
+        F.size(F.array_intersect("hx", "hy")).cast("long").alias("shared"),
+    )
 
 
 def _linked(percent: int) -> Column:
@@ -331,9 +357,7 @@ def similarity_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     is_own = (F.col("doc_id") == F.col("c_doc")) & (F.col("row") == F.col("c_row"))
     firsts = texts.join(own, is_own, "left_semi").select(F.col("doc_id").alias("doc"), "text")
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    keys = _keys(firsts, common, percent).repartition(parts, "key").sortWithinPartitions("key", "doc")
-    met_type = "key long, doc long, n int, place int, pivot long, pivot_n int, pivot_place int"
-    met = durable(keys.mapInArrow(_met, met_type).filter("doc != pivot"))
+    met = _meetings(_keys(firsts, common, percent), parts)
 
     # First round: each document with the pivot it meets most often.
     may = _may_link(F.col("n"), F.col("pivot_n"), F.col("place"), F.col("pivot_place"), percent)
@@ -344,7 +368,7 @@ def similarity_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     sets = durable(
         texts.join(own_inside, is_own, "left_semi")
         .select(F.col("doc_id").alias("doc"), "text")
-        .mapInArrow(tidy(_set_batches), ", ".join(["doc long, h binary", *(f"{s} long" for s in _SKETCH)]))
+        .mapInArrow(tidy(_set_batches, 200), ", ".join(["doc long, h array<long>", *(f"{s} long" for s in _SKETCH)]))
     )
     apart = F.col("a") + F.col("b") - 2 * F.col("shared")
     family = durable(
@@ -419,7 +443,7 @@ def similarity_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     # the other family differ by at least |x - cy| - ry.
     alone = close.select(F.col("cx").alias("doc")).union(close.select("cy")).distinct()
     own_family = family.select("doc", "centre", "radius").union(alone.select("doc", F.col("doc").alias("centre"), F.lit(0).cast("long")))
-    members = durable(own_family.join(sets.select("doc", (F.octet_length("h") / 8).cast("long").alias("n"), *_SKETCH), "doc"))
+    members = durable(own_family.join(sets.select("doc", F.size("h").cast("long").alias("n"), *_SKETCH), "doc"))
     p, q, c = members.alias("p"), members.alias("q"), close.alias("c")
     reach = F.col("c.ry") + _differ(F.col("p.n"), F.greatest("p.n", "c.my"), percent)
     near_centre = (
