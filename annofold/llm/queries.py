@@ -103,6 +103,12 @@ def op10_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity_components(_table(spark, sf_dir, "documents"))
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from annofold.llm.filter_audit import audit_filters
+
+    return audit_filters(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_quality_rules": op2_quality_rules,
@@ -114,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_format": op8_chat_format,
     "op9_decontamination": op9_decontamination,
     "op10_parity_join": op10_parity_join,
+    "op12_filter_audit": op12_filter_audit,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -328,6 +335,48 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
 FROM sized GROUP BY conv_id
 """
 
+_OP12 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), f AS (
+  SELECT doc_id, part, [
+    len(w) < 100,
+    100 * len(list_distinct(w)) < 80 * len(w),
+    100 * len(regexp_extract_all(t, '[A-Z]')) > 10 * length(t),
+    regexp_matches(t, '[#$%&*|]'),
+    coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)] AS fails
+  FROM d
+), l AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), patterns AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic
+  FROM f LEFT JOIN l USING (doc_id) GROUP BY part, fails
+), letters(k) AS (VALUES (1), (2), (3), (4), (5)),
+orders AS (
+  SELECT [a.k, b.k, c.k, d.k, e.k] AS o FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.k, b.k, c.k, d.k, e.k])) = 5
+), replayed AS (
+  SELECT part, o, step, n, good, toxic, fails[o[step]] AS here,
+    len(list_filter(o[1:step - 1], lambda k: fails[k])) > 0 AS gone,
+    len(list_filter(fails, lambda x: x)) = 1 AS one
+  FROM patterns, orders, (SELECT k AS step FROM letters)
+), counted AS (
+  SELECT part, o, step,
+    coalesce(sum(n) FILTER (WHERE NOT gone AND NOT here), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (WHERE NOT gone AND here), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (WHERE gone AND here), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (WHERE here AND one), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (WHERE NOT gone AND here), 0)::BIGINT AS good_lost,
+    coalesce(sum(toxic) FILTER (WHERE NOT gone AND here), 0)::BIGINT AS toxic_lost
+  FROM replayed GROUP BY part, o, step
+)
+SELECT part, array_to_string(list_transform(o, lambda k: substr('ABCDE', k, 1)), '') AS filter_order, step::INTEGER AS step,
+  kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, o[step]))::BIGINT AS shapley
+FROM counted
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_quality_rules": _OP2,
     "op4_url_filter": _OP4,
@@ -335,4 +384,5 @@ ORACLE_SQL: dict[str, str] = {
     "op7_line_spread": _OP7,
     "op9_decontamination": _OP9,
     "op10_parity_join": _OP10,
+    "op12_filter_audit": _OP12,
 }
