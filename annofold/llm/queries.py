@@ -103,12 +103,26 @@ def op10_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity_components(_table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from annofold.llm.conversation_repair import damaged, repair_conversations
+
+    rows = _table(spark, sf_dir, "conversations")
+    return repair_conversations(damaged(rows), rows.select("conv_id"))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     from annofold.llm.filter_audit import audit_filters
 
     return audit_filters(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from annofold.llm.warc import read_archives, with_referred, write_archives
+
+    written = write_archives(_table(spark, sf_dir, "pages"))
+    return with_referred(read_archives(written)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_quality_rules": op2_quality_rules,
@@ -120,7 +134,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_format": op8_chat_format,
     "op9_decontamination": op9_decontamination,
     "op10_parity_join": op10_parity_join,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_filter_audit": op12_filter_audit,
+    "op13_warc": op13_warc,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -335,6 +351,66 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
 FROM sized GROUP BY conv_id
 """
 
+_OP11 = r"""
+WITH RECURSIVE damage AS (
+  SELECT *, list_reduce(list_concat([4294967295::UBIGINT], list_transform(
+      string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ascii(c)::UBIGINT)),
+    lambda crc, b: list_reduce(list_concat([xor(crc, b)], list_transform(range(8), lambda k: 0::UBIGINT)),
+      lambda x, k: xor(x >> 1, 3988292384::UBIGINT * (x % 2)))) AS crc,
+    coalesce(role, ' ') AS r, coalesce(text, ' ') AS t FROM conversations
+), kinds AS (SELECT *, xor(crc, 4294967295::UBIGINT) % 20 AS kind FROM damage),
+rows AS (
+  SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE r END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(t, '.!?', '') ELSE t END AS text
+  FROM kinds, (VALUES (1), (2)) AS again(n) WHERE kind <> 0 AND (n = 1 OR kind = 3)
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(length(role) || ':' || role || text)) AS i FROM rows
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again, substr(role, 1, 1) AS s FROM numbered
+), judged AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN again THEN 'duplicate'
+      WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault,
+    lag(s) OVER (PARTITION BY conv_id ORDER BY i) || s AS pair FROM placed
+), counts AS (
+  SELECT conv_id, count(*) AS n_rows, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+    count(*) FILTER (WHERE fault = 'truncated') AS truncated, count(*) FILTER (WHERE pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY conv_id
+), edits(edit, state, next, makes) AS (
+  -- states: 1 start, 2 after a system turn, 3 after a user turn, 4 after an assistant turn
+  VALUES ('D', 1, 1, ''), ('D', 2, 2, ''), ('D', 3, 3, ''), ('D', 4, 4, ''),
+    ('K', 1, 2, 's'), ('K', 1, 3, 'u'), ('K', 2, 3, 'u'), ('K', 3, 4, 'a'), ('K', 4, 3, 'u'),
+    ('R', 1, 3, 'user'), ('R', 2, 3, 'user'), ('R', 3, 4, 'assistant'), ('R', 4, 3, 'user')
+), inserts(before, state, next, cost, audit, said) AS (
+  -- none, one or two empty turns in front of a row or of the end
+  VALUES (1, 1, 1, 0, '', []::VARCHAR[]), (2, 2, 2, 0, '', []), (3, 3, 3, 0, '', []), (4, 4, 4, 0, '', []),
+    (1, 1, 3, 5, 'I', ['user:']), (2, 2, 3, 5, 'I', ['user:']), (3, 3, 4, 5, 'I', ['assistant:']), (4, 4, 3, 5, 'I', ['user:']),
+    (1, 1, 4, 10, 'II', ['user:', 'assistant:']), (2, 2, 4, 10, 'II', ['user:', 'assistant:'])
+), used AS (
+  SELECT conv_id, i, e.state, e.next, CASE edit WHEN 'D' THEN 2 WHEN 'R' THEN 1 ELSE 0 END + CASE WHEN edit <> 'D' AND fault = 'truncated' THEN 5 ELSE 0 END AS cost, edit AS audit,
+    CASE edit WHEN 'D' THEN []::VARCHAR[] WHEN 'K' THEN [role || ':' || text] ELSE [makes || ':' || text] END AS said
+  FROM judged JOIN edits e ON edit = 'D' OR (fault NOT IN ('blank', 'duplicate') AND (edit = 'R' OR makes = s))
+), options AS (
+  SELECT u.conv_id, u.i, list({'state': n.state, 'next': u.next, 'cost': n.cost + u.cost, 'audit': n.audit || u.audit, 'said': list_concat(n.said, u.said)}) AS o
+  FROM inserts n JOIN used u ON u.state = n.next GROUP BY u.conv_id, u.i
+), done AS (
+  SELECT list(best ORDER BY state) AS best
+  FROM (SELECT state, min({'cost': cost, 'audit': audit, 'said': said}) AS best FROM inserts WHERE next IN (1, 4) GROUP BY state)
+), walk(conv_id, i, best) AS (
+  SELECT conv_id, n_rows + 1, done.best FROM counts, done
+  UNION ALL
+  SELECT w.conv_id, w.i - 1, list_transform([1, 2, 3, 4], lambda q: list_sort(list_transform(list_filter(p.o, lambda e: e.state = q),
+    lambda e: {'cost': e.cost + w.best[e.next].cost, 'audit': e.audit || w.best[e.next].audit, 'said': list_concat(e.said, w.best[e.next].said)}))[1])
+  FROM walk w JOIN options p ON p.conv_id IS NOT DISTINCT FROM w.conv_id AND p.i = w.i - 1
+), ends AS (SELECT conv_id, best[1] AS best FROM walk WHERE i = 1)
+SELECT c.conv_id, coalesce(n_rows, 0)::BIGINT AS n_rows, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+  coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal,
+  coalesce(best.cost, 0)::BIGINT AS cost, coalesce(best.audit, '') AS audit,
+  sha256(coalesce(array_to_string(best.said, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN ends ON ends.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
 _OP12 = r"""
 WITH d AS (
   SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
@@ -377,6 +453,20 @@ SELECT part, array_to_string(list_transform(o, lambda k: substr('ABCDE', k, 1)),
 FROM counted
 """
 
+_OP13 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS t FROM pages),
+hashed AS (
+  SELECT page_id, octet_length(encode(t)) AS size, sha1(t) AS h, t,
+    row_number() OVER (PARTITION BY t ORDER BY page_id) AS copy, min(page_id) OVER (PARTITION BY t) AS first FROM p
+)
+SELECT page_id, size::BIGINT AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    ((('0x' || substr(h, (k // 4 * 5 + 1)::INT, 5))::BIGINT >> (15 - 5 * (k % 4))::INT) % 32)::INT + 1, 1)), '') AS payload_digest,
+  CASE copy WHEN 1 THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN copy > 1 THEN first END AS refers_to
+FROM hashed
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_quality_rules": _OP2,
     "op4_url_filter": _OP4,
@@ -384,5 +474,7 @@ ORACLE_SQL: dict[str, str] = {
     "op7_line_spread": _OP7,
     "op9_decontamination": _OP9,
     "op10_parity_join": _OP10,
+    "op11_conversation_repair": _OP11,
     "op12_filter_audit": _OP12,
+    "op13_warc": _OP13,
 }
