@@ -218,12 +218,10 @@ def train_supervised(a: argparse.Namespace) -> int:
     most = {"MF": a.max_labels_mf, "BP": a.max_labels_bp, "CC": a.max_labels_cc}
     selected = feat.select_terms(labels, a.min_label_count, most)
     pairs = feat.label_pairs(folds, labels, selected)
-    oof, heads = ml.cross_validate(train, folds, pairs, feat.trainable_terms(pairs, folds), a.top_k, a.min_score, a.alpha, a.max_iter)
-    for name, table in zip(("heads", "head_scalers"), ml.heads_tables(spark, heads), strict=True):
-        sinks.write_parquet(table, f"{a.output_dir}/{name}.parquet")
+    heads = f"{a.output_dir}/heads"
+    oof = ml.cross_validate_stored(train, folds, pairs, feat.trainable_terms(pairs, folds), heads, a.top_k, a.min_score, a.alpha, a.max_iter)
     oof = stored(pred.collapse_scores(oof), f"{a.output_dir}/supervised_oof.parquet")
-    final = [h for h in heads if h.held_fold == -1]
-    test = pred.collapse_scores(ml.predict_top_k(vectors["test"].select("entry_id", "embedding"), final, a.top_k, a.min_score))
+    test = pred.collapse_scores(ml.predict_stored(vectors["test"].select("entry_id", "embedding"), heads, [-1], a.top_k, a.min_score))
     n_test = sinks.write_parquet_counted(test, f"{a.output_dir}/supervised_test.parquet")
     scores = records(metrics.score_branches(labels, oof))
     report = {"parameters": {k: v for k, v in vars(a).items() if k != "run"}, "selected_labels": records(selected.groupBy("branch").count()), "test_rows": n_test, "cv_scores": scores}

@@ -29,6 +29,7 @@ from annofold.plans.file_queries import FILE_QUERIES
 from annofold.plans.oracle import ORACLE_SQL
 from annofold.schemas import with_branch
 from annofold.sources.fasta import parsed_header
+from annofold.storage import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -439,4 +440,40 @@ def ml06_cv_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ml.cross_validate(vectors, folds, pairs, feat.trainable_terms(pairs, folds))[0]
 
 
+def _group_vectors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Orders by a group of four as one-hot vectors, their folds, and labels of what they hold."""
+    group = F.pmod(F.floor("o_totalprice"), F.lit(4))
+    vector = F.array(*((group == k).cast("float") for k in range(4)))
+    vectors = ad.table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("entry_id"), vector.alias("embedding"))
+    kind = F.pmod("l_partkey", F.lit(6))
+    branch = F.get(F.array(F.lit("MF"), F.lit("BP"), F.lit("CC")), F.pmod(kind, F.lit(3)).cast("int"))
+    labels = ad.table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("entry_id"), branch.alias("branch"), F.concat(F.lit("K"), kind.cast("string")).alias("term")
+    )
+    return vectors, ad.folds_of_orders(spark, sf_dir), labels
+
+
+@query
+def ml06_one_hot_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Out-of-fold scores of heads fitted without a penalty on one-hot groups: there the optimum has a closed form."""
+    vectors, folds, labels = _group_vectors(spark, sf_dir)
+    pairs = feat.label_pairs(vectors, labels, feat.select_terms(labels, 2))
+    scored, _ = ml.cross_validate(vectors, folds, pairs, feat.trainable_terms(pairs, folds), alpha=0.0, steps=100, tolerance=1e-9)
+    return scored.withColumn("score", F.round("score", 4))
+
+
+@query
+def snk09_stored_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Heads of two branches and two folds, stored, then read in the tasks that score each fold."""
+    i = np.arange(64)
+    heads = [
+        ml.Heads(branch, fold, tuple(f"H{fold}{k}" for k in range(3)), np.stack([((i * (5 + b) + 3 * k + fold) % 11 - 5) / 5 for k in range(3)], axis=1), np.arange(3) / 4 - b, i / 640, 1.0 + i % 3)
+        for b, branch in enumerate(("MF", "BP"))
+        for fold in (0, 1)
+    ]
+    path = ml.store_heads(spark, heads, scratch_path(spark))
+    placed = ad.vectors(spark, sf_dir).withColumn("fold", F.pmod(F.col("entry_id").cast("long"), F.lit(2)).cast("int"))
+    return ml.predict_stored(placed, path, [0, 1], top_k=2, min_score=0.2).withColumn("score", F.round("score", 6))
+
+
 QUERIES |= FILE_QUERIES

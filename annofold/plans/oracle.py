@@ -421,4 +421,28 @@ WITH z AS (
 ), s AS (SELECT entry_id, k, CAST(1 / (1 + exp(-z)) AS FLOAT) AS score FROM z)
 SELECT entry_id, 'H' || k AS term, 'MF' AS branch, round(score::DOUBLE, 6) AS score
 FROM (SELECT *, row_number() OVER (PARTITION BY entry_id ORDER BY score DESC, k) AS pos FROM s) WHERE pos <= 2 AND score >= 0.3""",
+    "ml06_one_hot_heads": """
+WITH entries AS (SELECT o_orderkey AS id, floor(o_totalprice)::BIGINT % 4 AS g, o_custkey % 5 AS fold FROM orders),
+labels AS (SELECT DISTINCT l_orderkey AS id, l_partkey % 6 AS k FROM lineitem),
+kinds AS (SELECT DISTINCT k FROM labels),
+cells AS (
+  SELECT e.g, e.fold, kinds.k, count(*) AS n, count(l.id) AS pos
+  FROM entries e CROSS JOIN kinds LEFT JOIN labels l ON l.id = e.id AND l.k = kinds.k GROUP BY ALL
+), others AS (
+  SELECT h.fold, c.g, c.k, sum(pos)::DOUBLE AS pos, sum(n - pos)::DOUBLE AS neg
+  FROM (SELECT DISTINCT fold FROM entries) h JOIN cells c ON c.fold <> h.fold GROUP BY ALL
+), shares AS (
+  SELECT fold, g, k, pos / sum(pos) OVER (PARTITION BY fold, k) AS p, neg / sum(neg) OVER (PARTITION BY fold, k) AS q FROM others
+)
+SELECT e.id::VARCHAR AS entry_id, 'K' || s.k AS term, CASE s.k % 3 WHEN 0 THEN 'MF' WHEN 1 THEN 'BP' ELSE 'CC' END AS branch,
+  round((p / (p + q))::FLOAT::DOUBLE, 4) AS score
+FROM entries e JOIN shares s ON s.fold = e.fold AND s.g = e.g""",
+    "snk09_stored_heads": """
+WITH z AS (
+  SELECT vec_id, vec_id % 2 AS fold, t.b AS b, c.k AS k, c.k / 4.0 - t.b + list_sum(list_transform(embedding,
+    lambda x, i: (x::DOUBLE - (i - 1) / 640.0) / (1 + (i - 1) % 3) * ((((i - 1) * (5 + t.b) + 3 * c.k + vec_id % 2) % 11 - 5) / 5.0))) AS z
+  FROM embeddings, (VALUES (0), (1)) AS t(b), (VALUES (0), (1), (2)) AS c(k)
+), s AS (SELECT vec_id, fold, b, k, CAST(1 / (1 + exp(-z)) AS FLOAT) AS score FROM z)
+SELECT vec_id::VARCHAR AS entry_id, 'H' || fold || k AS term, CASE b WHEN 0 THEN 'MF' ELSE 'BP' END AS branch, round(score::DOUBLE, 6) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY vec_id, b ORDER BY score DESC, k) AS pos FROM s) WHERE pos <= 2 AND score >= 0.2""",
 } | FILE_SQL

@@ -5,9 +5,11 @@ from __future__ import annotations
 import io
 import json
 import os
+import re
 import uuid
 from collections.abc import Iterator
 from pathlib import Path
+from urllib.parse import quote
 
 import numpy as np
 import pandas as pd
@@ -93,9 +95,17 @@ def write_batches(batches: DataFrame, path: str, append: bool = False) -> str:
     return path
 
 
+def arrow_store(path: str) -> tuple[pa_fs.FileSystem, str]:
+    """The store of ``path`` that Arrow knows, and the path inside it."""
+    path = re.sub("^file:/+", "/", path)
+    if "://" in path:
+        return pa_fs.FileSystem.from_uri(quote(path, safe=":/%?=&@"))
+    return pa_fs.LocalFileSystem(), os.path.abspath(path)
+
+
 def _write_bytes(path: str, content: bytes) -> None:
     """Put a whole file in place at once, in any store that Arrow knows; runs in tasks."""
-    store, inner = pa_fs.FileSystem.from_uri(path if "://" in path else os.path.abspath(path))
+    store, inner = arrow_store(path)
     store.create_dir(inner.rsplit("/", 1)[0], recursive=True)
     part = f"{inner}.{uuid.uuid4().hex}.part"
     with store.open_output_stream(part) as out:

@@ -160,8 +160,6 @@ def test_heads(spark):
     p = 1 / (1 + np.exp(-(z @ head.coef[:, up] + head.intercept[up])))
     gradient = z.T @ (cost * (p - y)) / 120 + 1e-3 * head.coef[:, up]
     assert np.abs(gradient).max() < 5e-3
-    back = ml.heads_from_tables(*ml.heads_tables(spark, heads))
-    assert np.allclose(back[0].coef, heads[0].coef) and back[0].terms == heads[0].terms
     # A head's scaler does not see the rows of the fold that it will score.
     for h in heads:
         own = x[np.arange(120) % 3 != h.held_fold].astype(np.float32)
