@@ -6,9 +6,8 @@ For each label: mean of the class-balanced log-loss plus alpha / 2 |w|^2 on stan
 features, intercept free. A step evaluates losses and gradients of a block of labels, all of
 their folds at once, in one pass over the rows. The gradient is reduced in levels: the tasks
 of a pass are as many as the cores, each of which sums all partitions that fall to it; the
-sums of ``FAN_IN`` tasks are added at a time, until the driver gets one vector per label of
-the block. So a pass shuffles by the number of cores, however many partitions the rows have.
-No task or driver ever holds the rows; the driver's memory is ``block`` x features x history.
+sums of ``FAN_IN`` tasks are added at a time, until the driver adds the last ones. So a pass shuffles by the number of cores, however many partitions the rows have.
+No task or driver ever holds the rows; the driver's memory is ``block`` x features x (history + ``FAN_IN``).
 
 Vectors lie in one folder a fold. A fit that leaves a fold out and the scoring of a fold read
 the folders that they need, and one scan of a fold scores all branches.
@@ -66,20 +65,21 @@ def one_task_a_core(rows: DataFrame) -> tuple[DataFrame, int]:
     return rows.coalesce(cores), cores
 
 
-def tree_sum(partials: DataFrame, tasks: int, fan_in: int = FAN_IN) -> DataFrame:
-    """(key, v): element-wise sums of ``partials`` (key, slot, v) by key, ``fan_in`` at a time.
+def tree_sum(partials: DataFrame, tasks: int, fan_in: int = FAN_IN) -> dict[int, np.ndarray]:
+    """Element-wise sums of ``partials`` (key, slot, v) by key.
 
-    ``slot`` is the number of the task, below ``tasks``, that made a row.
+    ``slot`` is the number of the task, below ``tasks``, that made a row. Shuffles add
+    ``fan_in`` rows of a key at a time; the driver adds the last ``fan_in``.
     """
 
     def add(parts: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"key": parts["key"].iloc[:1], "slot": parts["slot"].iloc[:1], "v": [np.sum(parts["v"].to_list(), axis=0)]})
 
-    while True:
+    while tasks > fan_in:
         tasks = -(-tasks // fan_in)
         partials = partials.withColumn("slot", F.pmod("slot", F.lit(tasks))).groupBy("key", "slot").applyInPandas(add, "key long, slot int, v array<double>")
-        if tasks == 1:
-            return partials.select("key", "v")
+    last = partials.toPandas().sort_values(["key", "slot"])
+    return {int(k): np.sum(some["v"].to_list(), axis=0) for k, some in last.groupby("key")}
 
 
 def _partials(sums: dict[int, np.ndarray]) -> pa.RecordBatch:
@@ -94,8 +94,7 @@ def scalers(vectors: DataFrame) -> Scalers:
     """Mean and population standard deviation (1 where it is 0) of each feature over the rows
     of all folds but one, for each fold of ``vectors`` (embedding, fold), and over all rows.
 
-    One pass sums every fold by itself; a held fold's sums are taken from the total. One row
-    for each fold comes to the driver.
+    One pass sums every fold by itself; a held fold's sums are taken from the total.
     """
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,10 +110,9 @@ def scalers(vectors: DataFrame) -> Scalers:
         yield _partials(sums)
 
     rows, tasks = one_task_a_core(vectors.select("embedding", "fold"))
-    found = tree_sum(rows.mapInArrow(run, "key long, slot int, v array<double>"), tasks).collect()
-    if not found:
+    by_fold = tree_sum(rows.mapInArrow(run, "key long, slot int, v array<double>"), tasks)
+    if not by_fold:
         raise ValueError("there are no vectors")
-    by_fold = {int(r["key"]): np.array(r["v"]) for r in found}
     whole = np.sum([by_fold[k] for k in sorted(by_fold)], axis=0)
     out = {}
     for held in (-1, *by_fold):
@@ -176,10 +174,12 @@ def gradient_partials(rows: DataFrame, w: np.ndarray, columns: pd.DataFrame, wei
     return few.mapInArrow(run, "key long, slot int, v array<double>"), tasks
 
 
-def _gradients(rows: DataFrame, w: np.ndarray, columns: pd.DataFrame, weights: np.ndarray, scale: Scalers) -> tuple[np.ndarray, np.ndarray]:
+def _gradients(
+    rows: DataFrame, w: np.ndarray, columns: pd.DataFrame, weights: np.ndarray, scale: Scalers, fan_in: int = FAN_IN
+) -> tuple[np.ndarray, np.ndarray]:
     """(loss of each column, gradient [features + 1, columns]) of the data term."""
-    summed = tree_sum(*gradient_partials(rows, w, columns, weights, scale)).toPandas().sort_values("key")
-    both = np.stack(summed["v"].to_list(), axis=1)
+    summed = tree_sum(*gradient_partials(rows, w, columns, weights, scale), fan_in)
+    both = np.stack([summed[k] for k in range(w.shape[1])], axis=1)
     return both[0], both[1:]
 
 

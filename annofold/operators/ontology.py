@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from annofold.schemas import BRANCH_TO_ASPECT, NAMESPACE_TO_BRANCH, RELATIONS, fail_if_any, mapped, require_columns
-from annofold.storage import settled_with
+from annofold.storage import broadcast_if_small, settled_with
 
 # Reasons for which an edge is left out, in the order in which they are tried.
 DROP_REASONS = ("relation", "unknown_child", "unknown_parent", "unknown_branch", "cross_branch")
@@ -88,31 +88,48 @@ def edge_drop_counts(classified: DataFrame) -> DataFrame:
     return classified.groupBy(F.coalesce("drop_reason", F.lit("kept")).alias("drop_reason")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def ancestor_table(terms: DataFrame, edges: DataFrame) -> DataFrame:
-    """(term, ancestor, distance, term_branch, ancestor_branch): shortest distance to every ancestor.
+@dataclass(frozen=True)
+class ClosureRound:
+    """One round of the closure: rows of the last round's edge that it joined, and pairs that it added."""
+
+    joined: int
+    added: int
+
+
+def closure(edges: DataFrame) -> tuple[DataFrame, list[ClosureRound]]:
+    """(term, ancestor, distance), the shortest distance to every ancestor, and the rounds that it took.
 
-    Path doubling: a round joins the table with itself, so distances up to 2^r are exact after
-    r rounds and depth d takes log2(d) + 1 of them. A term on a cycle is no ancestor of
-    itself. Each round is one job, which writes to the shared folder and counts on the way.
+    Semi-naive path doubling. After r rounds every pair at a distance of at most 2^r is known
+    exactly. A pair at a distance of 2^r < d <= 2^(r+1) is a pair at a distance of exactly 2^r,
+    followed by a known one. So a round joins the rows at that one distance with the table,
+    and what it finds beside known pairs is final: nothing is shortened or written again.
+    Depth d takes log2(d) + 1 rounds, each one job that writes its new rows to the shared folder and
+    counts those at its edge. A term on a cycle is no ancestor of itself.
     """
     near = edges.filter("child_term != parent_term").select(
         F.col("child_term").alias("term"), F.col("parent_term").alias("ancestor"), F.lit(1).alias("distance")
     )
-    told = (F.count(F.lit(1)).alias("n"), F.sum("distance").alias("total"))
-    reach, mark = settled_with(near.dropDuplicates(), *told)
-    while True:
-        far = reach.select(F.col("term").alias("mid"), F.col("ancestor").alias("top"), F.col("distance").alias("more"))
-        longer = reach.join(far, F.col("ancestor") == F.col("mid")).filter("term != top").select(
-            "term", F.col("top").alias("ancestor"), (F.col("distance") + F.col("more")).alias("distance")
-        )
-        shortest = reach.unionByName(longer).groupBy("term", "ancestor").agg(F.min("distance").alias("distance"))
-        reach, now = settled_with(shortest, *told)
-        if now == mark:
-            break
-        mark = now
+    step, rounds = 1, []
+    at_edge = lambda d: (F.count(F.lit(1)).alias("n"), F.count_if(F.col("distance") == d).alias("edge"))
+    reach, now = settled_with(near.dropDuplicates(), *at_edge(step))
+    while now["edge"]:
+        edge = reach.filter(F.col("distance") == step).select("term", F.col("ancestor").alias("mid"))
+        far = reach.select(F.col("term").alias("from"), F.col("ancestor"), F.col("distance").alias("more"))
+        longer = edge.join(far, F.col("mid") == F.col("from")).filter("term != ancestor")
+        shortest = longer.groupBy("term", "ancestor").agg((F.min("more") + step).alias("distance"))
+        joined = now["edge"]
+        step *= 2
+        new, now = settled_with(shortest.join(reach, ["term", "ancestor"], "left_anti"), *at_edge(step))
+        rounds.append(ClosureRound(joined, now["n"]))
+        reach = reach.unionByName(new)
+    return reach, rounds
+
+
+def ancestor_table(terms: DataFrame, edges: DataFrame) -> DataFrame:
+    """(term, ancestor, distance, term_branch, ancestor_branch): shortest distance to every ancestor."""
     known = terms.select("term", "branch")
     return (
-        reach.join(known.select("term", F.col("branch").alias("term_branch")), "term")
+        closure(edges)[0].join(known.select("term", F.col("branch").alias("term_branch")), "term")
         .join(known.select(F.col("term").alias("ancestor"), F.col("branch").alias("ancestor_branch")), "ancestor")
         .select("term", "ancestor", "distance", "term_branch", "ancestor_branch")
     )
@@ -151,36 +168,35 @@ def resolve_terms(labels: DataFrame, terms: DataFrame, alt_ids: DataFrame) -> Da
     )
 
 
+def closed_terms(terms: DataFrame, ancestors: DataFrame, alt_ids: DataFrame) -> DataFrame:
+    """(source_term, closed, closed_branch, is_direct, distance): what a label term stands for.
+
+    That is an active term itself, or the term of an alternative id that is no active term,
+    and all its ancestors. One row a pair, as many as the ontology has, not as labels have.
+    """
+    active = terms.select(F.col("term").alias("source_term"), F.col("term").alias("canonical"))
+    other = alt_ids.select(F.col("alt_id").alias("source_term"), F.col("term").alias("canonical"))
+    other = other.join(active.select("source_term"), "source_term", "left_anti")
+    own = terms.select(F.col("term").alias("child"), F.col("term").alias("closed"), F.lit(0).alias("distance"), F.col("branch").alias("closed_branch"))
+    up = ancestors.select(F.col("term").alias("child"), F.col("ancestor").alias("closed"), "distance", F.col("ancestor_branch").alias("closed_branch"))
+    both = active.unionByName(other).join(own.unionByName(up), F.col("canonical") == F.col("child")).filter("closed_branch IS NOT NULL")
+    return both.groupBy("source_term", "closed", "closed_branch").agg(
+        F.bool_or(F.col("canonical") == F.col("closed")).alias("is_direct"), F.min("distance").alias("distance")
+    )
+
+
 def close_labels(labels: DataFrame, terms: DataFrame, ancestors: DataFrame, alt_ids: DataFrame) -> DataFrame:
     """Direct labels and all their ancestors: (entry_id, term, aspect, branch, is_direct, distance, n_sources).
 
-    The branch is the ontology's. The join multiplies a label by its ancestors, and the
-    aggregation combines them before its shuffle.
+    The branch is the ontology's. Distinct labels are dealt by entry and meet the closed terms
+    of their own in one join, so what the join makes is combined where it is made. A label
+    reaches a closed term once, so rows are counted, not distinct sources.
     """
     require_columns(labels, ("entry_id", "term", "branch"), "labels")
-    resolved = resolve_terms(labels.select("entry_id", "term", "branch"), terms, alt_ids).filter("canonical_term IS NOT NULL")
-    direct = resolved.select(
-        "entry_id",
-        F.col("term").alias("source_term"),
-        F.col("canonical_term").alias("closed"),
-        F.col("ontology_branch").alias("closed_branch"),
-        F.lit(True).alias("is_direct"),
-        F.lit(0).alias("distance"),
-    )
-    up = ancestors.select(F.col("term").alias("child"), "ancestor", "distance", "ancestor_branch")
-    lifted = resolved.join(up, F.col("canonical_term") == F.col("child")).select(
-        "entry_id",
-        F.col("term").alias("source_term"),
-        F.col("ancestor").alias("closed"),
-        F.col("ancestor_branch").alias("closed_branch"),
-        F.lit(False).alias("is_direct"),
-        "distance",
-    )
-    rows = direct.unionByName(lifted).filter("entry_id IS NOT NULL AND closed_branch IS NOT NULL")
+    given = labels.select("entry_id", F.col("term").alias("source_term")).filter("entry_id IS NOT NULL").distinct().repartition("entry_id")
+    rows = given.join(broadcast_if_small(closed_terms(terms, ancestors, alt_ids)), "source_term")
     return rows.groupBy("entry_id", F.col("closed").alias("term"), F.col("closed_branch").alias("branch")).agg(
-        F.bool_or("is_direct").alias("is_direct"),
-        F.min("distance").alias("distance"),
-        F.count_distinct("source_term").alias("n_sources"),
+        F.bool_or("is_direct").alias("is_direct"), F.min("distance").alias("distance"), F.count(F.lit(1)).alias("n_sources")
     ).select(
         "entry_id",
         "term",

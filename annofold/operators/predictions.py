@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from annofold.functions import clip_unit, strict_unit
 from annofold.operators.metrics import score_branches
 from annofold.schemas import BRANCHES, PREDICTION_COLUMNS, fail_if_any, require_columns
+from annofold.storage import broadcast_if_small
 
 
 def clip_scores(df: DataFrame, column: str = "score") -> DataFrame:
@@ -114,32 +115,36 @@ def _terms(terms: DataFrame) -> DataFrame:
     return terms.select(F.col("term").cast("string").alias("term"), F.col("branch").alias("term_branch")).dropDuplicates(["term"])
 
 
-def canonical_predictions(predictions: DataFrame, terms: DataFrame) -> DataFrame:
-    """Predictions of known terms under the term's own branch, collapsed to the best score."""
+def _usable(predictions: DataFrame) -> DataFrame:
     require_columns(predictions, ("entry_id", "term", "score"), "predictions")
     chosen = predictions.select(
         F.col("entry_id").cast("string").alias("entry_id"),
         F.col("term").cast("string").alias("term"),
         strict_unit(F.col("score")).alias("score"),
     )
-    named = chosen.join(_terms(terms), "term").select("entry_id", "term", F.col("term_branch").alias("branch"), "score")
+    return chosen.filter("entry_id IS NOT NULL AND term IS NOT NULL")
+
+
+def canonical_predictions(predictions: DataFrame, terms: DataFrame) -> DataFrame:
+    """Predictions of known terms under the term's own branch, collapsed to the best score."""
+    named = _usable(predictions).join(_terms(terms), "term").select("entry_id", "term", F.col("term_branch").alias("branch"), "score")
     return collapse_scores(named)
 
 
 def repair_hierarchy(predictions: DataFrame, ancestors: DataFrame, terms: DataFrame) -> DataFrame:
     """Every ancestor of a predicted term scores at least as much as the term.
 
-    ``ancestors`` (term, ancestor, ancestor_branch). The copies are combined before the
-    shuffle, so an entry's many terms cost one row per ancestor and task.
+    ``ancestors`` (term, ancestor, ancestor_branch). A term's best score is dealt by entry and
+    meets the term and its ancestors in one join, whose rows are combined where they are made.
     """
-    base = canonical_predictions(predictions, terms)
-    up = ancestors.select(
-        F.col("term").alias("child"), F.col("ancestor").cast("string").alias("ancestor"), "ancestor_branch"
-    ).dropDuplicates()
-    lifted = base.join(up, F.col("term") == F.col("child")).select(
-        "entry_id", F.col("ancestor").alias("term"), F.col("ancestor_branch").alias("branch"), "score"
-    )
-    return collapse_scores(base.unionByName(lifted))
+    known = _terms(terms)
+    own = known.select(F.col("term").alias("child"), F.col("term").alias("closed"), F.col("term_branch").alias("branch"))
+    up = ancestors.select(F.col("term").alias("child"), F.col("ancestor").cast("string").alias("closed"), F.col("ancestor_branch").alias("branch"))
+    # Ancestors of known terms only; the table has as many rows as the ontology.
+    lifts = broadcast_if_small(own.unionByName(up.join(known.select(F.col("term").alias("child")), "child", "left_semi")).distinct())
+    base = _usable(predictions).groupBy("entry_id", "term").agg(F.max("score").alias("score")).repartition("entry_id")
+    lifted = base.join(lifts, F.col("term") == F.col("child")).select("entry_id", F.col("closed").alias("term"), "branch", "score")
+    return collapse_scores(lifted)
 
 
 def repair_by_branch(

@@ -44,9 +44,11 @@ def obo(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     lines = rows.filter(head == "Term]").select(F.transform("raw", lambda x: F.trim(x)).alias("lines"))
     term = _last(_values("id"))
     told = F.raise_error(F.lit("a term without an id")).cast("string")
+    # The guard says itself which stanzas are terms: filters on the id may be tried before the one above.
+    lacking = (term == "") & (F.regexp_replace(F.get("lines", F.lit(0)), r"^\[", "") == "Term]")
     part_of = F.filter(_values("relationship"), lambda x: x.startswith("part_of "))
     parsed = lines.select(
-        F.when(term == "", told).otherwise(term).alias("term"),
+        F.when(lacking, told).otherwise(term).alias("term"),
         _last(_values("name")).alias("name"),
         _last(_values("namespace")).alias("namespace"),
         (F.lower(_last(_values("is_obsolete"))) == "true").alias("is_obsolete"),

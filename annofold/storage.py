@@ -6,6 +6,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+#: Rows (of about 100 bytes) up to which a side of a join is broadcast.
+BROADCAST_ROWS = 1_000_000
 
 _own: dict[str, str] = {}
 _written: dict[str, list[str]] = {}
@@ -58,3 +62,9 @@ def settled_with(df: DataFrame, *told: Column) -> tuple[DataFrame, dict]:
     seen = Observation()
     out = settled(df.observe(seen, *told))
     return out, seen.get
+
+
+def broadcast_if_small(df: DataFrame, bound: int = BROADCAST_ROWS) -> DataFrame:
+    """``df``, settled, with a broadcast hint if it has at most ``bound`` rows; beyond that joins shuffle both sides."""
+    held, seen = settled_with(df, F.count(F.lit(1)).alias("n"))
+    return F.broadcast(held) if seen["n"] <= bound else held

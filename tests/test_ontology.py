@@ -143,3 +143,43 @@ def test_errors(spark, tmp_path):
     twice = spark.createDataFrame([("a", ["x"]), ("b", ["x"])], "term string, alt_ids array<string>")
     with pytest.raises(ValueError, match="x"):
         onto.alt_id_table(twice)
+
+
+def brute_distances(pairs):
+    up = {}
+    for c, p in pairs:
+        if c != p:
+            up.setdefault(c, set()).add(p)
+    out = {}
+    for start in up:
+        seen, edge, d = {start}, {start}, 0
+        while edge:
+            d += 1
+            edge = {p for c in edge for p in up.get(c, ())} - seen
+            seen |= edge
+            out |= {(start, p): d for p in edge}
+    return out
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_closure_of_random_graphs(spark, seed):
+    import random
+
+    rng = random.Random(seed)
+    n = [12, 60, 40][seed]
+    pairs = [(f"t{rng.randrange(n)}", f"t{rng.randrange(n)}") for _ in range(n + n // 3)]  # with cycles and repeats
+    reach, _ = onto.closure(spark.createDataFrame(pairs, "child_term string, parent_term string"))
+    assert {(r["term"], r["ancestor"]): r["distance"] for r in reach.collect()} == brute_distances(pairs)
+
+
+def test_a_round_joins_only_what_the_last_one_reached(spark):
+    chain = [(f"t{k:02d}", f"t{k + 1:02d}") for k in range(40)] + [("x", "t00"), ("x", "t39")]
+    reach, rounds = onto.closure(spark.createDataFrame(chain, "child_term string, parent_term string"))
+    assert {(r["term"], r["ancestor"]): r["distance"] for r in reach.collect()} == brute_distances(chain)
+    joined = [r.joined for r in rounds]
+    assert len(rounds) == 6  # distances 1, 2, 4, ..., 32, of at most 40
+    assert joined[0] == 42 and all(a > b for a, b in zip(joined[1:], joined[2:], strict=False))
+    assert joined[-1] == 10  # pairs at a distance of 32: nine of the chain, and one of x
+    assert sum(r.added for r in rounds) + len(chain) == reach.count()
+    nothing, none = onto.closure(spark.createDataFrame([], "child_term string, parent_term string"))
+    assert nothing.count() == 0 and none == []
