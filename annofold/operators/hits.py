@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from annofold.functions import as_fraction, clip_unit, number
 from annofold.operators.predictions import prune_top_k
+from annofold.operators.skew import CELL_ROWS, skew_join
 from annofold.schemas import BRANCHES, HIT_COLUMNS, not_missing, require_columns, with_branch
+from annofold.storage import broadcast_if_small
 
 # Accepted names of the hit columns, in order of preference.
 HIT_ALIASES: dict[str, tuple[str, ...]] = {
@@ -122,7 +124,7 @@ def filter_oof_hits(hits: DataFrame, folds: DataFrame) -> DataFrame:
     """
     require_columns(folds, ("entry_id", "fold"), "folds")
     known = folds.select(F.col("entry_id").cast("string").alias("fold_entry"), F.col("fold").cast("int").alias("fold_no"))
-    known = known.filter(not_missing("fold_entry", "fold_no")).groupBy("fold_entry").agg(F.min("fold_no").alias("fold_no"))
+    known = broadcast_if_small(known.filter(not_missing("fold_entry", "fold_no")).groupBy("fold_entry").agg(F.min("fold_no").alias("fold_no")))
     of_query = known.select(F.col("fold_entry").alias("q_entry"), F.col("fold_no").alias("query_fold"))
     of_target = known.select(F.col("fold_entry").alias("t_entry"), F.col("fold_no").alias("target_fold"))
     return (
@@ -163,14 +165,15 @@ def limit_hits(hits: DataFrame, max_hits: int | None = 100) -> DataFrame:
 
 
 def aggregate_hit_labels(
-    hits: DataFrame, labels: DataFrame, max_hits: int | None = 100, min_weight: float = 0.0
+    hits: DataFrame, labels: DataFrame, max_hits: int | None = 100, min_weight: float = 0.0, cell_rows: int = CELL_ROWS
 ) -> DataFrame:
     """Noisy-OR transfer: (entry_id, term, branch, score, n_hits, best_hit_weight).
 
     The score is 1 - prod(1 - weight) over the query's hits whose target has the label. Each
     row of a repeated (query, target) pair counts in the product, while n_hits counts
     targets. The rows of a pair are combined before the join with labels, so the join and the
-    last aggregation see each pair once.
+    last aggregation see each pair once. Targets that a large share of the hits has are dealt
+    to several tasks (``skew_join``).
     """
     require_columns(hits, ("query_id", "target_id", "hit_weight"), "hits")
     weight = clip_unit(F.coalesce(number(F.col("hit_weight")), F.lit(0.0)))
@@ -183,7 +186,7 @@ def aggregate_hit_labels(
     )
     carried = prepare_labels(labels).withColumnRenamed("entry_id", "target_id")
     return (
-        pairs.join(carried, "target_id")
+        skew_join(pairs, carried, "target_id", (("query_id",), ("term", "branch")), cell_rows)
         .groupBy(F.col("query_id").alias("entry_id"), "term", "branch")
         .agg(F.sum("log_miss").alias("log_miss"), F.count(F.lit(1)).alias("n_hits"), F.max("weight").alias("best_hit_weight"))
         .select("entry_id", "term", "branch", clip_unit(1.0 - F.exp("log_miss")).alias("score"), "n_hits", "best_hit_weight")
