@@ -35,26 +35,3 @@ def with_row_index(df: DataFrame, order: Sequence[str], name: str = "row_index")
     offsets = counts.select("__part", listed.alias("__sizes")).select(F.col("__part").alias("__p"), before.alias("__offset"))
     joined = numbered.join(F.broadcast(offsets), F.col("__part") == F.col("__p"))
     return joined.withColumn(name, F.col("__at") + F.col("__offset")).select(*df.columns, name)
-
-
-#: Blocks of a scan (about 40 bytes each) up to which their offsets are broadcast.
-BROADCAST_BLOCKS = 500_000
-
-
-def with_scan_index(df: DataFrame, block: Sequence[str], name: str) -> DataFrame:
-    """``df``, rows of a scan of files, with a gapless 0-based ``name`` in the order of the files.
-
-    ``block`` names the columns that tell a block of a file and order the blocks; the rows of a
-    block lie together in one task, in order. So a row's number is its place in its block plus
-    the rows of the blocks before: no row is shuffled, only one count for each block is.
-    """
-    held = settled(df.withColumn("__id", F.monotonically_increasing_id()))
-    key = F.xxhash64(*block)
-    counts = settled(held.groupBy(*block).agg(F.count(F.lit(1)).alias("n"), F.min("__id").alias("first")))
-    # One row a block, so a single window over them is small even for many terabytes.
-    before = Window.orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(key.alias("__block"), (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("__shift"))
-    if counts.count() <= BROADCAST_BLOCKS:
-        offsets = F.broadcast(offsets)
-    joined = held.join(offsets, key == F.col("__block"))
-    return joined.withColumn(name, F.col("__id") + F.col("__shift")).select(*df.columns, name)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from annofold.operators.ranks import with_scan_index
+from annofold.sources.fasta_source import BLOCK_BYTES, FastaSource
+from annofold.storage import broadcast_if_small, settled
 
 #: Taxon in a header of the form with pipes.
 TAXON = r"(?:^|\s)OX=(\d+)(?:\s|$)"
@@ -48,32 +51,29 @@ def parsed_header(header: Column) -> Column:
     )
 
 
-def fasta(spark: SparkSession, path: str) -> DataFrame:
-    """The ``sequences`` table of a FASTA file or folder, with ``sequence_index`` in file order.
+def fasta(spark: SparkSession, path: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The ``sequences`` table of a FASTA file, folder or glob, with ``sequence_index`` in file order.
 
-    A record is one row of a text scan split at line starts with ``>``, so a large file is read
-    by many tasks. Lines are stripped, blank ones skipped, and a record's lines joined; a
-    header alone has an empty sequence; text before the first header fails the query; an
-    empty file gives no rows.
+    Files are read in byte ranges (``fasta_source``). A record's number is its place in its range
+    plus the records of the ranges before, which a first read counts without building a
+    sequence; no text is written or shuffled on the way. Lines are stripped, blank ones
+    skipped, and a record's lines joined; a header alone has an empty sequence; text before the
+    first header fails the query; an empty file gives no rows.
     """
-    read = spark.read.option("lineSep", "\n>").text(path)
-    rows = read.select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.regexp_replace("value", r"\r\n?", "\n").alias("value"),
-    )
-    # The first record of a file still has its ">".
-    leading = F.regexp_extract("value", r"^\s*>", 0)
-    body = F.when(leading != "", F.substring("value", F.length(leading) + 1, F.length("value"))).otherwise(F.col("value"))
-    lines = F.filter(F.transform(F.split(body, "\n"), _bare), lambda x: x != "")
-    cut = rows.withColumn("opened", leading != "").withColumn("lines", lines).withColumn("empty_header", _bare(F.get(F.split(body, "\n"), F.lit(0))) == "")
-    ranked = with_scan_index(cut.filter("size(lines) > 0 OR opened"), ["file", "block"], "sequence_index")
-    header = F.when(F.col("empty_header"), F.lit("")).otherwise(F.get("lines", F.lit(0)))
-    sequence = F.array_join(F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(0))), "")
-    misplaced = (F.col("sequence_index") == 0) & ~F.col("opened")
+    spark.dataSource.register(FastaSource)
+    read = spark.read.format("fasta").option("blockBytes", block_bytes).option("paths", json.dumps(_expanded(spark, path)))
+    counts = settled(read.option("only", "counts").load())
+    # One row a range, so a single window over them is small even for many terabytes.
+    before = Window.orderBy("c_file", "c_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(F.col("file").alias("c_file"), F.col("block").alias("c_block"), "n").filter("n > 0")
+    offsets = broadcast_if_small(offsets.select("c_file", "c_block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first")))
+    records = read.option("only", "records").load()
+    ranked = records.join(offsets, (F.col("file") == F.col("c_file")) & (F.col("block") == F.col("c_block")))
     told = F.raise_error(F.lit("sequence data before the first FASTA header")).cast("string")
-    parsed = ranked.withColumn("header", F.when(misplaced, told).otherwise(header)).withColumn("sequence", sequence)
-    return parsed.withColumn("h", parsed_header(F.col("header"))).select(
+    opened = ranked.select(
+        F.when(F.col("opened"), F.col("header")).otherwise(told).alias("header"), "sequence", (F.col("first") + F.col("at")).alias("sequence_index")
+    )
+    return opened.withColumn("h", parsed_header(F.col("header"))).select(
         F.col("h.entry_id").alias("entry_id"),
         "sequence",
         F.length("sequence").alias("length"),
@@ -83,3 +83,12 @@ def fasta(spark: SparkSession, path: str) -> DataFrame:
         F.col("h.database").alias("database"),
         F.col("h.uniprot_name").alias("uniprot_name"),
     )
+
+
+def _expanded(spark: SparkSession, path: str) -> list[str]:
+    """Paths that a glob stands for; any other path as it is."""
+    if not any(c in path for c in "*?[{"):
+        return [path]
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    return [f.getPath().toString() for f in found]

@@ -143,3 +143,40 @@ def test_submission_text(spark, tmp_path):
     lines = sorted(x for p in (tmp_path / "s").glob("part-*") for x in p.read_text().splitlines())
     assert lines == ["P1\tT:1\t0.9", "P1\tT:2\t0.0001", "P1\tT:3\t1.0", "P2\tT:1\t0.00001", "P2\tT:2\t0.0000000004", "P2\tT:3\t0.1234567890123456", "P2\tT:4\t5.0E-300", "P2\tT:5\t0.0"]
     assert sinks.write_parquet_counted(df, str(tmp_path / "p")) == 8
+
+
+@pytest.mark.parametrize("block", [1, 2, 7, 50, 1000, 1 << 20])
+def test_fasta_byte_ranges_of_any_size(spark, tmp_path, block):
+    import gzip
+
+    text = "\n \n>A 1\nMA\n>B 2\r\nGA\r\n\r\nTT\n>C x\n>D 4\n>\x0bE 5\n" + "".join(f">F{k} {k}\n{'MK' * (k % 5)}\n" for k in range(9))
+    (tmp_path / "in").mkdir()
+    write(tmp_path, "in/a.fasta", text)
+    write(tmp_path, "in/b.fasta", ">G 7\nMMM" if block % 2 else ">G 7\nMMM\n")
+    write(tmp_path, "in/_SUCCESS", "")
+    (tmp_path / "in" / "c.fasta.gz").write_bytes(gzip.compress(b">H 8\nAC\n>I 9\nGT\n"))
+    want = [("A", "MA"), ("B", "GATT"), ("C", ""), ("D", ""), ("E", ""), *((f"F{k}", "MK" * (k % 5)) for k in range(9)), ("G", "MMM"), ("H", "AC"), ("I", "GT")]
+    for path in (tmp_path / "in", tmp_path / "in" / "*.fasta*"):
+        got = sources.fasta(spark, str(path), block).orderBy("sequence_index").collect()
+        assert [(r["entry_id"], r["sequence"]) for r in got] == want
+        assert [r["sequence_index"] for r in got] == list(range(len(want)))
+
+
+def test_fasta_ranges_own_records_that_begin_in_them():
+    import io
+
+    from annofold.sources.fasta_source import owned
+
+    data = b">a\nMM\n>b\n\n>c\nACGT\nAC"
+    for chunk in (1, 3, 100):
+        for block in range(1, len(data) + 1):
+            got = [list(owned(io.BytesIO(data), at, min(at + block, len(data)), chunk)) for at in range(0, len(data), block)]
+            assert [r for part in got for r in part] == [b">a\nMM\n", b">b\n\n", b">c\nACGT\nAC"]
+            for k, part in enumerate(got):
+                assert all(k * block <= data.index(r[:3]) < (k + 1) * block for r in part)
+
+
+def test_fasta_writes_no_text_on_the_way(spark, tmp_path):
+    path = write(tmp_path, "a.fasta", ">A 1\nMA\n>B 2\nGA\n")
+    plan = sources.fasta(spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert "BatchScan" in plan and "sequence" not in "".join(x for x in plan.splitlines() if "FileScan parquet" in x)
