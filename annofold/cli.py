@@ -284,7 +284,7 @@ def make_submission(a: argparse.Namespace) -> int:
     report = records(sub.validate_submission(shaped, entries, terms, a.require_all_test_entries))[0]
     missing = sub.missing_entries(shaped, entries)
     report["missing_test_entry_preview"] = [r[0] for r in missing.orderBy("entry_id").limit(20).collect()]
-    sinks.write_submission(shaped, a.output)
+    sinks.write_submission_file(shaped, a.output)
     sinks.write_json(report, a.report)
     return 0 if report["valid"] else 1
 

@@ -8,15 +8,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyarrow import fs as pa_fs
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annofold import sinks, sources
 from annofold.operators import embeddings as emb
 from annofold.operators import hits as hit_ops
+from annofold.operators import predictions as pred
+from annofold.operators.ranks import with_row_index
+from annofold.operators.tables import label_frequency
 from annofold.plans import adapters as ad
 from annofold.plans.adapters import with_views
 from annofold.storage import scratch_path
+from annofold.streaming.embed_stream import start_embedding_stream
+from annofold.streaming.manifest_log import commit_manifest, read_manifest
 
 PLACES = 9
 
@@ -147,6 +154,96 @@ def src15_shard_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def snk04_submission_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One ordered file of all predictions, read line by line."""
+    best = ad.predictions(spark, sf_dir).groupBy("entry_id", "term").agg(F.max("score").alias("score"))
+    path = sinks.write_submission_file(best, f"{scratch_path(spark)}.tsv")
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+    return with_row_index(lines, ["block", "at"], "line_number").select("line_number", F.col("value").alias("line"))
+
+
+def snk06_batch_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches as files, read through the paths that the manifest names."""
+    root = scratch_path(spark)
+    sequences = emb.normalize_sequences(ad.sequences(spark, sf_dir))
+    manifest = emb.create_manifest(sequences, emb.BatchConfig("train", root, 64))
+    sinks.write_batches(manifest.join(sequences.select("entry_id", "sequence"), "entry_id"), f"{root}/train/batches")
+    read = spark.read.parquet(f"{root}/train/batches").withColumn("file", F.regexp_extract(F.input_file_name(), r"[^/]*$", 0))
+    return read.select("file", "batch_id", "entry_id", "sequence_length", F.md5("sequence").alias("sequence"), "row_index_in_batch")
+
+
+def snk07_counted_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Collapsed predictions with the number of rows that the writer told."""
+    path = scratch_path(spark)
+    told = sinks.write_parquet_counted(pred.collapse_scores(ad.predictions(spark, sf_dir)), path)
+    return spark.read.parquet(path).withColumn("told", F.lit(told).cast("long"))
+
+
+def snk08_csv_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Label frequencies as a CSV report, read with inferred types."""
+    path = sinks.write_csv(label_frequency(ad.truth(spark, sf_dir)), f"{scratch_path(spark)}.csv")
+    return sources.typed_table(spark, path).select("branch", "aspect", "term", F.col("n_proteins").cast("long").alias("n_proteins"), F.col("n_annotations").cast("long").alias("n_annotations"))
+
+
+def src10_typed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as text, read with inferred types: numbers are summed as they come."""
+    orders = ad.table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("cust"), F.round("o_totalprice", 2).alias("price"))
+    read = sources.typed_table(spark, _tsv(orders, True))
+    kinds = F.lit(",".join(kind for _, kind in read.dtypes))
+    grouped = read.groupBy(F.pmod("o_orderkey", F.lit(1000)).cast("long").alias("part"))
+    return grouped.agg(F.sum("cust").cast("long").alias("cust"), F.round(F.sum("price"), 2).alias("price")).withColumn("kinds", kinds)
+
+
+def src11_string_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys with leading zeros stay text."""
+    customers = ad.table(spark, sf_dir, "customer").select(F.lpad(F.col("c_custkey").cast("string"), 9, "0").alias("entry_id"), F.col("c_nationkey").alias("cluster_id"))
+    return sources.string_table(spark, _tsv(customers, True))
+
+
+def _counting_encoder(marker: str):
+    """Length and number of the letter e of each sequence; the first task that meets a marked row fails, once."""
+
+    def load():
+        def encode(some: list[str]) -> list[list[float]]:
+            store, inner = sinks.arrow_store(marker)
+            if store.get_file_info(inner).type == pa_fs.FileType.NotFound:
+                store.create_dir(inner, recursive=True)
+                raise RuntimeError("this task was to fail")
+            return [[float(len(s)), float(s.count("e"))] for s in some]
+
+        return encode
+
+    return load
+
+
+def dom19_resumed_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An embedding stream that fails inside a batch and is started again: every shard once, every batch complete."""
+    root = scratch_path(spark).removeprefix("file:")
+    sequences = emb.normalize_sequences(ad.sequences(spark, sf_dir))
+    manifest = emb.create_manifest(sequences, emb.BatchConfig("train", root, 64))
+    batches, log = f"{root}/train/batches", f"{root}/manifest"
+    sinks.write_batches(manifest.join(sequences.select("entry_id", "sequence"), "entry_id"), batches)
+    commit_manifest(manifest, log, 0)
+    rounds = max(1, manifest.select("batch_id").distinct().count() // 3)
+    for _ in range(2):
+        run = start_embedding_stream(
+            spark, batches, f"{root}/train", f"{root}/checkpoint", _counting_encoder(f"{root}/failed"), max_length=None,
+            manifest_path=log, completed_at="2020-01-01", files_per_round=rounds,
+        )
+        try:
+            run.awaitTermination()
+            break
+        except StreamingQueryException:
+            continue
+    shards = sources.shard_vectors(spark, f"{root}/train")
+    name = F.regexp_extract("shard_path", r"[^/]*$", 0)
+    placed = shards.select(name.alias("shard"), F.col("position").alias("row_index_in_batch"), F.get("embedding", F.lit(0)).alias("letters"), F.get("embedding", F.lit(1)).alias("letters_e"))
+    done = read_manifest(spark, log).select("entry_id", "batch_id", "status", "completed_at", name.alias("shard"), "row_index_in_batch")
+    return done.join(placed, ["shard", "row_index_in_batch"], "full").select(
+        "entry_id", "batch_id", "shard", "row_index_in_batch", "status", "completed_at", F.col("letters").cast("long").alias("letters"), F.col("letters_e").cast("long").alias("letters_e")
+    )
+
+
 FILE_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -161,6 +258,13 @@ FILE_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         src10_hits_with_header,
         src13_manifest_csv,
         src15_shard_vectors,
+        snk04_submission_file,
+        snk06_batch_files,
+        snk07_counted_table,
+        snk08_csv_report,
+        src10_typed_table,
+        src11_string_table,
+        dom19_resumed_embedding,
     )
 }
 
@@ -213,4 +317,34 @@ SELECT entry_id, 'train' AS split, 'batch_' || lpad((i // 64)::VARCHAR, 5, '0')
 SELECT lpad((vec_id // 100)::VARCHAR, 5, '0') AS shard, (row_number() OVER (PARTITION BY vec_id // 100 ORDER BY vec_id) - 1)::INTEGER AS position,
   len(embedding)::INTEGER AS width, round(embedding[1]::DOUBLE, 6) AS first, round(list_sum(list_transform(embedding, lambda x: x::DOUBLE)), 4) AS total
 FROM embeddings""",
+    "snk04_submission_file": with_views(
+        "predictions",
+        then=""", best AS (SELECT entry_id, term, max(score) AS score FROM predictions GROUP BY 1, 2)
+SELECT row_number() OVER (ORDER BY entry_id, score DESC, term) - 1 AS line_number, entry_id || chr(9) || term || chr(9) || score::VARCHAR AS line FROM best""",
+    ),
+    "snk06_batch_files": with_views(
+        "sequences",
+        then=""", numbered AS (SELECT entry_id, sequence, row_number() OVER (ORDER BY entry_id) - 1 AS i FROM sequences WHERE sequence IS NOT NULL)
+SELECT 'batch_' || lpad((i // 64)::VARCHAR, 5, '0') || '.parquet' AS file, 'batch_' || lpad((i // 64)::VARCHAR, 5, '0') AS batch_id, entry_id,
+  length(sequence)::INTEGER AS sequence_length, md5(sequence) AS sequence, (i % 64)::INTEGER AS row_index_in_batch FROM numbered""",
+    ),
+    "snk07_counted_table": with_views(
+        "predictions",
+        then=""" SELECT entry_id, term, branch, max(score) AS score, count(*) OVER () AS told FROM predictions GROUP BY ALL""",
+    ),
+    "snk08_csv_report": with_views(
+        "truth",
+        then=""" SELECT branch, CASE branch WHEN 'MF' THEN 'F' WHEN 'BP' THEN 'P' ELSE 'C' END AS aspect, term, count(DISTINCT entry_id) AS n_proteins,
+  (SELECT count(*) FROM lineitem WHERE l_linestatus = 'F' AND 'T' || lpad((l_partkey % 120)::VARCHAR, 5, '0') = term) AS n_annotations FROM truth GROUP BY ALL""",
+    ),
+    "src10_typed_table": """SELECT o_orderkey % 1000 AS part, sum(o_custkey)::BIGINT AS cust, round(sum(round(o_totalprice, 2)), 2) AS price, 'int,int,double' AS kinds
+FROM orders GROUP BY 1""",
+    "src11_string_table": "SELECT lpad(c_custkey::VARCHAR, 9, '0') AS entry_id, c_nationkey::VARCHAR AS cluster_id FROM customer",
+    "dom19_resumed_embedding": with_views(
+        "sequences",
+        then=""", numbered AS (SELECT entry_id, sequence, row_number() OVER (ORDER BY entry_id) - 1 AS i FROM sequences WHERE sequence IS NOT NULL)
+SELECT entry_id, 'batch_' || lpad((i // 64)::VARCHAR, 5, '0') AS batch_id, 'shard_' || lpad((i // 64)::VARCHAR, 5, '0') || '.npy' AS shard,
+  (i % 64)::INTEGER AS row_index_in_batch, 'complete' AS status, '2020-01-01' AS completed_at,
+  length(sequence)::BIGINT AS letters, (length(sequence) - length(replace(sequence, 'e', '')))::BIGINT AS letters_e FROM numbered""",
+    ),
 }

@@ -7,19 +7,23 @@ import json
 import os
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from pathlib import Path
 from urllib.parse import quote
 
 import numpy as np
 import pandas as pd
 from pyarrow import fs as pa_fs
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import UnsupportedOperationException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annofold.schemas import MANIFEST_COLUMNS, SUBMISSION_COLUMNS, require_columns
 from annofold.storage import settled
 
+#: Bytes that are copied at once.
+COPIED = 8 << 20
+
 
 def write_parquet(df: DataFrame, path: str) -> str:
     """Replace the table at ``path``."""
@@ -62,6 +66,69 @@ def write_submission(df: DataFrame, path: str) -> str:
     return path
 
 
+def write_text_file(lines: DataFrame, path: str, order: Sequence[str | Column]) -> str:
+    """``lines`` (value, and the columns of ``order``) as one text file in order, which takes the place of ``path``.
+
+    Rows are sorted by ranges and written as parts in parallel; the parts are then joined in
+    order. A store that can join files does it without moving data; for any other one a task
+    copies the parts one after another, some bytes at a time. The file is put in place by a
+    rename, so readers see all of it or none.
+    """
+    spark = lines.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    hidden = f"{path.rstrip('/')}.writing-{uuid.uuid4().hex}"
+    lines.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("value").write.text(hidden)
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path
+    folder, goal = jvm_path(hidden), jvm_path(path)
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = store.globStatus(jvm_path(f"{hidden}/part-*"))
+    names = sorted(str(f.getPath().toString()) for f in found if f.getLen())
+    whole = _concatenated(spark, store, names) or _copied_together(spark, names, f"{hidden}/whole.txt")
+    store.delete(goal, True)
+    if not store.rename(jvm_path(whole), goal):
+        raise OSError(f"cannot write {path}")
+    store.delete(folder, True)
+    return path
+
+
+def _concatenated(spark: SparkSession, store, names: list[str]) -> str | None:
+    """The first file with all others appended by the store itself; None where it cannot."""
+    if not names:
+        return None
+    rest = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Path, len(names) - 1)
+    for k, name in enumerate(names[1:]):
+        rest[k] = spark._jvm.org.apache.hadoop.fs.Path(name)
+    if len(names) > 1:
+        try:
+            store.concat(spark._jvm.org.apache.hadoop.fs.Path(names[0]), rest)
+        except UnsupportedOperationException:
+            return None
+    return names[0]
+
+
+def _copied_together(spark: SparkSession, names: list[str], path: str) -> str:
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in it:
+            store, inner = arrow_store(path)
+            with store.open_output_stream(inner, compression=None) as out:
+                for name in frame["name"].iloc[0]:
+                    part_store, part = arrow_store(name)
+                    with part_store.open_input_stream(part, compression=None) as source:
+                        while chunk := source.read(COPIED):
+                            out.write(chunk)
+            yield pd.DataFrame({"done": [len(frame)]})
+
+    spark.createDataFrame([(names,)], "name array<string>").coalesce(1).mapInPandas(run, "done long").collect()
+    return path
+
+
+def write_submission_file(df: DataFrame, path: str) -> str:
+    """Tab-separated entry, term and score without a header, one file: by entry, best score first, then term."""
+    require_columns(df, SUBMISSION_COLUMNS, "submission")
+    line = F.concat_ws("\t", "entry_id", "term", score_text(F.col("score")))
+    return write_text_file(df.select(line.alias("value"), *SUBMISSION_COLUMNS), path, ["entry_id", F.desc("score"), "term"])
+
+
 def write_manifest(df: DataFrame, path: str) -> str:
     """A manifest as CSV with a header and the fixed columns."""
     require_columns(df, MANIFEST_COLUMNS, "manifest")

@@ -80,6 +80,7 @@ def test_whole_run(spark, home, monkeypatch):
     assert main(["make-submission", "--output", str(home / "submissions/submission.tsv")]) == 0
     report = json.loads((home / "artifacts/reports/submission.json").read_text())
     assert report["valid"] and report["covered_test_entry_count"] == 4
-    lines = [x.split("\t") for p in (home / "submissions/submission.tsv").glob("part-*") for x in p.read_text().splitlines()]
+    lines = [x.split("\t") for x in (home / "submissions/submission.tsv").read_text().splitlines()]
+    assert lines == sorted(lines, key=lambda x: (x[0], -float(x[2]), x[1]))
     assert {x[1] for x in lines} <= set(TERMS) and all(0 <= float(x[2]) <= 1 for x in lines)
     assert main(["make-submission", "--output", str(home / "submissions/two.tsv"), "--require-all-test-entries", "--top-k-total", "1"]) == 0

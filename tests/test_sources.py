@@ -180,3 +180,14 @@ def test_fasta_writes_no_text_on_the_way(spark, tmp_path):
     path = write(tmp_path, "a.fasta", ">A 1\nMA\n>B 2\nGA\n")
     plan = sources.fasta(spark, path)._jdf.queryExecution().executedPlan().toString()
     assert "BatchScan" in plan and "sequence" not in "".join(x for x in plan.splitlines() if "FileScan parquet" in x)
+
+
+@pytest.mark.parametrize("n", [0, 1, 3000])
+def test_one_ordered_submission_file(spark, tmp_path, n):
+    rows = [(f"P{k % 97}", f"T:{k}", (k % 11) / 10) for k in range(n)]
+    path = str(tmp_path / "out" / "s.tsv")
+    for _ in range(2):  # a second file takes the place of the first
+        sinks.write_submission_file(spark.createDataFrame(rows, "entry_id string, term string, score double").repartition(5), path)
+        want = [f"{e}\t{t}\t{s}" for e, t, s in sorted(rows, key=lambda r: (r[0], -r[2], r[1]))]
+        assert (tmp_path / "out" / "s.tsv").read_text().splitlines() == want
+    assert [p.name for p in (tmp_path / "out").iterdir() if not p.name.startswith(".")] == ["s.tsv"]
