@@ -27,7 +27,7 @@ from annofold.operators import submission as sub
 from annofold.operators import tables
 from annofold.schemas import BRANCHES
 from annofold.sources.raw_files import REQUIRED_FILES
-from annofold.storage import settled
+from annofold.storage import drop_intermediates, settled
 
 RAW, PROCESSED, ARTIFACTS, REPORTS = "data/raw", "data/processed", "artifacts", "artifacts/reports"
 
@@ -356,7 +356,13 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: Sequence[str] | None = None) -> int:
     a = parser().parse_args(argv)
-    return a.run(a)
+    try:
+        return a.run(a)
+    finally:
+        # A command's results are written by now; what it wrote on the way is not read again.
+        spark = SparkSession.getActiveSession()
+        if spark is not None:
+            drop_intermediates(spark)
 
 
 if __name__ == "__main__":

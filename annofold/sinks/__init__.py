@@ -8,7 +8,6 @@ import os
 import re
 import uuid
 from collections.abc import Iterator, Sequence
-from pathlib import Path
 from urllib.parse import quote
 
 import numpy as np
@@ -41,9 +40,8 @@ def write_parquet_counted(df: DataFrame, path: str, name: str = "written") -> in
 
 
 def write_json(data: dict, path: str) -> str:
-    """A report with sorted keys and an indent of two."""
-    Path(path).parent.mkdir(parents=True, exist_ok=True)
-    Path(path).write_text(json.dumps(data, indent=2, sort_keys=True, default=str) + "\n", encoding="utf-8")
+    """A report with sorted keys and an indent of two, in any store that Arrow knows."""
+    _write_bytes(path, (json.dumps(data, indent=2, sort_keys=True, default=str) + "\n").encode())
     return path
 
 
@@ -171,7 +169,7 @@ def arrow_store(path: str) -> tuple[pa_fs.FileSystem, str]:
 
 
 def _write_bytes(path: str, content: bytes) -> None:
-    """Put a whole file in place at once, in any store that Arrow knows; runs in tasks."""
+    """Put a whole file in place at once, in any store that Arrow knows."""
     store, inner = arrow_store(path)
     store.create_dir(inner.rsplit("/", 1)[0], recursive=True)
     part = f"{inner}.{uuid.uuid4().hex}.part"

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-import shutil
 from collections.abc import Sequence
-from pathlib import Path
+
+from pyarrow import fs as pa_fs
+
+from annofold.sinks import arrow_store
 
 # The input files of a full run.
 REQUIRED_FILES = (
@@ -21,11 +23,11 @@ REQUIRED_FILES = (
 
 def raw_file_report(folder: str, required: Sequence[str] = REQUIRED_FILES) -> dict[str, object]:
     """Which of the ``required`` files are in ``folder``, and their sizes."""
+    store, inner = arrow_store(folder)
     files = []
     for name in required:
-        path = Path(folder, name)
-        there = path.is_file()
-        files.append({"file_name": name, "path": str(path), "exists": there, "size_bytes": path.stat().st_size if there else None})
+        info = store.get_file_info(f"{inner.rstrip('/')}/{name}")
+        files.append({"file_name": name, "path": f"{str(folder).rstrip('/')}/{name}", "exists": info.is_file, "size_bytes": info.size if info.is_file else None})
     missing = [f["file_name"] for f in files if not f["exists"]]
     return {
         "raw_dir": str(folder),
@@ -49,12 +51,14 @@ def raw_file_summary(report: dict) -> str:
 
 def copy_required_files(source: str, folder: str, required: Sequence[str] = REQUIRED_FILES, overwrite: bool = False) -> list[str]:
     """Copy each required file from anywhere under ``source``; the names copied. Existing files stay unless ``overwrite``."""
-    Path(folder).mkdir(parents=True, exist_ok=True)
+    (origin, inside), (store, inner) = arrow_store(source), arrow_store(folder)
+    store.create_dir(inner, recursive=True)
+    listed = origin.get_file_info(pa_fs.FileSelector(inside, recursive=True))
+    paths = {f.base_name: f.path for f in sorted(listed, key=lambda f: f.path, reverse=True) if f.is_file}
     copied = []
     for name in required:
-        target = Path(folder, name)
-        found = next(iter(sorted(Path(source).rglob(name))), None)
-        if found is not None and (overwrite or not target.exists()):
-            shutil.copyfile(found, target)
+        target = f"{inner.rstrip('/')}/{name}"
+        if name in paths and (overwrite or store.get_file_info(target).type == pa_fs.FileType.NotFound):
+            pa_fs.copy_files(paths[name], target, source_filesystem=origin, destination_filesystem=store)
             copied.append(name)
     return copied

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import json
 import os
+from pathlib import Path
 
 import pytest
 
-from annofold import cli
+from annofold import cli, storage
 from annofold.cli import main
 
 TERMS = ["T:1", "T:2", "T:3"]
@@ -84,3 +85,6 @@ def test_whole_run(spark, home, monkeypatch):
     assert lines == sorted(lines, key=lambda x: (x[0], -float(x[2]), x[1]))
     assert {x[1] for x in lines} <= set(TERMS) and all(0 <= float(x[2]) <= 1 for x in lines)
     assert main(["make-submission", "--output", str(home / "submissions/two.tsv"), "--require-all-test-entries", "--top-k-total", "1"]) == 0
+    # No command leaves anything of what it wrote on its way.
+    root = spark.conf.get("spark.checkpoint.dir", None) or storage._own[spark.sparkContext.applicationId]
+    assert not list(Path(root.removeprefix("file://")).glob("step-*"))
