@@ -25,6 +25,8 @@ and b shingles is at most T = (a + b) * (100 - PERCENT) // (100 + PERCENT).
   the triangle inequality only those near enough are opened into pairs of members, verified
   exactly. So copies are never expanded into all pairs and no link between different texts
   is lost.
+* Two families that share many large groups are paired in the first one: each carries its
+  smallest keys, so a group can tell that an earlier one has both.
 * In a group of more than ``LARGE`` families, and among the opened members, each side carries a
   short parity sketch of all its shingles: a pair whose sketches differ in more bits than the
   sets may is dropped inside the join, before it is a row.
@@ -40,7 +42,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from annofold.llm._shared import broadcast_if_small, durable, tidy, utf8_column
@@ -57,6 +59,8 @@ COUNTED = 10_000
 SKETCH_WORDS = 8
 #: Families in a block's group above which they carry it.
 LARGE = 16
+#: Smallest keys of a family by which groups tell that they are not the first to pair it with another.
+FIRST_KEYS = 4
 _MASK = (1 << 64) - 1
 
 
@@ -293,6 +297,29 @@ def _linked(percent: int) -> Column:
     return F.col("shared") * 100 >= (F.col("a") + F.col("b") - F.col("shared")) * percent
 
 
+def _with_first_keys(families: DataFrame) -> DataFrame:
+    """Families of large groups, with what holds for a family in all of its groups, and its first keys.
+
+    Near copies share hundreds of keys, and two families would be paired in each of them. With
+    bounds that are the same in every group, and the ``FIRST_KEYS`` smallest keys of both at
+    hand, a group can tell that an earlier one pairs them (``_not_met_before``).
+    """
+    order = Window.partitionBy("centre").orderBy("key")
+    first = families.select("centre", "key").withColumn("at", F.row_number().over(order)).filter(F.col("at") <= FIRST_KEYS)
+    first = first.groupBy(F.col("centre").alias("f_centre")).agg(F.collect_list("key").alias("first_keys"))
+    spans = families.groupBy(F.col("centre").alias("s_centre")).agg(
+        F.max("radius").alias("radius"), F.min("least").alias("least"), F.max("most").alias("most"), F.min("place").alias("place")
+    )
+    of_family = broadcast_if_small(spans.join(first, F.col("s_centre") == F.col("f_centre")).drop("f_centre"))
+    return families.select("key", "component", "centre").join(of_family, F.col("centre") == F.col("s_centre")).drop("s_centre")
+
+
+def _not_met_before() -> Column:
+    """No earlier key is among the first ones of both sides; so the first common key of two families always pairs them."""
+    both = F.array_intersect(F.col("one.first_keys"), F.col("two.first_keys"))
+    return F.coalesce(F.array_min(both) >= F.col("one.key"), F.lit(True))
+
+
 def similarity_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, class_id, component_id) for each row of ``docs`` (doc_id, text).
 
@@ -372,7 +399,7 @@ def similarity_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     large_keys = durable(by_family.groupBy("key").agg(F.count(F.lit(1)).alias("families")).filter(F.col("families") > LARGE).select("key"))
     sketches = sets.select("doc", *_SKETCH)
     small = by_family.join(large_keys, "key", "left_anti")
-    large = by_family.join(large_keys, "key", "left_semi").join(sketches, F.col("centre") == F.col("doc")).drop("doc")
+    large = _with_first_keys(durable(by_family.join(large_keys, "key", "left_semi"))).join(sketches, F.col("centre") == F.col("doc")).drop("doc")
     most_apart = _differ(F.col("one.most"), F.col("two.most"), percent)
     can_meet = (
         (F.col("one.key") == F.col("two.key"))
@@ -382,7 +409,7 @@ def similarity_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         & (F.greatest("one.place", "two.place") <= most_apart)
     )
     # Triangle: centres differ by at most the radii and what their members may differ by.
-    sketched = can_meet & _sketches_within("one", "two", F.col("one.radius") + F.col("two.radius") + most_apart)
+    sketched = can_meet & _sketches_within("one", "two", F.col("one.radius") + F.col("two.radius") + most_apart) & _not_met_before()
     found = [
         side.alias("one")
         .join(side.alias("two"), condition)

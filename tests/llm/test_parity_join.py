@@ -7,6 +7,7 @@ import pytest
 from data import DOC_DDL, documents, edited, prose
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from annofold.llm import parity_join as pj
 from annofold.llm.components import components
@@ -110,3 +111,26 @@ def test_components(spark):
             low[y] = x
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {d: root(d) for d in low}
+
+
+def test_families_of_many_shared_groups_are_paired_once(spark):
+    rng = random.Random(4)
+    rows = [(k - 100, c, c, 5 + k % 3, 90, 110 + k % 2, k % 7) for k in range(200) for c in range(40) if rng.random() < (0.9 if c < 30 else 0.02)]
+    families = pj._with_first_keys(spark.createDataFrame(rows, "key long, component long, centre long, radius long, least long, most long, place long"))
+    assert families.count() == len(rows)
+    spans = families.filter("centre = 3").select("radius", "least", "most", "place").distinct().collect()
+    assert [tuple(r) for r in spans] == [(7, 90, 111, 0)]
+    one, two = families.alias("one"), families.alias("two")
+    same = (F.col("one.key") == F.col("two.key")) & (F.col("one.centre") < F.col("two.centre"))
+    plain = one.join(two, same).select("one.centre", "two.centre").collect()
+    once = one.join(two, same & pj._not_met_before()).select("one.centre", "two.centre").collect()
+    assert {tuple(r) for r in once} == {tuple(r) for r in plain}
+    assert len(plain) > 50_000 and len(once) < 2 * len({tuple(r) for r in plain})
+
+
+def test_many_families_around_one_text(spark):
+    """A group whose members lie about as far apart as links reach, so that it falls into many families."""
+    rng = random.Random(8)
+    base = prose(rng, 220)
+    texts = [edited(rng, base, rng.choice([2, 4, 6, 7, 8])) for _ in range(180)] + [edited(rng, base, 40) for _ in range(40)]
+    assert answer(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")) == brute(list(enumerate(texts)))
