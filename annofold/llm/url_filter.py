@@ -25,8 +25,10 @@ from annofold.llm.components import components
 
 _CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # Link tags and their attributes.
-LINK_TAG = r"""(?i)<(?:link|meta)\b(?:(?:[^>"']++|"[^"]*+"|'[^']*+')*+>|[^>]*>)"""
-ATTRIBUTE = r"""[^\s"'<>/=]+\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+)"""
+# A start of a tag is given up at the next ``<`` outside quotes, a name at its first sign only is
+# tried: so a page of any length and form is read in time proportional to its length.
+LINK_TAG = r"""(?i)<(?:link|meta)\b(?:(?:[^<>"']++|"[^"]*+"|'[^']*+')*+>|[^<>]*+>)"""
+ATTRIBUTE = r"""(?<![^\s"'<>/=])[^\s"'<>/=]++\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>]++)"""
 REFRESH_URL = r"""(?i)\burl\s*=\s*["']?\s*([^"'>\s]+)"""
 SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:"
 #: Character references that an attribute's value may hold, in the order of decoding.
@@ -104,13 +106,14 @@ def resolved(target: Column, url: Column) -> Column:
     )
 
 
-def _with_rule(urls: DataFrame, rules: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``urls`` (keys, host, path) with the longest fitting rule and its verdict, or nulls."""
-    labels = F.split("host", r"\.")
-    ends = F.transform(
-        F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")
-    )
-    tried = urls.withColumn("r_host", F.explode(ends))
+def _with_rule(urls: DataFrame, rules: DataFrame, sizes: Sequence[int], keys: Sequence[str]) -> DataFrame:
+    """``urls`` (keys, host, path) with the longest fitting rule and its verdict, or nulls.
+
+    ``sizes``: numbers of labels that hosts of rules have; only such ends of a host are tried.
+    """
+    labels = F.length("host") - F.length(F.replace("host", F.lit("."), F.lit(""))) + 1
+    ends = F.array_compact(F.array(*(F.when(labels >= n, F.substring_index("host", ".", -n)) for n in sizes)))
+    tried = urls.withColumn("r_host", F.explode_outer(ends))
     fits = tried.join(rules, "r_host", "left").withColumn(
         "fit", F.when(F.col("path").startswith(F.col("r_path")), F.struct(F.length("r_rule").alias("size"), "r_rule", "r_verdict"))
     )
@@ -128,8 +131,8 @@ def filter_urls(
     edges. Without a rule and without a decision in its component a URL is allowed. Null urls
     and urls without ``://`` have an empty host and path, no rule and no aliases; a null html
     has no links. Every canonical link and meta refresh counts, with any order and quoting of
-    attributes and the character references of ``REFERENCES``, and relative targets are
-    resolved against the page's url (a base tag is not read). Equal rows are judged alike; an empty table gives none. Columns beside
+    attributes and the character references of ``REFERENCES`` (a tag ends at a ``<`` outside
+    quotes), and relative targets are resolved against the page's url (a base tag is not read). Equal rows are judged alike; an empty table gives none. Columns beside
     page_id, url and html are not read.
     """
     spark = pages.sparkSession
@@ -137,6 +140,7 @@ def filter_urls(
         [(r[: r.index("/")], r[r.index("/") :], r, v) for r, v in rules],
         "r_host string, r_path string, r_rule string, r_verdict string",
     )
+    sizes = sorted({r[: r.index("/")].count(".") + 1 for r, _ in rules}) or [1]
     html = F.col("html").cast("string")
     chosen = durable(
         pages.select(
@@ -154,7 +158,7 @@ def filter_urls(
     targets = targets.filter(F.locate("://", "url") > 0).filter(F.locate("://", "target") > 0)
     known = urls.union(targets.select("url")).union(targets.select("target")).distinct()
     judged = durable(
-        _with_rule(known.select("url", host.alias("host"), path.alias("path")), listed, ["url"]).withColumn(
+        _with_rule(known.select("url", host.alias("host"), path.alias("path")), listed, sizes, ["url"]).withColumn(
             "node", F.when(F.col("host") != "", node_of(F.col("url")))
         )
     )

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import pytest
+
 from annofold.llm.queries import ORACLE_SQL, URL_RULES
 from annofold.llm.url_filter import filter_urls
 
@@ -100,3 +102,29 @@ def test_every_spelling_of_a_link(spark, duck):
     assert got == {**{r[0]: "block" for r in rows}, 70: "allow"}
     want = duck(ORACLE_SQL["op4_url_filter"], out.columns, pages=pages.toPandas())
     assert sorted((tuple(r) for r in out.collect()), key=repr) == want
+
+
+@pytest.mark.parametrize(
+    "html, host",
+    [
+        ('<meta "' * 150_000, "a.org"),
+        ("<link '" * 80_000 + '"' * 400_000, "a.org"),
+        ("<link rel=canonical " + "x" * 1_000_000, "a.org"),
+        ("<link rel=canonical " + "x" * 1_000_000 + ">", "a.org"),
+        ("<meta \"'" * 120_000, "a.org"),
+        ("<link canonical " + "a= " * 300_000 + ">", "a.org"),
+        ("", "a." * 50_000 + "example.com"),
+        ("", "." * 100_000 + "net"),
+    ],
+)
+def test_hostile_pages_take_seconds(spark, html, host):
+    import time
+
+    from annofold.llm.queries import URL_RULES
+
+    frame = spark.createDataFrame([(1, f"http://{host}/en/x", html)], "page_id long, url string, html string")
+    filter_urls(frame.limit(0), URL_RULES).collect()  # plans are compiled
+    began = time.perf_counter()
+    (row,) = filter_urls(frame, URL_RULES).collect()
+    assert time.perf_counter() - began < 5 + 3  # a plain page takes up to three
+    assert row["host"] == host and row["verdict"] == ("block" if host.endswith("example.com") else "allow")
