@@ -1,9 +1,9 @@
 """Toxicity: a logistic classifier with counterfactual regularisation.
 
-A text is the set of its words and of their stems (the first 3 to 6 letters); a name of
-a group (``IDENTITY_TERMS``) is its whole word alone. The features are all names, and of the
+A text is the set of its words and of their stems (the first 3 to 6 letters). The features are
+the names of groups (``IDENTITY_TERMS``) and their stems, which other words share, and of all
 other words and stems those whose share of toxic texts is significantly raised or lowered
-(log-likelihood ratio over all fitted texts).
+(log-likelihood ratio over all fitted texts, names left out).
 
 Counterfactuals of a labelled text, which must not change its score:
 
@@ -11,8 +11,10 @@ Counterfactuals of a labelled text, which must not change its score:
 * that name swapped for another one of its list;
 * where the text has names itself: all of them taken out, and each swapped.
 
-The loss charges the squared change of the logit, so that naming a group can neither raise
-nor lower a score, whoever is named and however the names are spread over the labels:
+The loss charges the squared change of the logit, over all features that the text with and the
+text without the name do not share. So naming a group can neither raise nor lower a score,
+whoever is named, however the names are spread over the labels, and whatever words that begin
+like a name have taught their stems:
 
     sum log-loss + l2 / 2 |w|^2 + swap / 2 * sum (w . (x_counterfactual - x))^2
 
@@ -77,12 +79,8 @@ _NAMES = sorted(_SWAP)
 
 
 def features_of(words: set[str]) -> set[str]:
-    """Whole words (marked ``$``) and the stems of those that name no group."""
-    out = {w + "$" for w in words}
-    plain = words - _SWAP.keys()
-    for k in STEMS:
-        out |= {w[:k] for w in plain if len(w) >= k}
-    return out
+    """Whole words (marked ``$``) and stems."""
+    return {w + "$" for w in words} | {w[:k] for w in words for k in STEMS if len(w) >= k}
 
 
 def words_of(text: str) -> set[str]:
@@ -90,12 +88,13 @@ def words_of(text: str) -> set[str]:
 
 
 def counterfactuals(words: set[str], choice: int) -> list[tuple[set[str], set[str]]]:
-    """Pairs (names before, names after) of the text's counterfactuals; ``choice`` picks the name put in."""
+    """Pairs (words before, words after) of the text's counterfactuals; ``choice`` picks the name put in."""
     own = words & _SWAP.keys()
+    plain = words - own
     name = _NAMES[choice % len(_NAMES)]
-    pairs: list[tuple[set[str], set[str]]] = [(set(), {name}), ({name}, {_SWAP[name]})]
+    pairs = [(plain, plain | {name}), (plain | {name}, plain | {_SWAP[name]})]
     if own:
-        pairs += [(own, set()), (own, {_SWAP[w] for w in own})]
+        pairs += [(words, plain), (words, plain | {_SWAP[w] for w in own})]
     return pairs
 
 
@@ -116,7 +115,7 @@ class ToxicityModel:
     intercept: float
 
     def by_start(self) -> dict[str, list[str]]:
-        """Features by their first four letters, for a quick look-up."""
+        """Features by their first three letters, for a quick look-up."""
         out: dict[str, list[str]] = {}
         for f in self.weights:
             out.setdefault(f.rstrip("$")[: STEMS[0]], []).append(f)
@@ -126,7 +125,7 @@ class ToxicityModel:
         hit: set[str] = set()
         for w in words:
             for f in starts.get(w[: STEMS[0]], ()):
-                if (w + "$" == f) if f[-1] == "$" else w.startswith(f) and w not in _SWAP:
+                if (w + "$" == f) if f[-1] == "$" else w.startswith(f):
                     hit.add(f)
         z = self.intercept + sum(self.weights[f] for f in sorted(hit))
         return float(1 / (1 + np.exp(-np.clip(z, -40, 40))))
@@ -225,7 +224,7 @@ def fit_counterfactual(sample: DataFrame, l2: float = 0.3, swap: float = 10.0) -
     counted = rows.mapInArrow(_counts, "feature string, n long, pos long").groupBy("feature")
     counted = counted.agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
     telling = counted.filter(evidence(F.col("n"), F.col("pos"), n, toxic) >= LEAST_EVIDENCE).select("feature")
-    names = sorted(r["feature"] for r in telling.collect()) + [t + "$" for t in _NAMES]
+    names = sorted({r["feature"] for r in telling.collect()} | features_of(set(_NAMES)))
     place = {f: k for k, f in enumerate(names)}
 
     def encode(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,8 +234,8 @@ def fit_counterfactual(sample: DataFrame, l2: float = 0.3, swap: float = 10.0) -
             found = [sorted(place[f] for f in features_of(w) & place.keys()) for w in words]
             pairs = [
                 [
-                    [sorted(place[t + "$"] for t in before), sorted(place[t + "$"] for t in after)]
-                    for before, after in counterfactuals(w, zlib.crc32(t.encode()))
+                    [sorted(place[f] for f in one & place.keys()) for one in (before - after, after - before)]
+                    for before, after in ((features_of(b), features_of(a)) for b, a in counterfactuals(w, zlib.crc32(t.encode())))
                 ]
                 for w, t in zip(words, texts, strict=True)
             ]

@@ -96,6 +96,27 @@ def test_registered_input_has_counterfactual_pairs(spark):
     assert {"woman$", "mann$"} <= fitted.model.weights.keys()
 
 
+@needs_tables
+def test_counterfactuals_act_on_the_registered_input(spark):
+    """The penalty changes the fit, and what a name does to a held-out text, not how well toxic texts are found."""
+    import zlib
+
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    sample = fit_sample(docs, labels, "toxic", 4, 2)
+    held = docs.join(labels.filter("toxic IS NOT NULL"), "doc_id").filter("crc32(cast(cast(doc_id as string) as binary)) % 4 = 2").select("text", "toxic").toPandas()
+    words = [toxicity.words_of(t or "") for t in held["text"]]
+    changes, weights = {}, {}
+    for swap in (0.0, 10.0):
+        model = toxicity.fit_counterfactual(sample, swap=swap).model
+        starts, weights[swap] = model.by_start(), model.weights
+        logit = lambda w, m=model, s=starts: (lambda p: np.log(p / (1 - p)))(m.score(w, s))
+        pairs = [p for w, t in zip(words, held["text"], strict=True) for p in toxicity.counterfactuals(w, zlib.crc32((t or "").encode()))]
+        changes[swap] = np.mean([abs(logit(after) - logit(before)) for before, after in pairs])
+        assert auc(np.array([model.score(w, starts) for w in words]), held["toxic"].to_numpy()) > 0.95
+    assert max(abs(weights[10.0][f] - weights[0.0][f]) for f in weights[0.0]) > 0.01
+    assert 0 < changes[10.0] < changes[0.0] / 10
+
+
 def test_toxicity_scores_equal_plain_ones(spark):
     """Every score of a small table against the model's weights summed by hand."""
     docs, labels = toy(spark)
