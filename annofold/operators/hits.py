@@ -66,6 +66,17 @@ def _standard(hits: DataFrame) -> DataFrame:
     return out.filter("query_id IS NOT NULL AND query_id != '' AND target_id IS NOT NULL AND target_id != ''")
 
 
+def exact_parts(column: Column) -> tuple[Column, Column]:
+    """A double as two multiples of powers of two, whose sums are exact in any order.
+
+    Multiples of 2^-26 add up exactly below 2^27, and the rests, multiples of 2^-66 below 2^-26,
+    over 8,000 rows and more; beyond that the sums are as good as those of plain doubles. What is
+    left out is less than 2^-66.
+    """
+    coarse = F.rint(column * 2.0**26) / 2.0**26
+    return coarse, F.rint((column - coarse) * 2.0**66) / 2.0**66
+
+
 #: Columns that weights can rest on, in order of preference.
 BASES = ("score", "bitscore", "pident", "evalue")
 
@@ -171,24 +182,26 @@ def aggregate_hit_labels(
 
     The score is 1 - prod(1 - weight) over the query's hits whose target has the label. Each
     row of a repeated (query, target) pair counts in the product, while n_hits counts
-    targets. The rows of a pair are combined before the join with labels, so the join and the
+    targets. Logarithms are summed in exact parts, so labels of the same hits have the same score
+    in whatever order rows come, and a cut of equal scores goes by term. The rows of a pair are combined before the join with labels, so the join and the
     last aggregation see each pair once. Targets that a large share of the hits has are dealt
     to several tasks (``skew_join``).
     """
     require_columns(hits, ("query_id", "target_id", "hit_weight"), "hits")
     weight = clip_unit(F.coalesce(number(F.col("hit_weight")), F.lit(0.0)))
     usable = hits.withColumn("hit_weight", weight).filter(F.col("hit_weight") > min_weight)
-    miss = F.log(F.greatest(1.0 - F.col("hit_weight"), F.lit(LEAST_MISS)))
+    missed = limit_hits(usable, max_hits).withColumn("miss", F.log(F.greatest(1.0 - F.col("hit_weight"), F.lit(LEAST_MISS))))
+    coarse, fine = exact_parts(F.col("miss"))
     pairs = (
-        limit_hits(usable, max_hits)
+        missed
         .groupBy(F.col("query_id").cast("string").alias("query_id"), F.col("target_id").cast("string").alias("target_id"))
-        .agg(F.sum(miss).alias("log_miss"), F.max("hit_weight").alias("weight"))
+        .agg(F.sum(coarse).alias("coarse"), F.sum(fine).alias("fine"), F.max("hit_weight").alias("weight"))
     )
     carried = prepare_labels(labels).withColumnRenamed("entry_id", "target_id")
     return (
         skew_join(pairs, carried, "target_id", (("query_id",), ("term", "branch")), cell_rows)
         .groupBy(F.col("query_id").alias("entry_id"), "term", "branch")
-        .agg(F.sum("log_miss").alias("log_miss"), F.count(F.lit(1)).alias("n_hits"), F.max("weight").alias("best_hit_weight"))
+        .agg((F.sum("coarse") + F.sum("fine")).alias("log_miss"), F.count(F.lit(1)).alias("n_hits"), F.max("weight").alias("best_hit_weight"))
         .select("entry_id", "term", "branch", clip_unit(1.0 - F.exp("log_miss")).alias("score"), "n_hits", "best_hit_weight")
     )
 

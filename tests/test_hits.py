@@ -1,8 +1,11 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import add
 
 import pytest
+from pyspark.sql import functions as F
 
 from annofold.operators import hits as h
 
@@ -92,3 +95,32 @@ def test_an_entry_of_two_folds_meets_no_target_of_its_first(spark, rows):
     hits = spark.createDataFrame([("A", "B", 50.0), ("A", "C", 50.0)], "query_id string, target_id string, bitscore double")
     kept = h.filter_oof_hits(hits, folds)
     assert rows(kept, "query_id", "target_id", "query_fold", "target_fold") == [("A", "B", 0, 1)]
+
+
+def test_scores_do_not_depend_on_the_order_of_hits(spark):
+    """Labels of the same hits tie exactly, so the best of them is the first by term."""
+    weights_of = [((i * 7919) % 1000 + 0.5) / 1003 for i in range(40 * 15)]
+    some = [(f"q{i % 40}", f"t{i // 40}", w) for i, w in enumerate(weights_of)]
+    labels = spark.createDataFrame([(f"t{k}", t, "MF") for k in range(15) for t in ("T", "U")], "entry_id string, term string, branch string")
+    schema = "query_id string, target_id string, hit_weight double"
+    seen = []
+    for given, limit, cell_rows in ((some, 100, 5), (some[::-1], None, 1_000), (sorted(some, key=lambda r: r[2]), None, 7)):
+        got = h.aggregate_hit_labels(spark.createDataFrame(given, schema).coalesce(1), labels, limit, cell_rows=cell_rows)
+        scores = {(r["entry_id"], r["term"]): r["score"] for r in got.collect()}
+        assert len(scores) == 80 and all(scores[q, "T"] == scores[q, "U"] for q, _ in scores)
+        seen.append(scores)
+    assert seen[0] == seen[1] == seen[2]
+    expected = 1 - math.exp(sum(math.log(1 - w) for q, _, w in some if q == "q3"))
+    assert math.isclose(seen[0]["q3", "T"], expected, abs_tol=1e-15)
+
+
+def test_exact_parts_add_up_in_any_order(spark):
+    values = [math.log(1 - ((i * 7919) % 1000 + 0.5) / 1003) for i in range(500)]
+    orders = (values, values[::-1], sorted(values))
+    assert len({reduce(add, v) for v in orders}) > 1  # plain sums differ
+    sums = set()
+    for order in orders:
+        coarse, fine = h.exact_parts(F.col("x"))
+        df = spark.createDataFrame([(v,) for v in order], "x double").coalesce(1)
+        sums.add(df.agg((F.sum(coarse) + F.sum(fine)).alias("s")).first()["s"])
+    assert len(sums) == 1 and math.isclose(sums.pop(), math.fsum(values), rel_tol=1e-15)
