@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from annofold.schemas import BRANCH_TO_ASPECT, NAMESPACE_TO_BRANCH, RELATIONS, fail_if_any, mapped, require_columns
-from annofold.storage import broadcast_if_small, settled_with
+from annofold.storage import broadcast_if_small, dealt, settled_with
 
 # Reasons for which an edge is left out, in the order in which they are tried.
 DROP_REASONS = ("relation", "unknown_child", "unknown_parent", "unknown_branch", "cross_branch")
@@ -188,12 +188,13 @@ def closed_terms(terms: DataFrame, ancestors: DataFrame, alt_ids: DataFrame) ->
 def close_labels(labels: DataFrame, terms: DataFrame, ancestors: DataFrame, alt_ids: DataFrame) -> DataFrame:
     """Direct labels and all their ancestors: (entry_id, term, aspect, branch, is_direct, distance, n_sources).
 
-    The branch is the ontology's. Distinct labels are dealt by entry and meet the closed terms
-    of their own in one join, so what the join makes is combined where it is made. A label
+    The branch is the ontology's. Labels are dealt by entry, to tasks by their counted number, and
+    the distinct ones meet the closed terms of their own in one join, so what the join makes is combined where it is made. A label
     reaches a closed term once, so rows are counted, not distinct sources.
     """
     require_columns(labels, ("entry_id", "term", "branch"), "labels")
-    given = labels.select("entry_id", F.col("term").alias("source_term")).filter("entry_id IS NOT NULL").distinct().repartition("entry_id")
+    given = labels.select("entry_id", F.col("term").alias("source_term")).filter("entry_id IS NOT NULL")
+    given = dealt(given, labels.count(), "entry_id").distinct()
     rows = given.join(broadcast_if_small(closed_terms(terms, ancestors, alt_ids)), "source_term")
     return rows.groupBy("entry_id", F.col("closed").alias("term"), F.col("closed_branch").alias("branch")).agg(
         F.bool_or("is_direct").alias("is_direct"), F.min("distance").alias("distance"), F.count(F.lit(1)).alias("n_sources")

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: Rows (of about 100 bytes) up to which a side of a join is broadcast.
 BROADCAST_ROWS = 1_000_000
+#: Rows that a task takes where rows are dealt by a key.
+TASK_ROWS = 100_000
 
 _own: dict[str, str] = {}
 _written: dict[str, list[str]] = {}
@@ -68,3 +70,14 @@ def broadcast_if_small(df: DataFrame, bound: int = BROADCAST_ROWS) -> DataFrame:
     """``df``, settled, with a broadcast hint if it has at most ``bound`` rows; beyond that joins shuffle both sides."""
     held, seen = settled_with(df, F.count(F.lit(1)).alias("n"))
     return F.broadcast(held) if seen["n"] <= bound else held
+
+
+def dealt(df: DataFrame, rows: int, *by: str) -> DataFrame:
+    """``df``, of about ``rows`` rows, dealt by the columns ``by`` to tasks of about ``TASK_ROWS`` each.
+
+    A stated number of tasks, which AQE does not merge: it merges by the bytes of a shuffle, and joins
+    and hash tables behind it may need a hundred times as many. Aggregations, windows and broadcast
+    joins by keys that hold ``by`` follow without another shuffle.
+    """
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // TASK_ROWS))
+    return df.repartition(tasks, *by)
