@@ -8,13 +8,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from annofold.functions import clip_unit, strict_unit
 from annofold.operators.metrics import score_branches
 from annofold.schemas import BRANCHES, PREDICTION_COLUMNS, fail_if_any, require_columns
-from annofold.storage import broadcast_if_small
+from annofold.storage import broadcast_if_small, dealt
 
 
 def clip_scores(df: DataFrame, column: str = "score") -> DataFrame:
@@ -23,12 +23,26 @@ def clip_scores(df: DataFrame, column: str = "score") -> DataFrame:
     return df.withColumn(column, strict_unit(F.col(column)))
 
 
-def collapse_scores(predictions: DataFrame) -> DataFrame:
-    """The best score of each (entry_id, term, branch), clipped; rows lacking a key or a score go."""
+def _counted(predictions: DataFrame, rows: int | None) -> int:
+    return predictions.count() if rows is None else rows
+
+
+def collapse_scores(predictions: DataFrame, rows: int | None = None) -> DataFrame:
+    """The best score of each (entry_id, term, branch), clipped; rows lacking a key or a score go.
+
+    Dealt by entry to tasks by the number of rows, which is counted unless ``rows`` states it.
+    """
+    return _best(dealt(_keyed(predictions), _counted(predictions, rows), "entry_id"))
+
+
+def _keyed(predictions: DataFrame) -> DataFrame:
     require_columns(predictions, PREDICTION_COLUMNS, "predictions")
     keys = [F.col(c).cast("string").alias(c) for c in PREDICTION_COLUMNS[:3]]
-    chosen = predictions.select(*keys, strict_unit(F.col("score")).alias("score")).na.drop()
-    return chosen.groupBy(*PREDICTION_COLUMNS[:3]).agg(F.max("score").alias("score"))
+    return predictions.select(*keys, strict_unit(F.col("score")).alias("score")).na.drop()
+
+
+def _best(keyed: DataFrame) -> DataFrame:
+    return keyed.groupBy(*PREDICTION_COLUMNS[:3]).agg(F.max("score").alias("score"))
 
 
 def prune_top_k(predictions: DataFrame, top_k: int | None, by: Sequence[str] = ("entry_id", "branch")) -> DataFrame:
@@ -125,26 +139,28 @@ def _usable(predictions: DataFrame) -> DataFrame:
     return chosen.filter("entry_id IS NOT NULL AND term IS NOT NULL")
 
 
-def canonical_predictions(predictions: DataFrame, terms: DataFrame) -> DataFrame:
+def canonical_predictions(predictions: DataFrame, terms: DataFrame, rows: int | None = None) -> DataFrame:
     """Predictions of known terms under the term's own branch, collapsed to the best score."""
-    named = _usable(predictions).join(_terms(terms), "term").select("entry_id", "term", F.col("term_branch").alias("branch"), "score")
-    return collapse_scores(named)
+    given = dealt(_usable(predictions), _counted(predictions, rows), "entry_id")
+    named = given.join(broadcast_if_small(_terms(terms)), "term")
+    return _best(_keyed(named.select("entry_id", "term", F.col("term_branch").alias("branch"), "score")))
 
 
-def repair_hierarchy(predictions: DataFrame, ancestors: DataFrame, terms: DataFrame) -> DataFrame:
+def repair_hierarchy(predictions: DataFrame, ancestors: DataFrame, terms: DataFrame, rows: int | None = None) -> DataFrame:
     """Every ancestor of a predicted term scores at least as much as the term.
 
-    ``ancestors`` (term, ancestor, ancestor_branch). A term's best score is dealt by entry and
-    meets the term and its ancestors in one join, whose rows are combined where they are made.
+    ``ancestors`` (term, ancestor, ancestor_branch). Rows are dealt by entry, to tasks by their number
+    (counted unless ``rows`` states it). A term's best score meets the term and its ancestors in
+    one join, whose rows are combined where they are made.
     """
     known = _terms(terms)
     own = known.select(F.col("term").alias("child"), F.col("term").alias("closed"), F.col("term_branch").alias("branch"))
     up = ancestors.select(F.col("term").alias("child"), F.col("ancestor").cast("string").alias("closed"), F.col("ancestor_branch").alias("branch"))
     # Ancestors of known terms only; the table has as many rows as the ontology.
     lifts = broadcast_if_small(own.unionByName(up.join(known.select(F.col("term").alias("child")), "child", "left_semi")).distinct())
-    base = _usable(predictions).groupBy("entry_id", "term").agg(F.max("score").alias("score")).repartition("entry_id")
+    base = dealt(_usable(predictions), _counted(predictions, rows), "entry_id").groupBy("entry_id", "term").agg(F.max("score").alias("score"))
     lifted = base.join(lifts, F.col("term") == F.col("child")).select("entry_id", F.col("closed").alias("term"), "branch", "score")
-    return collapse_scores(lifted)
+    return _best(_keyed(lifted))
 
 
 def repair_by_branch(
@@ -155,12 +171,12 @@ def repair_by_branch(
     Predictions under another branch than their term's go. One plan for all branches.
     """
     stated = predictions.join(
-        _terms(terms).withColumnRenamed("term", "known"),
+        broadcast_if_small(_terms(terms).withColumnRenamed("term", "known")),
         (F.col("term") == F.col("known")) & (F.col("branch") == F.col("term_branch")),
         "left_semi",
     )
     inside = ancestors.filter("term_branch = ancestor_branch")
-    return prune_top_k(repair_hierarchy(stated, inside, terms), top_k)
+    return prune_top_k(repair_hierarchy(stated, inside, terms, predictions.count()), top_k)
 
 
 def blend_mean(frames: Sequence[DataFrame], terms: DataFrame, weights: Sequence[float] | None = None) -> DataFrame:
@@ -172,13 +188,15 @@ def blend_mean(frames: Sequence[DataFrame], terms: DataFrame, weights: Sequence[
         raise ValueError("weights and tables differ in number")
     if any(w < 0 for w in weights) or sum(weights) <= 0:
         raise ValueError("weights must not be negative, nor all 0")
-    parts = [
-        canonical_predictions(df, terms).withColumn("score", F.col("score") * float(w))
-        for df, w in zip(frames, weights, strict=True)
-    ]
-    total = float(sum(weights))
-    summed = reduce(DataFrame.unionByName, parts).groupBy("entry_id", "term", "branch").agg(F.sum("score").alias("score"))
-    return summed.withColumn("score", clip_unit(F.col("score") / total))
+    parts = [_usable(df).filter("score IS NOT NULL").withColumn("source", F.lit(k)) for k, df in enumerate(frames)]
+    # One shuffle for all tables; the best score of each, then their sum in the order of the tables.
+    given = dealt(reduce(DataFrame.unionByName, parts), sum(df.count() for df in frames), "entry_id")
+    named = given.join(broadcast_if_small(_terms(terms)), "term").filter("term_branch IS NOT NULL")
+    best = named.groupBy("entry_id", "term", F.col("term_branch").cast("string").alias("branch")).agg(
+        *(F.max(F.when(F.col("source") == k, F.col("score"))).alias(f"best_{k}") for k in range(len(frames)))
+    )
+    summed = reduce(Column.__add__, (F.coalesce(F.col(f"best_{k}"), F.lit(0.0)) * float(w) for k, w in enumerate(weights)))
+    return best.select("entry_id", "term", "branch", clip_unit(summed / float(sum(weights))).alias("score"))
 
 
 def scaled_source(predictions: DataFrame, scale: float = 1.0, top_k: int | None = None) -> DataFrame:
@@ -200,4 +218,4 @@ def blend_max(
     """The larger one of two scaled scores per key."""
     left = scaled_source(homology, homology_scale)
     right = scaled_source(supervised, supervised_scale, supervised_top_k)
-    return collapse_scores(left.unionByName(right))
+    return collapse_scores(left.unionByName(right), homology.count() + supervised.count())
