@@ -300,7 +300,7 @@ def dom11_blend_max(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dom12_calibrate(spark: SparkSession, sf_dir: str) -> DataFrame:
     halved = ad.predictions(spark, sf_dir).withColumn("score", F.col("score") / 2)
     calibration = pred.fit_calibration(halved, ad.truth(spark, sf_dir))
-    return rounded(pred.collapse_scores(pred.apply_calibration(halved, calibration, validate=False)), "score")
+    return rounded(pred.collapse_scores(pred.apply_calibration(halved, calibration, validate=False), halved.count()), "score")
 
 
 # Metrics
@@ -344,8 +344,10 @@ def _submission_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def dom17_submission(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = ad.folds_of_orders(spark, sf_dir)
-    given = pred.collapse_scores(ad.predictions(spark, sf_dir))
-    return rounded(sub.shape_submission(given, entries, _submission_terms(spark, sf_dir), 2, 3), "score")
+    stated = ad.predictions(spark, sf_dir)
+    rows = stated.count()
+    given = pred.collapse_scores(stated, rows)
+    return rounded(sub.shape_submission(given, entries, _submission_terms(spark, sf_dir), 2, 3, rows), "score")
 
 
 @query
