@@ -66,6 +66,11 @@ def _standard(hits: DataFrame) -> DataFrame:
     return out.filter("query_id IS NOT NULL AND query_id != '' AND target_id IS NOT NULL AND target_id != ''")
 
 
+def _unit(column: Column) -> Column:
+    """``clip_unit`` of a column without nulls, which it names once."""
+    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), column))
+
+
 def exact_parts(column: Column) -> tuple[Column, Column]:
     """A double as two multiples of powers of two, whose sums are exact in any order.
 
@@ -104,6 +109,8 @@ def add_hit_weights(hits: DataFrame, basis: str | None = None) -> DataFrame:
         # Only columns that the table has can have values; duplicates do not matter here.
         named = any(first_present(hits.columns, HIT_ALIASES[c]) for c in BASES)
         basis = weight_basis(_standard(hits)) if named else "none"
+    # Bases and coverage are never null, so they are limited by ``_unit``: each is stated once and the
+    # filter on the weight stays a short expression, also where it is pushed below the distinct rows.
     if basis == "bitscore":
         # An aggregation and a join, not a window: a query with a very large share of the
         # hits is combined before the shuffle and can be split in the join. Duplicates do not
@@ -122,7 +129,7 @@ def add_hit_weights(hits: DataFrame, basis: str | None = None) -> DataFrame:
     else:
         raise ValueError(f"unknown basis of weights: {basis}")
     coverage = F.sqrt(as_fraction(F.col("qcov"), 1.0) * as_fraction(F.col("tcov"), 1.0))
-    weighted = standard.withColumn("hit_weight", clip_unit(clip_unit(base) * coverage))
+    weighted = standard.withColumn("hit_weight", _unit(_unit(base) * coverage))
     return weighted.filter("hit_weight > 0").select(*HIT_COLUMNS, "hit_weight")
 
 
@@ -188,7 +195,7 @@ def aggregate_hit_labels(
     to several tasks (``skew_join``).
     """
     require_columns(hits, ("query_id", "target_id", "hit_weight"), "hits")
-    weight = clip_unit(F.coalesce(number(F.col("hit_weight")), F.lit(0.0)))
+    weight = _unit(F.coalesce(number(F.col("hit_weight")), F.lit(0.0)))
     usable = hits.withColumn("hit_weight", weight).filter(F.col("hit_weight") > min_weight)
     missed = limit_hits(usable, max_hits).withColumn("miss", F.log(F.greatest(1.0 - F.col("hit_weight"), F.lit(LEAST_MISS))))
     coarse, fine = exact_parts(F.col("miss"))

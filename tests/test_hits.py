@@ -124,3 +124,9 @@ def test_exact_parts_add_up_in_any_order(spark):
         df = spark.createDataFrame([(v,) for v in order], "x double").coalesce(1)
         sums.add(df.agg((F.sum(coarse) + F.sum(fine)).alias("s")).first()["s"])
     assert len(sums) == 1 and math.isclose(sums.pop(), math.fsum(values), rel_tol=1e-15)
+
+
+def test_a_weight_states_its_basis_once(spark):
+    df = spark.createDataFrame([("q", "t", 1e-50, 0.9, 0.8)], "qseqid string, sseqid string, evalue double, qcov double, tcov double")
+    plan = h.add_hit_weights(df, "evalue")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("log10") <= 2  # the filter and the column
