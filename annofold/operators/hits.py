@@ -14,7 +14,7 @@ from annofold.functions import as_fraction, clip_unit, number
 from annofold.operators.predictions import prune_top_k
 from annofold.operators.skew import CELL_ROWS, skew_join
 from annofold.schemas import BRANCHES, HIT_COLUMNS, not_missing, require_columns, with_branch
-from annofold.storage import broadcast_if_small
+from annofold.storage import broadcast_if_small, settled
 
 # Accepted names of the hit columns, in order of preference.
 HIT_ALIASES: dict[str, tuple[str, ...]] = {
@@ -216,16 +216,19 @@ def aggregate_hit_labels(
 def oof_transfer(
     hits: DataFrame, labels: DataFrame, folds: DataFrame, max_hits: int | None = 100, min_weight: float = 0.0
 ) -> tuple[DataFrame, DataFrame]:
-    """(out-of-fold hits, predictions of the library form)."""
-    kept = filter_oof_hits(hits, folds)
+    """(out-of-fold hits, settled, and predictions of the library form)."""
+    kept = settled(filter_oof_hits(hits, folds))
     return kept, aggregate_hit_labels(kept, labels, max_hits, min_weight)
 
 
 def test_transfer(
     hits: DataFrame, labels: DataFrame, exclude_self: bool = True, max_hits: int | None = 100, min_weight: float = 0.0
 ) -> tuple[DataFrame, DataFrame]:
-    """(hits on labelled targets, predictions of the library form)."""
-    kept = filter_test_hits(hits, labels, exclude_self)
+    """(hits on labelled targets, predictions of the library form).
+
+    The hits are settled, since both results and all that is counted over them rest on the same joins.
+    """
+    kept = settled(filter_test_hits(hits, labels, exclude_self))
     return kept, aggregate_hit_labels(kept, labels, max_hits, min_weight)
 
 

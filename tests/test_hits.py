@@ -130,3 +130,10 @@ def test_a_weight_states_its_basis_once(spark):
     df = spark.createDataFrame([("q", "t", 1e-50, 0.9, 0.8)], "qseqid string, sseqid string, evalue double, qcov double, tcov double")
     plan = h.add_hit_weights(df, "evalue")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.lower().count("log10") <= 2  # the filter and the column
+
+
+def test_transfer_reads_its_hits_once(spark):
+    labels = spark.createDataFrame([("b", "T", "MF")], "entry_id string, term string, branch string")
+    df = spark.createDataFrame([("a", "b", 50.0, 1.0, 1.0)], HITS)
+    kept, _ = h.test_transfer(df, labels)
+    assert kept.count() == 1 and kept.inputFiles()
