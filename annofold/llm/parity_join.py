@@ -30,7 +30,8 @@ and b shingles is at most T = (a + b) * (100 - PERCENT) // (100 + PERCENT).
 * In a group of more than ``LARGE`` families, and among the opened members, each side carries a
   short parity sketch of all its shingles: a pair whose sketches differ in more bits than the
   sets may is dropped inside the join, before it is a row.
-* Verification intersects the shingle hashes.
+* Verification intersects the shingle hashes. Pairs are first compared by their sketches, so only sets that
+  these do not tell apart are moved.
 """
 
 from __future__ import annotations
@@ -251,14 +252,15 @@ _SKETCH = [f"s{k}" for k in range(SKETCH_WORDS)]
 
 
 def _set_batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, h, s0, s1, ...) from (doc, text): shingle hashes and sketch."""
+    """(doc, n, h, s0, s1, ...) from (doc, text): size, shingle hashes and sketch."""
     for batch in it:
         sets = [shingle_set(t) for t in utf8_column(batch, 1)]
         words = np.array([parity_sketch(s) for s in sets], np.int64).reshape(len(sets), SKETCH_WORDS)
         ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
         hashes = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.uint64), *sets]).view(np.int64)))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), hashes, *(pa.array(words[:, k]) for k in range(SKETCH_WORDS))], ["doc", "h", *_SKETCH]
+            [batch.column(0), pa.array(np.diff(ends).astype(np.int64)), hashes, *(pa.array(words[:, k]) for k in range(SKETCH_WORDS))],
+            ["doc", "n", "h", *_SKETCH],
         )
 
 
@@ -278,11 +280,22 @@ def _may_link(a: Column, b: Column, place_a: Column, place_b: Column, percent: i
     return near & (F.greatest(place_a, place_b) <= _differ(a, b, percent))
 
 
+def _near_by_sketch(pairs: DataFrame, sets: DataFrame, most: Column) -> DataFrame:
+    """Of ``pairs`` (x, y, ...) those whose sketches differ in at most ``most`` bits, of their columns and one.n, two.n.
+
+    Sets that differ in at most that many shingles are never lost; and of the pairs that go only sketches were moved.
+    """
+    sketches = sets.select("doc", "n", *_SKETCH)
+    met = pairs.join(sketches.alias("one"), F.col("x") == F.col("one.doc")).join(sketches.alias("two"), F.col("y") == F.col("two.doc"))
+    return met.filter(_sketches_within("one", "two", most)).select(*pairs.columns).distinct()
+
+
 def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(x, y, a, b, shared) of ``pairs`` (x, y), exactly. Few pairs go to the sets, not the sets to them."""
+    """(x, y, a, b, shared) of ``pairs`` (x, y), exactly. Few pairs go to the sets, not the sets to them; of these only those named move."""
     pairs = broadcast_if_small(pairs)
+    named = broadcast_if_small(pairs.select("y").distinct())
     left = sets.select(F.col("doc").alias("x"), F.col("h").alias("hx"))
-    right = sets.select(F.col("doc").alias("y"), F.col("h").alias("hy"))
+    right = sets.select(F.col("doc").alias("y"), F.col("h").alias("hy")).join(named, "y", "left_semi")
     # Pair by pair in the JVM: a batch of rows with two very long sets each would not fit a Python worker.
     return pairs.join(left, "x").join(right, "y").select(
         "x",
@@ -349,7 +362,11 @@ def similarity_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     own = classes.select(F.col("doc").alias("c_doc"), F.col("row").alias("c_row"))
     is_own = (F.col("doc_id") == F.col("c_doc")) & (F.col("row") == F.col("c_row"))
-    firsts = texts.join(own, is_own, "left_semi").select(F.col("doc_id").alias("doc"), "text")
+    # Copies are few beside the texts, and texts without words write no keys: so texts stay where they are.
+    copies = rows.filter("n > 0 AND doc_id IS NOT NULL").select("doc_id", "row").join(own, is_own, "left_anti").distinct()
+    copies = broadcast_if_small(copies.select(F.col("doc_id").alias("o_doc"), F.col("row").alias("o_row")))
+    is_copy = (F.col("doc_id") == F.col("o_doc")) & (F.col("row") == F.col("o_row"))
+    firsts = texts.filter("doc_id IS NOT NULL").join(copies, is_copy, "left_anti").select(F.col("doc_id").alias("doc"), "text")
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     keys = _keys(firsts, common, percent).repartition(parts, "key").sortWithinPartitions("key", "doc")
     met_type = "key long, doc long, n int, place int, pivot long, pivot_n int, pivot_place int"
@@ -364,11 +381,12 @@ def similarity_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     sets = durable(
         texts.join(own_inside, is_own, "left_semi")
         .select(F.col("doc_id").alias("doc"), "text")
-        .mapInArrow(tidy(_set_batches, 200), ", ".join(["doc long, h array<long>", *(f"{s} long" for s in _SKETCH)]))
+        .mapInArrow(tidy(_set_batches, 200), ", ".join(["doc long, n long, h array<long>", *(f"{s} long" for s in _SKETCH)]))
     )
     apart = F.col("a") + F.col("b") - 2 * F.col("shared")
+    starts = _near_by_sketch(best.select(F.col("doc").alias("x"), F.col("pivot").alias("y")), sets, _differ(F.col("one.n"), F.col("two.n"), percent))
     family = durable(
-        _measured(best.select(F.col("doc").alias("x"), F.col("pivot").alias("y")), sets)
+        _measured(starts, sets)
         .filter(_linked(percent))
         .select(F.col("x").alias("doc"), F.col("y").alias("centre"), apart.alias("radius"))
     )
@@ -424,7 +442,9 @@ def similarity_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         for side, condition in ((small, can_meet), (durable(large), sketched))
     ]
     wide = found[0].union(found[1]).groupBy("x", "y").agg(*(F.max(c).alias(c) for c in ("rx", "ry", "mx", "my")))
-    wide = durable(wide)
+    # No link of the centres, nor of members by the triangle inequality, is beyond this.
+    within_reach = F.col("rx") + F.col("ry") + _differ(F.greatest("mx", "one.n"), F.greatest("my", "two.n"), percent)
+    wide = durable(_near_by_sketch(wide, sets, within_reach))
     centres = durable(_measured(wide.select("x", "y"), sets))
     linked_centres = centres.filter(_linked(percent)).select(F.col("x").alias("u"), F.col("y").alias("v"))
     far = F.col("apart") > F.col("rx") + F.col("ry") + _differ(F.col("mx"), F.col("my"), percent)
@@ -439,7 +459,7 @@ def similarity_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     # the other family differ by at least |x - cy| - ry.
     alone = close.select(F.col("cx").alias("doc")).union(close.select("cy")).distinct()
     own_family = family.select("doc", "centre", "radius").union(alone.select("doc", F.col("doc").alias("centre"), F.lit(0).cast("long")))
-    members = durable(own_family.join(sets.select("doc", F.size("h").cast("long").alias("n"), *_SKETCH), "doc"))
+    members = durable(own_family.join(sets.select("doc", "n", *_SKETCH), "doc"))
     p, q, c = members.alias("p"), members.alias("q"), close.alias("c")
     reach = F.col("c.ry") + _differ(F.col("p.n"), F.greatest("p.n", "c.my"), percent)
     near_centre = (

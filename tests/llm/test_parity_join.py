@@ -134,3 +134,38 @@ def test_many_families_around_one_text(spark):
     base = prose(rng, 220)
     texts = [edited(rng, base, rng.choice([2, 4, 6, 7, 8])) for _ in range(180)] + [edited(rng, base, 40) for _ in range(40)]
     assert answer(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")) == brute(list(enumerate(texts)))
+
+
+def test_texts_are_not_shuffled_to_drop_copies(spark, monkeypatch):
+    """Of texts with copies one of each writes keys; the texts stay where they are, whatever their size."""
+    rng = random.Random(11)
+    texts = [prose(rng, 40) for _ in range(20)]
+    rows = [(k, t, None, None, None) for k, t in enumerate([*texts, *texts[:5], texts[0].upper(), "", None])]
+    plans, written, keys = [], [], pj._keys
+
+    def seen(firsts, common, percent):
+        plans.append(firsts._jdf.queryExecution().executedPlan().toString())
+        written.extend(r["doc"] for r in firsts.filter("text != ''").collect())
+        return keys(firsts, common, percent)
+
+    monkeypatch.setattr(pj, "_keys", seen)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert answer(spark.createDataFrame(rows, DOC_DDL)) == brute([r[:2] for r in rows])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted(written) == list(range(20))
+    assert "hashpartitioning" not in plans[0] and "SortMergeJoin" not in plans[0]
+
+
+def test_pairs_are_dropped_by_sketches_before_sets_move(spark):
+    """A pair whose sketches differ in too many bits goes; one that may link never does."""
+    rng = random.Random(12)
+    base = prose(rng, 200)
+    texts = spark.createDataFrame([(0, base), (1, edited(rng, base, 3)), (2, prose(rng, 200))], "doc long, text string")
+    sets = texts.mapInArrow(pj._set_batches, ", ".join(["doc long, n long, h array<long>", *(f"{s} long" for s in pj._SKETCH)]))
+    pairs = spark.createDataFrame([(0, 1), (0, 2), (1, 2)], "x long, y long")
+    near = pj._near_by_sketch(pairs, sets, pj._differ(F.col("one.n"), F.col("two.n"), 75))
+    assert [tuple(r) for r in near.collect()] == [(0, 1)]
+    assert [r["n"] for r in sets.orderBy("doc").collect()][0] == len(pj.shingle_set(base.encode()))
