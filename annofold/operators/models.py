@@ -24,7 +24,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.dataset as pa_ds
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annofold.schemas import PREDICTIONS
@@ -90,9 +90,28 @@ def _partials(sums: dict[int, np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array([slot] * len(keys), pa.int32()), values], ["key", "slot", "v"])
 
 
+def _times(rows: DataFrame) -> Column:
+    """How often a row counts: ``times`` of ``combined_rows``, else once."""
+    return F.col("times") if "times" in rows.columns else F.lit(1).cast("long").alias("times")
+
+
+def combined_rows(rows: DataFrame) -> DataFrame:
+    """``rows`` (embedding, fold, pos) with equal ones as one row and their number, times.
+
+    A fit reads its rows in every step, and equal rows add equal terms to its sums. One pass
+    estimates the different rows; where there are more than half as many as rows, combining them
+    would save little, and ``rows`` stay as they are.
+    """
+    alike = rows.select("embedding", F.array_sort("pos").alias("pos"), "fold")
+    n, different = alike.agg(F.count(F.lit(1)), F.approx_count_distinct(F.xxhash64("embedding", "pos", "fold"))).first()
+    if 2 * different > n:
+        return rows
+    return settled(alike.groupBy("embedding", "pos", "fold").agg(F.count(F.lit(1)).alias("times")), "fold")
+
+
 def scalers(vectors: DataFrame) -> Scalers:
     """Mean and population standard deviation (1 where it is 0) of each feature over the rows
-    of all folds but one, for each fold of ``vectors`` (embedding, fold), and over all rows.
+    of all folds but one, for each fold of ``vectors`` (embedding, fold, perhaps times), and over all rows.
 
     One pass sums every fold by itself; a held fold's sums are taken from the total.
     """
@@ -102,14 +121,14 @@ def scalers(vectors: DataFrame) -> Scalers:
         for batch in it:
             if not batch.num_rows:
                 continue
-            x, fold = _matrix(batch.column(0)), batch.column(1).to_numpy()
+            x, fold, times = _matrix(batch.column(0)), batch.column(1).to_numpy(), batch.column(2).to_numpy()
             for k in np.unique(fold).tolist():
-                own = x[fold == k]
-                part = np.concatenate([[len(own)], own.sum(axis=0), (own * own).sum(axis=0)])
+                own, often = x[fold == k], times[fold == k][:, None]
+                part = np.concatenate([[often.sum()], (own * often).sum(axis=0), (own * own * often).sum(axis=0)])
                 sums[k] = sums[k] + part if k in sums else part
         yield _partials(sums)
 
-    rows, tasks = one_task_a_core(vectors.select("embedding", "fold"))
+    rows, tasks = one_task_a_core(vectors.select("embedding", "fold", _times(vectors)))
     by_fold = tree_sum(rows.mapInArrow(run, "key long, slot int, v array<double>"), tasks)
     if not by_fold:
         raise ValueError("there are no vectors")
@@ -132,7 +151,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
 def gradient_partials(rows: DataFrame, w: np.ndarray, columns: pd.DataFrame, weights: np.ndarray, scale: Scalers) -> tuple[DataFrame, int]:
     """Rows (key, slot, v) that a pass makes, and the number of its tasks.
 
-    ``rows`` (embedding, fold, pos): pos lists the labels for which the row is positive.
+    ``rows`` (embedding, fold, pos, perhaps times): pos lists the labels for which the row is positive.
     ``columns`` (label, held_fold): what each column of ``w`` [features + 1, columns] is for;
     ``weights`` [2, columns]: what a negative and a positive row count. Each column sees the
     rows as ``scale`` standardises them for its held fold. v is a column's loss and gradient.
@@ -150,7 +169,7 @@ def gradient_partials(rows: DataFrame, w: np.ndarray, columns: pd.DataFrame, wei
         for batch in it:
             for at in range(0, batch.num_rows, 1000):
                 some = batch.slice(at, 1000)
-                raw, fold = _matrix(some.column(0)), some.column(1).to_numpy()
+                raw, fold, times = _matrix(some.column(0)), some.column(1).to_numpy(), some.column(3).to_numpy()
                 row = np.repeat(np.arange(len(raw)), some.column(2).value_lengths().to_numpy())
                 positive = some.column(2).flatten().to_numpy()
                 row, positive = row[positive <= label.max()], positive[positive <= label.max()]
@@ -164,13 +183,13 @@ def gradient_partials(rows: DataFrame, w: np.ndarray, columns: pd.DataFrame, wei
                     known = place[positive] >= 0
                     mine[row[known], place[positive[known]]] = 1
                     mine = mine[used]
-                    cost = np.where(mine > 0, weights[1, own], weights[0, own])
+                    cost = np.where(mine > 0, weights[1, own], weights[0, own]) * times[used][:, None]
                     z = x @ w[:, own]
                     loss[own] += (cost * (np.logaddexp(0, z) - mine * z)).sum(axis=0)
                     gradient[:, own] += x.T @ (cost * (1 / (1 + np.exp(-np.clip(z, -60, 60))) - mine))
         yield _partials({k: np.append(loss[k], gradient[:, k]) for k in range(w.shape[1])})
 
-    few, tasks = one_task_a_core(rows.select("embedding", "fold", "pos"))
+    few, tasks = one_task_a_core(rows.select("embedding", "fold", "pos", _times(rows)))
     return few.mapInArrow(run, "key long, slot int, v array<double>"), tasks
 
 
@@ -271,6 +290,7 @@ def fit_blocks(
 
     The labels of a row are in the layout once, as numbers; a block picks its own.
     """
+    rows = combined_rows(rows)
     scale = scalers(rows)
     for at in range(0, len(wanted), block):
         part = wanted.iloc[at : at + block].reset_index(drop=True)

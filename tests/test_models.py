@@ -140,3 +140,19 @@ def test_nothing_to_fit(spark, problem):
         ml.fit_heads(vectors.limit(0), folds, pairs, trainable)
     assert ml.predict_top_k(vectors, []).count() == 0
     assert isinstance(ml.training_rows(vectors, folds, pairs, trainable)[1], pd.DataFrame)
+
+
+def test_equal_rows_are_combined_for_the_passes_of_a_fit(spark):
+    """Sums over combined rows are those over all rows; rows that differ stay as they are."""
+    rows = [([float(k % 2), float(k % 3)], k % 2, [1, 0] if k % 4 else [0]) for k in range(120)]
+    many = spark.createDataFrame(rows, "embedding array<float>, fold int, pos array<int>").coalesce(1)
+    few = ml.combined_rows(many)
+    assert few.count() <= 12 and few.agg({"times": "sum"}).first()[0] == 120
+    one, two = ml.scalers(many), ml.scalers(few)
+    assert all(np.allclose(a, b) for k in one for a, b in zip(one[k], two[k], strict=True))
+    columns = pd.DataFrame({"label": [0, 1], "held_fold": [1, -1]})
+    w, weights = np.arange(6.0).reshape(3, 2) / 7, np.array([[0.5, 2.0], [1.5, 0.7]])
+    sums = [ml._gradients(r, w, columns, weights, one) for r in (many, few)]
+    assert all(np.allclose(a, b) for a, b in zip(*sums, strict=True))
+    apart = spark.createDataFrame([([float(k)], 0, [0]) for k in range(40)], "embedding array<float>, fold int, pos array<int>")
+    assert ml.combined_rows(apart) is apart
