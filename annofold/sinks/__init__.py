@@ -12,6 +12,9 @@ from urllib.parse import quote
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
 from pyarrow import fs as pa_fs
 from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -137,26 +140,42 @@ def write_manifest(df: DataFrame, path: str) -> str:
 def write_batches(batches: DataFrame, path: str, append: bool = False) -> str:
     """Batches as the files ``batch_id``.parquet in one folder, the paths that a manifest names.
 
-    Spark writes each batch as one file of a hidden folder; the files are then renamed, which
-    moves no data on a file system. ``append`` keeps the batches that are there.
+    The tasks write the files, each put in place at once, so the driver does nothing for a single
+    file. A task holds one batch at a time; one that is run again writes the same files again.
+    ``append`` keeps the batches that are there.
     """
     spark = batches.sparkSession
     columns = ("entry_id", "sequence", "sequence_length", "row_index", "batch_id", "row_index_in_batch")
-    hidden = f"{path.rstrip('/')}/_writing-{uuid.uuid4().hex}"
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path
-    folder = jvm_path(path)
-    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    root = path.rstrip("/")
     if not append:
-        store.delete(folder, True)
-    placed = batches.select(*columns, F.col("batch_id").alias("named")).repartition("named").sortWithinPartitions("named", "row_index")
-    placed.write.partitionBy("named").parquet(hidden)
-    for part in store.globStatus(jvm_path(f"{hidden}/named=*/part-*")):
-        name = part.getPath().getParent().getName().removeprefix("named=")
-        goal = jvm_path(f"{path.rstrip('/')}/{name}.parquet")
-        store.delete(goal, False)
-        if not store.rename(part.getPath(), goal):
-            raise OSError(f"cannot write {goal}")
-    store.delete(jvm_path(hidden), True)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+    def save(parts: list[pa.RecordBatch]) -> None:
+        buffer = io.BytesIO()
+        pq.write_table(pa.Table.from_batches(parts), buffer)
+        _write_bytes(f"{root}/{parts[0].column('batch_id')[0].as_py()}.parquet", buffer.getvalue())
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        done = 0
+        for rows in it:
+            if not rows.num_rows:
+                continue
+            ids = rows.column("batch_id")
+            new = np.flatnonzero(pc.not_equal(ids[1:], ids[:-1]).to_numpy(zero_copy_only=False)) + 1
+            for at, end in zip([0, *new], [*new, rows.num_rows], strict=True):
+                if held and held[0].column("batch_id")[0] != ids[int(at)]:
+                    save(held)
+                    held, done = [], done + 1
+                held.append(rows.slice(int(at), int(end - at)))
+        if held:
+            save(held)
+            done += 1
+        yield pa.RecordBatch.from_arrays([pa.array([done], pa.int64())], ["written"])
+
+    placed = batches.select(*columns).repartition("batch_id").sortWithinPartitions("batch_id", "row_index")
+    placed.mapInArrow(run, "written long").agg(F.sum("written")).collect()
     return path
 
 
@@ -172,7 +191,9 @@ def _write_bytes(path: str, content: bytes) -> None:
     """Put a whole file in place at once, in any store that Arrow knows."""
     store, inner = arrow_store(path)
     store.create_dir(inner.rsplit("/", 1)[0], recursive=True)
-    part = f"{inner}.{uuid.uuid4().hex}.part"
+    # A hidden name: a stream may read the folder meanwhile.
+    folder, name = inner.rsplit("/", 1)
+    part = f"{folder}/_{name}.{uuid.uuid4().hex}.part"
     with store.open_output_stream(part) as out:
         out.write(content)
     store.move(part, inner)

@@ -166,3 +166,20 @@ def test_heads(spark):
         assert np.allclose(h.mean, own.mean(axis=0), atol=1e-5) and np.allclose(h.std, own.std(axis=0), atol=1e-5)
     top = ml.predict_top_k(vectors, [head], top_k=1, min_score=0.5)
     assert top.count() <= 120 and top.select("entry_id").distinct().count() == top.count()
+
+
+def test_tasks_put_batch_files_in_place(spark, tmp_path, monkeypatch):
+    """The driver renames no file: it only clears the folder; each batch is one file with its rows in order."""
+    rows = [(f"e{k:03d}", "ACDE" * (k % 5 + 1)) for k in range(30)]
+    normalized = e.normalize_sequences(spark.createDataFrame(rows, "entry_id string, sequence string"))
+    batches = e.batches_of(normalized, e.BatchConfig("train", str(tmp_path), 7)).persist()
+    batches.count()
+    told = []
+    write = type(batches.write).parquet
+    monkeypatch.setattr(type(batches.write), "parquet", lambda self, path, *a, **k: told.append(path) or write(self, path, *a, **k))
+    sinks.write_batches(batches, str(tmp_path / "b"))
+    assert told == []
+    assert sorted(p.name for p in (tmp_path / "b").iterdir()) == [f"batch_{k:05d}.parquet" for k in range(5)]
+    for k in range(5):
+        got = [tuple(r) for r in spark.read.parquet(str(tmp_path / f"b/batch_{k:05d}.parquet")).select("entry_id", "sequence", "row_index_in_batch").collect()]
+        assert got == [(*rows[i], i % 7) for i in range(7 * k, min(7 * k + 7, 30))]
